@@ -206,3 +206,39 @@ def label_files(spark: SparkSession, sf: str) -> DataFrame:
     j = d.join(v, (F.col("doc_id") % 50) == F.col("video"))
     return j.select("doc_id", F.concat(_s("doc_id"), F.lit(".mp4_labels_"), _request_id(),
                                        F.lit(".json")).alias("key"), F.col("labels_json").alias("body"))
+
+
+def kb_chunks(spark: SparkSession, sf: str, max_tokens: int = 512, overlap_pct: int = 20) -> DataFrame:
+    """Knowledge-base chunks of every document (C1 + C3), source key carried."""
+    from quire.operators.chunk import chunk_fixed, kb_records
+    ext = F.element_at(F.array(*map(F.lit, EXTS)), (F.col("doc_id") % 12 + 1).cast("int"))
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "text",
+        F.concat(F.lit("raw/"), "source", F.lit("/doc+"), _s("doc_id"), F.lit("%20v1"), ext).alias("raw_key"))
+    return kb_records(chunk_fixed(docs, max_tokens, overlap_pct))
+
+
+def vec_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Query vectors: the L2-normalised mean embedding of each label (a
+    prototype per class), computed by a grouped aggregate over the whole
+    ``embeddings`` table."""
+    e = table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("pos", "x"))
+    m = e.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    v = m.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "x"))),
+                                           lambda s: s["x"]).alias("v"))
+    norm = F.sqrt(F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda a, b: a + b))
+    return v.select(F.col("label").cast("bigint").alias("qid"),
+                    F.transform("v", lambda x: x / norm).alias("qvec"))
+
+
+def citations_json(spark: SparkSession, sf: str) -> DataFrame:
+    """M13 citation lists: per conversation, one citation per assistant turn
+    (turn order) with two references - the turn text and its first sentence."""
+    c = table(spark, sf, "conversations").where(F.col("role") == "assistant")
+    cit = c.select("conv_id", "turn", F.struct(F.array(
+        F.struct(F.struct(F.col("text").alias("text")).alias("content")),
+        F.struct(F.struct(tx.first_sentence("text").alias("text")).alias("content"))
+    ).alias("retrievedReferences")).alias("c"))
+    g = cit.groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("turn", "c"))),
+                                               lambda s: s["c"]).alias("citations"))
+    return g.select("conv_id", F.to_json(F.struct("citations")).alias("body"))

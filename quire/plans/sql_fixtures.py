@@ -187,3 +187,84 @@ cte("label_files", ("video_frames",), """
          || '.json' AS key, """ + labels_json_sql("v.frames") + """ AS body
   FROM documents d JOIN video_frames v ON d.doc_id % 50 = v.video
   WHERE d.doc_id % 7 <> 0""")
+
+
+def chunks_sql(max_tokens: int = 512, overlap_pct: int = 20, source: str = "documents") -> str:
+    overlap = max_tokens * overlap_pct // 100
+    stride = max_tokens - overlap
+    return f"""
+  SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS INTEGER) AS chunk_no,
+         CAST(s AS INTEGER) AS start_token, CAST(len(piece) AS INTEGER) AS n_tokens,
+         array_to_string(piece, ' ') AS text, raw_key
+  FROM (SELECT doc_id, s, tok[s + 1 : s + {max_tokens}] AS piece, raw_key
+        FROM (SELECT doc_id, tok, raw_key, unnest(list_filter(range(0, greatest(len(tok), 1), {stride}),
+                     lambda s: s = 0 OR s + {overlap} < len(tok))) AS s
+              FROM (SELECT d.doc_id, {ws_tokens('d.text')} AS tok, k.raw_key
+                    FROM {source} d LEFT JOIN object_keys k ON d.doc_id = k.doc_id) a) b) c"""
+
+
+cte("chunks512", ("object_keys",), chunks_sql(512, 20))
+
+cte("kb_chunks", ("chunks512",), """
+  SELECT sha256(CAST(doc_id AS VARCHAR) || ':' || CAST(chunk_no AS VARCHAR)) AS chunk_id, doc_id, chunk_no, text,
+         '{"source_uri":"' || raw_key || '","doc_id":' || CAST(doc_id AS VARCHAR) || ',"chunk_no":'
+         || CAST(chunk_no AS VARCHAR) || '}' AS metadata
+  FROM chunks512""")
+
+cte("vec_queries", (), """
+  SELECT CAST(label AS BIGINT) AS qid, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS qvec
+  FROM (SELECT label, list(x ORDER BY pos) AS v
+        FROM (SELECT label, pos, avg(CAST(x AS DOUBLE)) AS x
+              FROM (SELECT label, unnest(embedding) AS x, unnest(range(0, len(embedding))) AS pos FROM embeddings) a
+              GROUP BY label, pos) b
+        GROUP BY label) c""")
+
+# Lexical index and searches over kb_chunks for the golden questions.
+cte("lx_toks", ("kb_chunks",), f"SELECT chunk_id, {word_tokens('text')} AS w FROM kb_chunks")
+cte("lx_dl", ("lx_toks",), "SELECT chunk_id, len(w) AS dl FROM lx_toks")
+cte("lx_post", ("lx_toks",), """
+  SELECT chunk_id, term, count(*) AS tf FROM (SELECT chunk_id, unnest(w) AS term FROM lx_toks) a GROUP BY chunk_id, term""")
+cte("lx_stats", ("lx_dl",), "SELECT CAST(count(*) AS DOUBLE) AS n, avg(dl) AS avgdl FROM lx_dl")
+cte("lx_terms", ("lx_post", "lx_stats"), """
+  SELECT term, df, ln(1.0::DOUBLE + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) AS idf_bm25,
+         ln((n + 1.0::DOUBLE) / (df + 1.0::DOUBLE)) AS idf
+  FROM (SELECT term, count(*) AS df FROM lx_post GROUP BY term) t, lx_stats""")
+cte("lx_qterms", ("golden",), f"""
+  SELECT qid, term, count(*) AS qtf FROM (SELECT qid, unnest({word_tokens('question')}) AS term FROM golden) a
+  GROUP BY qid, term""")
+cte("lx_bm25", ("lx_qterms", "lx_terms", "lx_post", "lx_dl", "lx_stats"), """
+  SELECT q.qid, p.chunk_id,
+         sum(q.qtf * t.idf_bm25 * p.tf * 2.2::DOUBLE / (p.tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * d.dl / s.avgdl))) AS score
+  FROM lx_qterms q JOIN lx_terms t ON q.term = t.term JOIN lx_post p ON p.term = q.term
+       JOIN lx_dl d ON d.chunk_id = p.chunk_id, lx_stats s
+  GROUP BY q.qid, p.chunk_id""")
+cte("lx_cnorm", ("lx_post", "lx_terms"), """
+  SELECT p.chunk_id, sqrt(sum(pow(p.tf * t.idf, 2))) AS cnorm FROM lx_post p JOIN lx_terms t ON p.term = t.term
+  GROUP BY p.chunk_id""")
+cte("lx_qw", ("lx_qterms", "lx_terms"), """
+  SELECT q.qid, q.term, q.qtf * t.idf AS wq FROM lx_qterms q JOIN lx_terms t ON q.term = t.term""")
+cte("lx_sem", ("lx_qw", "lx_post", "lx_terms", "lx_cnorm"), """
+  SELECT a.qid, a.chunk_id, a.dot / (n.qnorm * c.cnorm) AS score
+  FROM (SELECT w.qid, p.chunk_id, sum(w.wq * p.tf * t.idf) AS dot
+        FROM lx_qw w JOIN lx_post p ON p.term = w.term JOIN lx_terms t ON t.term = w.term
+        GROUP BY w.qid, p.chunk_id) a
+  JOIN (SELECT qid, sqrt(sum(pow(wq, 2))) AS qnorm FROM lx_qw GROUP BY qid) n ON n.qid = a.qid
+  JOIN lx_cnorm c ON c.chunk_id = a.chunk_id
+  WHERE n.qnorm > 0 AND c.cnorm > 0""")
+
+
+def topk_sql(src: str, k: int, score: str = "score", desc: bool = True) -> str:
+    o = "DESC" if desc else "ASC"
+    if src.lstrip().startswith("("):
+        src = src + " x"
+    return (f"SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY round({score}, 9) {o}, chunk_id) AS INTEGER)"
+            f" AS rank FROM {src} QUALIFY rank <= {k}")
+
+
+cte("bm25_top3", ("lx_bm25",), topk_sql("lx_bm25", 3))
+cte("bm25_top10", ("lx_bm25",), topk_sql("lx_bm25", 10))
+cte("sem_top3", ("lx_sem",), topk_sql("(SELECT * FROM lx_sem WHERE score > 0)", 3))
+cte("sem_top10", ("lx_sem",), topk_sql("(SELECT * FROM lx_sem WHERE score > 0)", 10))
+cte("hyb_top3", ("bm25_top10", "sem_top10"), topk_sql("""(SELECT qid, chunk_id, sum(1.0::DOUBLE / (60.0::DOUBLE + rank)) AS score
+   FROM (SELECT qid, chunk_id, rank FROM bm25_top10 UNION ALL SELECT qid, chunk_id, rank FROM sem_top10) u
+   GROUP BY qid, chunk_id)""", 3))

@@ -19,6 +19,7 @@ def build_session(cpus: str | int = "*", app: str = "quire",
     parts = shuffle_partitions or (int(cpus) * 2 if str(cpus).isdigit() else 16)
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(parts))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
