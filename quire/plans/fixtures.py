@@ -242,3 +242,58 @@ def citations_json(spark: SparkSession, sf: str) -> DataFrame:
     g = cit.groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("turn", "c"))),
                                                lambda s: s["c"]).alias("citations"))
     return g.select("conv_id", F.to_json(F.struct("citations")).alias("body"))
+
+
+def snapshot_old(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return d.where(F.col("doc_id") % 10 != 1)
+
+
+def snapshot_new(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return d.where(F.col("doc_id") % 10 != 2).select(
+        "doc_id", F.when(F.col("doc_id") % 10 == 3, F.concat("text", F.lit(" appendix"))).otherwise(F.col("text"))
+        .alias("text"))
+
+
+def jobs(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events")
+    status = (F.when(F.col("event_type") == "signup", F.lit("COMPLETE"))
+              .when(F.col("event_type") == "error", F.lit("FAILED")).otherwise(F.lit("IN_PROGRESS")))
+    return e.select((F.col("user_id") % 10).alias("data_source_id"), F.col("event_id").alias("job_id"),
+                    F.col("ts").alias("started_at"), status.alias("status"))
+
+
+def query_log(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events")
+    return e.select(F.col("user_id").alias("session"), "ts", "event_id",
+                    F.when(F.col("value") < 1, F.lit("")).otherwise(F.col("event_type")).alias("query"))
+
+
+def uploads(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events")
+    return e.select((F.col("user_id") % 20).alias("session"),
+                    F.concat("event_type", F.lit(".pdf")).alias("file_name"), "ts", "event_id")
+
+
+def agent_events(spark: SparkSession, sf: str) -> DataFrame:
+    c = table(spark, sf, "conversations")
+    return c.select("conv_id", F.col("turn").alias("seq"),
+                    F.when(F.col("role") == "assistant", F.col("text")).alias("chunk"))
+
+
+def claims(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders")
+    return o.select(F.col("o_orderkey").alias("claim_id"), F.col("o_orderstatus").alias("status"))
+
+
+def claim_docs(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    return li.select(F.col("l_orderkey").alias("claim_id"), F.col("l_linenumber").alias("doc_no"),
+                     F.when(F.col("l_returnflag") == "N", F.lit("pending")).otherwise(F.lit("received"))
+                     .alias("state"))
+
+
+def messages(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events")
+    return e.select(F.col("event_id").alias("id"), F.col("ts").alias("sent_at"))
