@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-IDLE_TTL = "300 seconds"
+IDLE_TTL_S = 300
 DELIVERY_DELAY_S = 60
 RETENTION_S = 4 * 24 * 3600
 
@@ -39,14 +39,26 @@ def dedupe_uploads(uploads: DataFrame, session: str = "session", name: str = "fi
     return g.select(session, name, F.col("_f")[ts].alias(ts), F.col("_f")[tie].alias(tie), "n_uploads")
 
 
-def agent_sessions(log: DataFrame, session: str = "session", ts: str = "ts", gap: str = IDLE_TTL) -> DataFrame:
-    """Idle-TTL sessions; an event ``gap`` or more after the previous
-    one starts a new session. Spark's ``session_window`` (merge-sort of
-    windows inside the aggregate)."""
-    sw = F.session_window(F.col(ts), gap)
-    g = log.groupBy(session, sw.alias("w")).agg(F.count(F.lit(1)).alias("n_events"))
-    return g.select(session, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"),
-                    "n_events")
+def agent_sessions(log: DataFrame, session: str = "session", ts: str = "ts", gap_s: int = 300) -> DataFrame:
+    """Idle-TTL sessions; an event ``gap_s`` or more after the previous
+    one starts a new session, and a session ends ``gap_s`` after its last
+    event.
+
+    Spark's ``session_window`` merges an event that lands exactly on the
+    window end into the session, so the window gap is one microsecond short
+    of the TTL (timestamps have microsecond resolution); the reported end
+    is recomputed from the last event.
+    """
+    sw = F.session_window(F.col(ts), session_gap(gap_s))
+    g = log.groupBy(session, sw.alias("w")).agg(F.count(F.lit(1)).alias("n_events"),
+                                                 F.max(ts).alias("_last"))
+    return g.select(session, F.col("w.start").alias("session_start"),
+                    (F.col("_last") + F.expr(f"INTERVAL {gap_s} SECONDS")).alias("session_end"), "n_events")
+
+
+def session_gap(gap_s: int) -> str:
+    """Window gap that starts a new session at exactly ``gap_s`` seconds."""
+    return f"{gap_s * 1_000_000 - 1} microseconds"
 
 
 def pending_reminders(claims: DataFrame, docs: DataFrame, open_status: str = "O",
