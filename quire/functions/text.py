@@ -25,14 +25,22 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(col(c), r"^\s+|\s+$", "")
 
 
+def _split_nonempty(c: Column, sep: str) -> Column:
+    """``split`` without empty pieces, with no per-element lambda: trim the
+    separators at both ends first (a greedy separator never yields an empty
+    piece in the middle) and map the empty string to an empty array."""
+    core = F.regexp_replace(c, f"^(?:{sep})|(?:{sep})$", "")
+    return F.when(core == "", F.array().cast("array<string>")).otherwise(F.split(core, sep))
+
+
 def ws_tokens(c) -> Column:
     """Non-empty whitespace-separated tokens (the chunker's token)."""
-    return F.filter(F.split(col(c), WS), lambda t: t != F.lit(""))
+    return _split_nonempty(col(c), WS)
 
 
 def word_tokens(c) -> Column:
     """Lower-cased letter/digit runs (the lexical and judge token)."""
-    return F.filter(F.split(F.lower(col(c)), WORD_SPLIT), lambda t: t != F.lit(""))
+    return _split_nonempty(F.lower(col(c)), WORD_SPLIT)
 
 
 def sentences(c) -> Column:

@@ -21,9 +21,9 @@ def answer_questions(chunks: DataFrame, questions: DataFrame, k: int = 3, now: s
     ``model=None`` uses the extractive stub as a native expression; any
     other model runs through ``batch_infer`` (Arrow batches).
     """
-    idx = idx or RT.build_index(chunks.select("chunk_id", "text"))
+    idx = idx or RT.build_index(chunks.select("doc_id", "chunk_no", "text"))
     ranked = RT.hybrid_topk(idx, questions, k, search_type=search_type)
-    ranked = ranked.join(chunks.select("chunk_id", "doc_id", "text"), "chunk_id")
+    ranked = ranked.join(idx.chunks.select("doc_id", "chunk_no", "text"), ["doc_id", "chunk_no"])
     per_q = ranked.groupBy("qid").agg(
         F.array_sort(F.collect_list(F.struct("rank", "text", "doc_id"))).alias("_r"))
     j = questions.join(per_q, "qid", "left")

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as tx
 from quire.functions.filters import compile_filter
+from quire.sources.tables import cluster_by
 
 BM25_K1 = 1.2
 BM25_B = 0.75
@@ -41,33 +42,89 @@ def _topk(df: DataFrame, key: str, score: Column, k: int, tie: str, desc: bool =
 
 
 # --------------------------------------------------------------------- index
+# Largest side (rows) this module broadcasts after counting it; beyond it
+# the join falls back to a shuffle (and AQE's skew handling).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def _bcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast only behind a size check; otherwise leave the join to a
+    shuffle. The count runs on the (small, query-side) table only."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def chunk_key_id(doc: str = "doc_id", chunk_no: str = "chunk_no") -> Column:
+    """The public chunk id, derived from the compact key only where output."""
+    return F.sha2(F.concat(F.col(doc).cast("string"), F.lit(":"), F.col(chunk_no).cast("string")), 256)
+
+
 @dataclass
 class LexicalIndex:
-    postings: DataFrame      # chunk_id, term, tf
-    chunk_stats: DataFrame   # chunk_id, dl, tfidf_norm
-    term_stats: DataFrame    # term, df, idf_bm25, idf
+    """Postings clustered by ``doc_id``: scoring joins the (broadcast) query
+    terms on the map side and aggregates per chunk without a shuffle."""
+    chunks: DataFrame        # doc_id, chunk_no, dl, text   (hash-partitioned by doc_id, cached)
+    postings: DataFrame      # doc_id, chunk_no, dl, term, tf  (same partitioning, cached)
     n_chunks: int
     avgdl: float
-
-
-def build_index(chunks: DataFrame, text: str = "text", id_col: str = "chunk_id") -> LexicalIndex:
-    """Postings and statistics by grouped aggregates (partial aggregation
-    map-side). ``n_chunks`` / ``avgdl`` are two scalars read back once."""
-    toks = chunks.select(F.col(id_col).alias("chunk_id"), tx.word_tokens(text).alias("_w"))
-    dl = toks.select("chunk_id", F.size("_w").alias("dl"))
-    postings = (toks.select("chunk_id", F.explode("_w").alias("term"))
-                .groupBy("chunk_id", "term").agg(F.count(F.lit(1)).alias("tf")))
-    stats = dl.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    n, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
-    df_ = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    term_stats = df_.select(
-        "term", "df",
-        F.log(F.lit(1.0) + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf_bm25"),
-        F.log((F.lit(float(n)) + 1.0) / (F.col("df") + 1.0)).alias("idf"))
-    w2 = (postings.join(term_stats.select("term", "idf"), "term")
-          .groupBy("chunk_id").agg(F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("tfidf_norm")))
-    chunk_stats = dl.join(w2, "chunk_id", "left")
-    return LexicalIndex(postings, chunk_stats, term_stats, n, avgdl)
+    _idf: DataFrame | None = None
+    _norms: DataFrame | None = None
+
+    def term_stats(self) -> DataFrame:
+        """df and both idf forms for every term (partial aggregation, then a
+        shuffle of one row per term and partition)."""
+        if self._idf is None:
+            n = float(self.n_chunks)
+            df_ = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+            self._idf = df_.select(
+                "term", "df",
+                F.log(F.lit(1.0) + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf_bm25"),
+                F.log((F.lit(n) + 1.0) / (F.col("df") + 1.0)).alias("idf")).persist()
+        return self._idf
+
+    def norms(self) -> DataFrame:
+        """L2 norm of every chunk's TF-IDF vector; the idf table is broadcast
+        when the vocabulary passes the size check, and the aggregate reuses
+        the postings' doc_id partitioning."""
+        if self._norms is None:
+            idf = _bcast_if_small(self.term_stats().select("term", "idf"))
+            w = self.postings.join(idf, "term")
+            self._norms = (w.groupBy("doc_id", "chunk_no")
+                           .agg(F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("tfidf_norm"))).persist()
+        return self._norms
+
+    def unpersist(self) -> None:
+        for d in (self.postings, self.chunks, self._idf, self._norms):
+            if d is not None:
+                d.unpersist()
+
+
+def build_index(chunks: DataFrame, text: str = "text", partitions: int | None = None) -> LexicalIndex:
+    """Tokenise once and keep postings clustered by document.
+
+    At most one shuffle moves the chunk rows (not the exploded terms) by
+    ``doc_id`` - none when the input is already clustered that way; term frequencies then aggregate on ``(doc_id, chunk_no, term)`` inside
+    each partition. Chunk count and mean length are two scalars read back
+    from the cached chunk table.
+    """
+    from pyspark import StorageLevel
+    spark = chunks.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    c = (cluster_by(chunks.select("doc_id", "chunk_no", F.col(text).alias("text")), "doc_id", n)
+         .withColumn("_w", tx.word_tokens("text")).withColumn("dl", F.size("_w")))
+    c = c.persist(StorageLevel.MEMORY_AND_DISK)
+    postings = (c.select("doc_id", "chunk_no", "dl", F.explode("_w").alias("term"))
+                .groupBy("doc_id", "chunk_no", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
+    postings = postings.persist(StorageLevel.MEMORY_AND_DISK)
+    st = c.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    idx = LexicalIndex(c.drop("_w"), postings, int(st["n"]), float(st["avgdl"] or 0.0))
+    _LIVE.append(idx)
+    while len(_LIVE) > MAX_LIVE_INDEXES:   # caching is transparent: an evicted index is recomputed
+        _LIVE.pop(0).unpersist()
+    return idx
+
+
+MAX_LIVE_INDEXES = 2
+_LIVE: list = []
 
 
 def _query_terms(questions: DataFrame, qid: str, question: str) -> DataFrame:
@@ -75,18 +132,27 @@ def _query_terms(questions: DataFrame, qid: str, question: str) -> DataFrame:
             .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
 
 
+def _with_id(df: DataFrame) -> DataFrame:
+    return df.withColumn("chunk_id", chunk_key_id())
+
+
 def bm25_scores(idx: LexicalIndex, questions: DataFrame, qid: str = "qid",
                 question: str = "question", k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
-    """R4 scores: sum over query terms of qtf * idf * tf*(k1+1)/(tf + k1*(1-b+b*dl/avgdl))."""
-    q = _query_terms(questions, qid, question).join(idx.term_stats.select("term", "idf_bm25"), "term")
-    hits = q.join(idx.postings, "term").join(idx.chunk_stats.select("chunk_id", "dl"), "chunk_id")
+    """R4 scores: sum over query terms of qtf * idf * tf*(k1+1)/(tf + k1*(1-b+b*dl/avgdl)).
+
+    Only the query terms' idf rows are computed; query terms with their idf
+    are broadcast (size-checked) into the postings scan."""
+    qt = _query_terms(questions, qid, question)
+    idf = idx.term_stats().select("term", "idf_bm25").join(qt.select("term").distinct(), "term", "left_semi")
+    q = _bcast_if_small(qt.join(idf, "term"))
+    hits = idx.postings.join(q, "term")
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(idx.avgdl or 1.0))
     part = F.col("qtf") * F.col("idf_bm25") * F.col("tf") * (k1 + 1.0) / (F.col("tf") + norm)
-    return hits.groupBy("qid", "chunk_id").agg(F.sum(part).alias("score"))
+    return hits.groupBy("qid", "doc_id", "chunk_no").agg(F.sum(part).alias("score"))
 
 
 def bm25_topk(idx: LexicalIndex, questions: DataFrame, k: int, **kw) -> DataFrame:
-    s = bm25_scores(idx, questions, **kw)
+    s = _with_id(bm25_scores(idx, questions, **kw))
     return _topk(s, "qid", F.col("score"), k, "chunk_id")
 
 
@@ -96,16 +162,18 @@ def semantic_scores(idx: LexicalIndex, questions: DataFrame, qid: str = "qid",
     (IDF ``ln((N+1)/(df+1))``), as a postings join. ``distance`` is the L2
     distance of the unit vectors, ``sqrt(2 - 2 cos)``. Chunks sharing no
     term with the question have similarity 0 and are not returned."""
-    q = _query_terms(questions, qid, question).join(idx.term_stats.select("term", "idf"), "term")
-    q = q.withColumn("wq", F.col("qtf") * F.col("idf"))
-    qn = q.groupBy("qid").agg(F.sqrt(F.sum(F.col("wq") ** 2)).alias("qnorm"))
-    hits = (q.join(idx.postings, "term")
-            .groupBy("qid", "chunk_id").agg(F.sum(F.col("wq") * F.col("tf") * F.col("idf")).alias("dot")))
-    hits = (hits.join(qn.where(F.col("qnorm") > 0), "qid")
-            .join(idx.chunk_stats.select("chunk_id", "tfidf_norm").where(F.col("tfidf_norm") > 0), "chunk_id"))
+    qt = _query_terms(questions, qid, question)
+    idf = idx.term_stats().select("term", "idf").join(qt.select("term").distinct(), "term", "left_semi")
+    q = qt.join(idf, "term").withColumn("wq", F.col("qtf") * F.col("idf"))
+    qn = q.groupBy("qid").agg(F.sqrt(F.sum(F.col("wq") ** 2)).alias("qnorm")).where(F.col("qnorm") > 0)
+    q = _bcast_if_small(q.join(qn, "qid"))
+    hits = (idx.postings.join(q, "term")
+            .groupBy("qid", "doc_id", "chunk_no")
+            .agg(F.sum(F.col("wq") * F.col("tf") * F.col("idf")).alias("dot"), F.first("qnorm").alias("qnorm")))
+    hits = hits.join(idx.norms().where(F.col("tfidf_norm") > 0), ["doc_id", "chunk_no"])
     cos = F.col("dot") / (F.col("qnorm") * F.col("tfidf_norm"))
-    return hits.select("qid", "chunk_id", cos.alias("score"),
-                       F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - F.lit(2.0) * cos)).alias("distance"))
+    return _with_id(hits.select("qid", "doc_id", "chunk_no", cos.alias("score"),
+                                F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - F.lit(2.0) * cos)).alias("distance")))
 
 
 def semantic_topk(idx: LexicalIndex, questions: DataFrame, k: int, **kw) -> DataFrame:
@@ -119,13 +187,15 @@ def hybrid_topk(idx: LexicalIndex, questions: DataFrame, k: int, depth: int = 10
     and semantic lists by reciprocal rank fusion (constant 60). The fusion is
     a union + grouped sum, not a join."""
     if search_type == "SEMANTIC":
-        return semantic_topk(idx, questions, k, **kw).select("qid", "chunk_id", "score", "rank")
+        return semantic_topk(idx, questions, k, **kw).select("qid", "doc_id", "chunk_no", "chunk_id", "score", "rank")
     if search_type != "HYBRID":
         raise ValueError(f"search_type must be HYBRID or SEMANTIC, got {search_type!r}")
-    lex = bm25_topk(idx, questions, depth, **kw).select("qid", "chunk_id", "rank")
-    sem = semantic_topk(idx, questions, depth, **kw).select("qid", "chunk_id", "rank")
+    cols = ["qid", "doc_id", "chunk_no", "chunk_id", "rank"]
+    lex = bm25_topk(idx, questions, depth, **kw).select(*cols)
+    sem = semantic_topk(idx, questions, depth, **kw).select(*cols)
     fused = (lex.unionByName(sem)
-             .groupBy("qid", "chunk_id").agg(F.sum(F.lit(1.0) / (F.lit(float(RRF_K)) + F.col("rank"))).alias("score")))
+             .groupBy("qid", "doc_id", "chunk_no", "chunk_id")
+             .agg(F.sum(F.lit(1.0) / (F.lit(float(RRF_K)) + F.col("rank"))).alias("score")))
     return _topk(fused, "qid", F.col("score"), k, "chunk_id")
 
 

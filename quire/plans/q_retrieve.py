@@ -19,7 +19,7 @@ VEC_FILTER = {"lessThan": {"key": "label", "value": 5}}
 
 
 def _index(spark, sf):
-    return RT.build_index(FX.kb_chunks(spark, sf).select("chunk_id", "text"))
+    return RT.build_index(FX.kb_chunks(spark, sf).select("doc_id", "chunk_no", "text"))
 
 
 @register("bm25_topk", with_ctes(
@@ -99,9 +99,10 @@ FROM golden g LEFT JOIN (
 @register("context_prompt", with_ctes(_CTX_SQL, "golden", "hyb_top3", "kb_chunks"))
 def context_prompt(spark, sf):
     chunks = FX.kb_chunks(spark, sf)
-    idx = RT.build_index(chunks.select("chunk_id", "text"))
+    idx = RT.build_index(chunks.select("doc_id", "chunk_no", "text"))
     q = FX.golden(spark, sf)
-    ranked = RT.hybrid_topk(idx, q, K_EVAL).join(chunks.select("chunk_id", "text"), "chunk_id")
+    ranked = RT.hybrid_topk(idx, q, K_EVAL).join(idx.chunks.select("doc_id", "chunk_no", "text"),
+                                                 ["doc_id", "chunk_no"])
     return RT.context_prompt(ranked, q, NOW).select("qid", "prompt")
 
 

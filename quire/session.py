@@ -24,6 +24,9 @@ def build_session(cpus: str | int = "*", app: str = "quire",
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # co-partitioned inputs clustered on a subset of the join keys (e.g.
+         # doc_id for a (doc_id, chunk_no) join) are joined without a shuffle
+         .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.driver.memory", "16g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")

@@ -171,7 +171,7 @@ def test_empty_document_assembly(spark):
 
 
 def test_question_with_no_match_and_empty_citations(spark):
-    chunks = spark.createDataFrame([("c1", "alpha beta gamma")], "chunk_id string, text string")
+    chunks = spark.createDataFrame([(1, 0, "alpha beta gamma")], "doc_id long, chunk_no int, text string")
     q = spark.createDataFrame([(1, "zeta")], "qid long, question string")
     idx = RT.build_index(chunks)
     assert RT.bm25_topk(idx, q, 3).count() == 0
