@@ -49,7 +49,10 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 def _bcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast only behind a size check; otherwise leave the join to a
-    shuffle. The count runs on the (small, query-side) table only."""
+    shuffle. The side is persisted so the counting job is not repeated by
+    the join; it is the (small) query side or the vocabulary, never the
+    corpus."""
+    df = df.persist()
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
@@ -116,15 +119,10 @@ def build_index(chunks: DataFrame, text: str = "text", partitions: int | None =
                 .groupBy("doc_id", "chunk_no", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
     postings = postings.persist(StorageLevel.MEMORY_AND_DISK)
     st = c.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    idx = LexicalIndex(c.drop("_w"), postings, int(st["n"]), float(st["avgdl"] or 0.0))
-    _LIVE.append(idx)
-    while len(_LIVE) > MAX_LIVE_INDEXES:   # caching is transparent: an evicted index is recomputed
-        _LIVE.pop(0).unpersist()
-    return idx
-
-
-MAX_LIVE_INDEXES = 2
-_LIVE: list = []
+    # Spark's cache manager shares these blocks with any index built from the
+    # same plan; the block manager spills or drops them under memory
+    # pressure, and ``LexicalIndex.unpersist`` releases them explicitly.
+    return LexicalIndex(c.drop("_w"), postings, int(st["n"]), float(st["avgdl"] or 0.0))
 
 
 def _query_terms(questions: DataFrame, qid: str, question: str) -> DataFrame:
@@ -217,7 +215,7 @@ class CellIndex:
 
 
 def build_cells(corpus: DataFrame, id_col: str = "vec_id", vec: str = "embedding",
-                n_cells: int = 16, seed: int = 7, max_iter: int = 20) -> CellIndex:
+                n_cells: int = 16, seed: int = 7, max_iter: int = 10) -> CellIndex:
     """Partition vectors into KMeans cells (Spark ML, distributed Lloyd
     steps). Centroids, radii and counts are ``n_cells``-sized and live on
     the driver; the corpus stays distributed."""
