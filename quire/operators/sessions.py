@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quire.operators.sequence import DEFAULT_BUCKET_S, bucketed_prev, sessions
+
 IDLE_TTL_S = 300
 DELIVERY_DELAY_S = 60
 RETENTION_S = 4 * 24 * 3600
@@ -20,14 +21,14 @@ def first_chunk(events: DataFrame, key: str = "conv_id", seq: str = "seq", chunk
 
 
 def drop_repeat_queries(log: DataFrame, session: str = "session", ts: str = "ts", tie: str = "event_id",
-                        query: str = "query") -> DataFrame:
+                        query: str = "query", bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """Skip empty queries and a query equal to the session's previous
-    submission (null-safe compare)."""
-    w = W.partitionBy(session).orderBy(ts, tie)
-    prev = F.lag(query).over(w)
-    return (log.withColumn("_prev", prev)
-            .where((F.col(query) != "") & ~F.col(query).eqNullSafe(F.col("_prev")))
-            .drop("_prev"))
+    submission (null-safe compare). The previous query comes from a
+    bucketed lag, so a session with a third of all rows is still spread
+    over many tasks."""
+    x = bucketed_prev(log, session, ts, tie, [query], bucket_s)
+    keep = (F.col(query) != "") & ~F.col(query).eqNullSafe(F.col(f"prev_{query}"))
+    return x.where(keep).select(*log.columns)
 
 
 def dedupe_uploads(uploads: DataFrame, session: str = "session", name: str = "file_name",
@@ -39,20 +40,18 @@ def dedupe_uploads(uploads: DataFrame, session: str = "session", name: str = "fi
     return g.select(session, name, F.col("_f")[ts].alias(ts), F.col("_f")[tie].alias(tie), "n_uploads")
 
 
-def agent_sessions(log: DataFrame, session: str = "session", ts: str = "ts", gap_s: int = 300) -> DataFrame:
+def agent_sessions(log: DataFrame, session: str = "session", ts: str = "ts", tie: str = "event_id",
+                   gap_s: int = IDLE_TTL_S, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """Idle-TTL sessions; an event ``gap_s`` or more after the previous
     one starts a new session, and a session ends ``gap_s`` after its last
-    event.
-
-    Spark's ``session_window`` merges an event that lands exactly on the
-    window end into the session, so the window gap is one microsecond short
-    of the TTL (timestamps have microsecond resolution); the reported end
-    is recomputed from the last event.
-    """
-    sw = F.session_window(F.col(ts), session_gap(gap_s))
-    g = log.groupBy(session, sw.alias("w")).agg(F.count(F.lit(1)).alias("n_events"),
-                                                 F.max(ts).alias("_last"))
-    return g.select(session, F.col("w.start").alias("session_start"),
+    event. Batch form: skew-proof gaps-and-islands (``operators.sequence``)
+    followed by a map-side-combined aggregate. The streaming form
+    (``streaming.session_stream``) uses ``session_window``; the tests check
+    that both agree."""
+    s = sessions(log, session, ts, tie if tie in log.columns else None, gap_s, bucket_s)
+    g = s.groupBy(session, "session_no").agg(F.min(ts).alias("session_start"), F.max(ts).alias("_last"),
+                                             F.count(F.lit(1)).alias("n_events"))
+    return g.select(session, "session_start",
                     (F.col("_last") + F.expr(f"INTERVAL {gap_s} SECONDS")).alias("session_end"), "n_events")
 
 

@@ -231,3 +231,25 @@ def test_validate_calls(spark):
     r = {x.call_id: x for x in R.validate_calls(df).collect()}
     assert r[1].missing == ["policyNumber"] and not r[1].valid
     assert r[2].valid and r[3].unknown == ["extra"] and not r[4].valid
+
+
+def test_bucketed_lag_and_sessions_equal_single_window(spark):
+    from pyspark.sql import Window as W
+
+    from quire.operators.sequence import bucketed_prev, sessions
+    from quire.plans import fixtures as FX
+    from tests.conftest import SF_SMALL
+    log = FX.query_log(spark, SF_SMALL)
+    # one hot session: every event is re-keyed to session 0 for a third of the rows
+    hot = log.withColumn("session", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("session")))
+    w = W.partitionBy("session").orderBy("ts", "event_id")
+    want = hot.withColumn("prev_query", F.lag("query").over(w)).select("event_id", "prev_query")
+    for bucket_s in (60, 3600, 86400 * 40):
+        got = bucketed_prev(hot, "session", "ts", "event_id", ["query"], bucket_s).select("event_id", "prev_query")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        s = sessions(hot, "session", "ts", "event_id", 300, bucket_s)
+        ref = SS.agent_sessions(hot, bucket_s=86400 * 40)
+        agg = s.groupBy("session", "session_no").agg(F.count(F.lit(1)).alias("n_events")) \
+            .groupBy("session").agg(F.count(F.lit(1)).alias("n_sessions"), F.sum("n_events").alias("n"))
+        ref_agg = ref.groupBy("session").agg(F.count(F.lit(1)).alias("n_sessions"), F.sum("n_events").alias("n"))
+        assert agg.exceptAll(ref_agg).count() == 0 and ref_agg.exceptAll(agg).count() == 0
