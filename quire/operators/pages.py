@@ -2,19 +2,20 @@
 context carry, table stitching, document assembly, resume filter, request
 building, Markdown table normalisation, sheets and paragraphs.
 
-All per-document sequencing uses one window spec ``(doc_id ORDER BY
-page_no)``, so flags, lag and the running block number share a single
-shuffle; the lag runs over the full page sequence (a resumed slice still
-sees the page before it).
+Per-document sequencing (previous page, running block number) runs per
+``(doc_id, page range)`` with a small carry table between ranges, so a
+document holding a large share of all pages does not land in one task; the
+lag runs over the full page sequence (a resumed slice still sees the page
+before it).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import text as tx
+from quire.operators.sequence import DEFAULT_PAGE_BUCKET, prev_values, range_bucket, running_count
 
 # Line patterns.
 PAGE_NUMBER_RE = r"^\s*(Page\s+)?\d+\s*$"
@@ -24,10 +25,6 @@ CELL_EDGE_RE = r"^\s*\|\s*|\s*\|\s*$"
 CELL_SPLIT_RE = r"\s*\|\s*"
 
 
-def _page_window(doc: str = "doc_id", page: str = "page_no"):
-    return W.partitionBy(doc).orderBy(page)
-
-
 def content_lines(content) -> Column:
     """Lines that are neither blank nor a bare page number."""
     return F.filter(F.split(tx.col(content), "\n"),
@@ -42,27 +39,32 @@ def table_flags(pages: DataFrame, row_regex: str = TABLE_ROW_RE, content: str =
             .withColumn("last_is_table", F.coalesce(last.rlike(row_regex), F.lit(False))))
 
 
-def table_continuation(pages: DataFrame, **kw) -> DataFrame:
-    """The previous page ends with a table and this one starts with one."""
+def table_continuation(pages: DataFrame, page_bucket: int = DEFAULT_PAGE_BUCKET, **kw) -> DataFrame:
+    """The previous page ends with a table and this one starts with one.
+    The previous page comes from a page-range-bucketed lag, so a document
+    holding a large share of all pages is still spread over tasks."""
     f = table_flags(pages, **kw) if "first_is_table" not in pages.columns else pages
-    w = _page_window()
-    return f.withColumn("continued", F.coalesce(F.lag("last_is_table").over(w), F.lit(False))
-                        & F.col("first_is_table"))
+    x = prev_values(f, "doc_id", ["page_no"], range_bucket("page_no", page_bucket),
+                    ["last_is_table", "content"]).drop("_b")
+    x = x.withColumn("continued", F.coalesce(F.col("prev_last_is_table"), F.lit(False))
+                     & F.col("first_is_table"))
+    return x.drop("prev_last_is_table")
 
 
 def page_context(pages: DataFrame, content: str = "content", **kw) -> DataFrame:
     """Previous page's text, only where the page continues a table."""
     c = table_continuation(pages, **kw)
-    w = _page_window()
-    return c.withColumn("previous_text", F.when(F.col("continued"), F.lag(content).over(w)))
+    return c.withColumn("previous_text", F.when(F.col("continued"), F.col("prev_content"))).drop("prev_content")
 
 
-def stitch_tables(pages: DataFrame, content: str = "content", **kw) -> DataFrame:
+def stitch_tables(pages: DataFrame, content: str = "content", page_bucket: int = DEFAULT_PAGE_BUCKET,
+                  **kw) -> DataFrame:
     """T4: merge runs of continued pages into one block (gaps and islands:
     a running count of non-continued pages numbers the blocks)."""
-    c = table_continuation(pages, **kw)
-    w = _page_window().rowsBetween(W.unboundedPreceding, W.currentRow)
-    c = c.withColumn("block_no", F.sum(F.when(F.col("continued"), 0).otherwise(1)).over(w).cast("int"))
+    c = table_continuation(pages, page_bucket=page_bucket, **kw).drop("prev_content")
+    c = c.withColumn("_start", F.when(F.col("continued"), 0).otherwise(1))
+    c = running_count(c, "doc_id", ["page_no"], range_bucket("page_no", page_bucket), "_start", "block_no")
+    c = c.withColumn("block_no", F.col("block_no").cast("int"))
     return (c.groupBy("doc_id", "block_no")
             .agg(F.min("page_no").alias("first_page"), F.max("page_no").alias("last_page"),
                  F.count(F.lit(1)).alias("n_pages"),

@@ -1,67 +1,83 @@
 """Per-key sequence operators that never place a whole key in one task.
 
-``lag`` over a window partitioned by a key sends every row of the key to
-one task; a key holding a third of the rows becomes a third of the job on
-one core. Here the key's timeline is cut into time buckets: the window runs
-per ``(key, bucket)``, and the only thing that crosses bucket borders is one
-row per bucket (its last row, or its count), handled on the small
-per-bucket table. Results are identical to the single-window form.
+``lag`` or a running sum over a window partitioned by a key sends every row
+of the key to one task; a key holding a third of the rows becomes a third
+of the job on one core. Here the key's sequence is cut into buckets (time
+buckets for events, page ranges for documents): the window runs per
+``(key, bucket)``, and the only thing that crosses bucket borders is one row
+per bucket (its last row, or its count), handled on the small per-bucket
+table. Results are identical to the single-window form.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_S = 3600
+DEFAULT_PAGE_BUCKET = 256
 
 
-def _bucket(ts: str, bucket_s: int):
+def time_bucket(ts: str, bucket_s: int = DEFAULT_BUCKET_S) -> Column:
     return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_s * 1_000_000)).cast("bigint")
 
 
+def range_bucket(col: str, width: int = DEFAULT_PAGE_BUCKET) -> Column:
+    return F.floor(F.col(col) / F.lit(width)).cast("bigint")
+
+
 def _order(ts: str, tie: str | None):
     return [ts, tie] if tie else [ts]
 
 
-def bucketed_prev(df: DataFrame, key: str, ts: str, tie: str | None, cols: list[str],
-                  bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
-    """Adds ``prev_<c>`` = value of ``c`` on the previous row of the same key
-    in ``(ts, tie)`` order (NULL on the key's first row), plus the helper
-    columns ``_b`` (bucket) and ``_rn`` (row number inside the bucket)."""
-    x = df.withColumn("_b", _bucket(ts, bucket_s))
-    w = W.partitionBy(key, "_b").orderBy(*_order(ts, tie))
+def prev_values(df: DataFrame, key: str, order: list[str], bucket: Column, cols: list[str]) -> DataFrame:
+    """Adds ``prev_<c>``: value of ``c`` on the previous row of the same key
+    in ``order`` (NULL on the key's first row). ``bucket`` must be
+    non-decreasing along ``order``."""
+    x = df.withColumn("_b", bucket)
+    w = W.partitionBy(key, "_b").orderBy(*order)
     x = x.withColumn("_rn", F.row_number().over(w))
     for c in cols:
         x = x.withColumn(f"_lag_{c}", F.lag(c).over(w))
-    last = (x.groupBy(key, "_b")
-            .agg(F.max_by(F.struct(*cols), F.struct(*_order(ts, tie))).alias("_last")))
+    last = x.groupBy(key, "_b").agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_last"))
     carry = last.withColumn("_carry", F.lag("_last").over(W.partitionBy(key).orderBy("_b"))) \
         .select(key, "_b", "_carry")
     x = x.join(carry, [key, "_b"], "left")
     for c in cols:
         x = x.withColumn(f"prev_{c}", F.when(F.col("_rn") == 1, F.col("_carry")[c])
                          .otherwise(F.col(f"_lag_{c}")))
-    return x.drop("_carry", *[f"_lag_{c}" for c in cols])
+    return x.drop("_carry", "_rn", *[f"_lag_{c}" for c in cols])
+
+
+def running_count(df: DataFrame, key: str, order: list[str], bucket: Column, flag: str, out: str) -> DataFrame:
+    """Adds ``out`` = number of rows with ``flag`` = 1 up to and including
+    this one in the key's ``order``: a running sum per bucket plus the sum
+    of earlier buckets (from the per-bucket table)."""
+    x = df.withColumn("_b", bucket)
+    w = W.partitionBy(key, "_b").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    x = x.withColumn("_rs", F.sum(flag).over(w))
+    per = x.groupBy(key, "_b").agg(F.sum(flag).alias("_nb"))
+    wo = W.partitionBy(key).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    off = per.withColumn("_off", F.coalesce(F.sum("_nb").over(wo), F.lit(0))).select(key, "_b", "_off")
+    x = x.join(off, [key, "_b"], "left")
+    return x.withColumn(out, (F.col("_off") + F.col("_rs")).cast("bigint")).drop("_b", "_rs", "_off")
+
+
+def bucketed_prev(df: DataFrame, key: str, ts: str, tie: str | None, cols: list[str],
+                  bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+    """:func:`prev_values` over a timestamp order with time buckets."""
+    return prev_values(df, key, _order(ts, tie), time_bucket(ts, bucket_s), cols).drop("_b")
 
 
 def sessions(df: DataFrame, key: str, ts: str, tie: str | None, gap_s: int,
              bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """Gaps-and-islands sessionisation: a row ``gap_s`` or more after the
-    previous one of its key opens a new session. Returns the rows with a
-    ``session_no`` (1-based, per key). The running count of session starts
-    is a per-bucket running sum plus the sum of earlier buckets (computed on
-    the per-bucket table)."""
+    previous one of its key opens a new session; adds ``session_no``
+    (1-based, per key)."""
     x = bucketed_prev(df, key, ts, tie, [ts], bucket_s)
     new = (F.col(f"prev_{ts}").isNull()
            | (F.col(ts) >= F.col(f"prev_{ts}") + F.expr(f"INTERVAL {gap_s} SECONDS"))).cast("int")
-    x = x.withColumn("_new", new)
-    w = W.partitionBy(key, "_b").orderBy(*_order(ts, tie)).rowsBetween(W.unboundedPreceding, W.currentRow)
-    x = x.withColumn("_rs", F.sum("_new").over(w))
-    per = x.groupBy(key, "_b").agg(F.sum("_new").alias("_nb"))
-    wo = W.partitionBy(key).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    off = per.withColumn("_off", F.coalesce(F.sum("_nb").over(wo), F.lit(0))).select(key, "_b", "_off")
-    x = x.join(off, [key, "_b"], "left")
-    return x.withColumn("session_no", (F.col("_off") + F.col("_rs")).cast("bigint")) \
-        .drop("_b", "_rn", "_new", "_rs", "_off", f"prev_{ts}")
+    x = running_count(x.withColumn("_new", new), key, _order(ts, tie), time_bucket(ts, bucket_s),
+                      "_new", "session_no")
+    return x.drop("_new", f"prev_{ts}")

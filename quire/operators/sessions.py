@@ -49,6 +49,7 @@ def agent_sessions(log: DataFrame, session: str = "session", ts: str = "ts", tie
     (``streaming.session_stream``) uses ``session_window``; the tests check
     that both agree."""
     s = sessions(log, session, ts, tie if tie in log.columns else None, gap_s, bucket_s)
+    s = s.drop("_b")
     g = s.groupBy(session, "session_no").agg(F.min(ts).alias("session_start"), F.max(ts).alias("_last"),
                                              F.count(F.lit(1)).alias("n_events"))
     return g.select(session, "session_start",

@@ -253,3 +253,16 @@ def test_bucketed_lag_and_sessions_equal_single_window(spark):
             .groupBy("session").agg(F.count(F.lit(1)).alias("n_sessions"), F.sum("n_events").alias("n"))
         ref_agg = ref.groupBy("session").agg(F.count(F.lit(1)).alias("n_sessions"), F.sum("n_events").alias("n"))
         assert agg.exceptAll(ref_agg).count() == 0 and ref_agg.exceptAll(agg).count() == 0
+
+
+def test_page_sequencing_independent_of_bucket_width(spark):
+    from quire.plans import fixtures as FX
+    from tests.conftest import SF_SMALL
+    pages = FX.order_pages(spark, SF_SMALL).cache()
+    ref = PG.stitch_tables(pages, page_bucket=1 << 20)
+    ctx = PG.page_context(pages, page_bucket=1 << 20)
+    for width in (1, 2):       # every page (or pair) its own bucket: maximal carrying
+        got = PG.stitch_tables(pages, page_bucket=width)
+        assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+        c = PG.page_context(pages, page_bucket=width)
+        assert c.exceptAll(ctx).count() == 0 and ctx.exceptAll(c).count() == 0
