@@ -110,9 +110,7 @@ def build_index(chunks: DataFrame, text: str = "text", partitions: int | None =
     from the cached chunk table.
     """
     from pyspark import StorageLevel
-    spark = chunks.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    c = (cluster_by(chunks.select("doc_id", "chunk_no", F.col(text).alias("text")), "doc_id", n)
+    c = (cluster_by(chunks.select("doc_id", "chunk_no", F.col(text).alias("text")), "doc_id", partitions)
          .withColumn("_w", tx.word_tokens("text")).withColumn("dl", F.size("_w")))
     c = c.persist(StorageLevel.MEMORY_AND_DISK)
     postings = (c.select("doc_id", "chunk_no", "dl", F.explode("_w").alias("term"))

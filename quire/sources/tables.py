@@ -54,5 +54,5 @@ def cluster_by(df: DataFrame, key: str, partitions: int | None = None) -> DataFr
     """Hash-partition by ``key`` unless the plan already is."""
     if is_clustered_by(df, key):
         return df
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key)
+    # without an explicit count AQE may coalesce small partitions
+    return df.repartition(partitions, key) if partitions else df.repartition(key)
