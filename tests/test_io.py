@@ -60,3 +60,23 @@ def test_kb_table_round_trip(spark):
     assert back.count() == recs.count()
     assert back.select("chunk_id").distinct().count() == recs.count()
     assert back.where(F.col("metadata").contains('"source_uri":"raw/')).count() == recs.count()
+
+
+def test_document_label_and_report_sinks(spark):
+    import json
+
+    from quire.operators import media as M
+    from quire.operators import pages as PG
+    d = tempfile.mkdtemp(prefix="quire-io-")
+    docs = PG.assemble_document(FX.doc_pages(spark, SF_SMALL)).withColumn(
+        "key", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    SK.write_documents(docs, os.path.join(d, "docs"))
+    back = spark.read.parquet(os.path.join(d, "docs"))
+    assert back.count() == docs.count() and back.columns == ["key", "text"]
+    labels = M.video_labels(FX.detections(spark, SF_SMALL)).select("video", "labels_json")
+    SK.write_labels_json(labels, os.path.join(d, "labels"))
+    row = spark.read.json(os.path.join(d, "labels")).orderBy("video").first()
+    assert isinstance(json.loads(row.labels_json), list)
+    rep = labels.select(F.concat(F.lit("Video Labels:\n"), F.col("labels_json")).alias("report"))
+    SK.write_report_text(rep, os.path.join(d, "reports"))
+    assert spark.read.text(os.path.join(d, "reports")).count() >= labels.count()
