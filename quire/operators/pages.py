@@ -43,9 +43,14 @@ def table_continuation(pages: DataFrame, page_bucket: int = DEFAULT_PAGE_BUCKET,
     """The previous page ends with a table and this one starts with one.
     The previous page comes from a page-range-bucketed lag, so a document
     holding a large share of all pages is still spread over tasks."""
+    return _continuation(pages, page_bucket, **kw).drop("_b", "prev_content")
+
+
+def _continuation(pages: DataFrame, page_bucket: int = DEFAULT_PAGE_BUCKET, **kw) -> DataFrame:
+    """T2 keeping ``prev_content`` and the bucket column ``_b``."""
     f = table_flags(pages, **kw) if "first_is_table" not in pages.columns else pages
     x = prev_values(f, "doc_id", ["page_no"], range_bucket("page_no", page_bucket),
-                    ["last_is_table", "content"]).drop("_b")
+                    ["last_is_table", "content"])
     x = x.withColumn("continued", F.coalesce(F.col("prev_last_is_table"), F.lit(False))
                      & F.col("first_is_table"))
     return x.drop("prev_last_is_table")
@@ -53,17 +58,18 @@ def table_continuation(pages: DataFrame, page_bucket: int = DEFAULT_PAGE_BUCKET,
 
 def page_context(pages: DataFrame, content: str = "content", **kw) -> DataFrame:
     """Previous page's text, only where the page continues a table."""
-    c = table_continuation(pages, **kw)
-    return c.withColumn("previous_text", F.when(F.col("continued"), F.col("prev_content"))).drop("prev_content")
+    c = _continuation(pages, **kw)
+    return c.withColumn("previous_text", F.when(F.col("continued"), F.col("prev_content"))) \
+        .drop("prev_content", "_b")
 
 
 def stitch_tables(pages: DataFrame, content: str = "content", page_bucket: int = DEFAULT_PAGE_BUCKET,
                   **kw) -> DataFrame:
     """T4: merge runs of continued pages into one block (gaps and islands:
     a running count of non-continued pages numbers the blocks)."""
-    c = table_continuation(pages, page_bucket=page_bucket, **kw).drop("prev_content")
+    c = _continuation(pages, page_bucket=page_bucket, **kw).drop("prev_content")
     c = c.withColumn("_start", F.when(F.col("continued"), 0).otherwise(1))
-    c = running_count(c, "doc_id", ["page_no"], range_bucket("page_no", page_bucket), "_start", "block_no")
+    c = running_count(c, "doc_id", ["page_no"], None, "_start", "block_no").drop("_b")
     c = c.withColumn("block_no", F.col("block_no").cast("int"))
     return (c.groupBy("doc_id", "block_no")
             .agg(F.min("page_no").alias("first_page"), F.max("page_no").alias("last_page"),

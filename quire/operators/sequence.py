@@ -31,11 +31,13 @@ def _order(ts: str, tie: str | None):
     return [ts, tie] if tie else [ts]
 
 
-def prev_values(df: DataFrame, key: str, order: list[str], bucket: Column, cols: list[str]) -> DataFrame:
+def prev_values(df: DataFrame, key: str, order: list[str], bucket: Column | None, cols: list[str]) -> DataFrame:
     """Adds ``prev_<c>``: value of ``c`` on the previous row of the same key
     in ``order`` (NULL on the key's first row). ``bucket`` must be
-    non-decreasing along ``order``."""
-    x = df.withColumn("_b", bucket)
+    non-decreasing along ``order``; ``None`` reuses an existing ``_b``
+    column. The output keeps ``_b`` and stays partitioned by ``(key, _b)``,
+    so a following :func:`running_count` adds no shuffle of the rows."""
+    x = df if bucket is None else df.withColumn("_b", bucket)
     w = W.partitionBy(key, "_b").orderBy(*order)
     x = x.withColumn("_rn", F.row_number().over(w))
     for c in cols:
@@ -50,24 +52,26 @@ def prev_values(df: DataFrame, key: str, order: list[str], bucket: Column, cols:
     return x.drop("_carry", "_rn", *[f"_lag_{c}" for c in cols])
 
 
-def running_count(df: DataFrame, key: str, order: list[str], bucket: Column, flag: str, out: str) -> DataFrame:
+def running_count(df: DataFrame, key: str, order: list[str], bucket: Column | None, flag: str,
+                  out: str) -> DataFrame:
     """Adds ``out`` = number of rows with ``flag`` = 1 up to and including
     this one in the key's ``order``: a running sum per bucket plus the sum
-    of earlier buckets (from the per-bucket table)."""
-    x = df.withColumn("_b", bucket)
+    of earlier buckets (from the per-bucket table). ``bucket=None`` reuses
+    ``_b``."""
+    x = df if bucket is None else df.withColumn("_b", bucket)
     w = W.partitionBy(key, "_b").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     x = x.withColumn("_rs", F.sum(flag).over(w))
     per = x.groupBy(key, "_b").agg(F.sum(flag).alias("_nb"))
     wo = W.partitionBy(key).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     off = per.withColumn("_off", F.coalesce(F.sum("_nb").over(wo), F.lit(0))).select(key, "_b", "_off")
     x = x.join(off, [key, "_b"], "left")
-    return x.withColumn(out, (F.col("_off") + F.col("_rs")).cast("bigint")).drop("_b", "_rs", "_off")
+    return x.withColumn(out, (F.col("_off") + F.col("_rs")).cast("bigint")).drop("_rs", "_off")
 
 
 def bucketed_prev(df: DataFrame, key: str, ts: str, tie: str | None, cols: list[str],
                   bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
-    """:func:`prev_values` over a timestamp order with time buckets."""
-    return prev_values(df, key, _order(ts, tie), time_bucket(ts, bucket_s), cols).drop("_b")
+    """:func:`prev_values` over a timestamp order with time buckets (keeps ``_b``)."""
+    return prev_values(df, key, _order(ts, tie), time_bucket(ts, bucket_s), cols)
 
 
 def sessions(df: DataFrame, key: str, ts: str, tie: str | None, gap_s: int,
@@ -78,6 +82,5 @@ def sessions(df: DataFrame, key: str, ts: str, tie: str | None, gap_s: int,
     x = bucketed_prev(df, key, ts, tie, [ts], bucket_s)
     new = (F.col(f"prev_{ts}").isNull()
            | (F.col(ts) >= F.col(f"prev_{ts}") + F.expr(f"INTERVAL {gap_s} SECONDS"))).cast("int")
-    x = running_count(x.withColumn("_new", new), key, _order(ts, tie), time_bucket(ts, bucket_s),
-                      "_new", "session_no")
-    return x.drop("_new", f"prev_{ts}")
+    x = running_count(x.withColumn("_new", new), key, _order(ts, tie), None, "_new", "session_no")
+    return x.drop("_new", f"prev_{ts}", "_b")
