@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import keys as K
@@ -48,10 +47,19 @@ def route_objects(df: DataFrame, key: str = "raw_key", ignore_case: bool = False
     return df.withColumn("route", K.route(key, ignore_case))
 
 
-def page_order(df: DataFrame, name: str = "name", doc: str = "doc_id") -> DataFrame:
-    """Numeric page order inside a document; non-matching names last."""
-    w = W.partitionBy(doc).orderBy(F.col("page_no").asc_nulls_last(), F.col(name))
-    return df.withColumn("page_no", K.page_ordinal(name)).withColumn("ord", F.row_number().over(w))
+def page_order(df: DataFrame, name: str = "name", doc: str = "doc_id", page_bucket: int = 256) -> DataFrame:
+    """Numeric page order inside a document; non-matching names last.
+
+    The ordinal is a running count per ``(doc, page range)`` plus the counts
+    of earlier ranges, so one document with a huge share of all pages is
+    still numbered by many tasks."""
+    from quire.operators.sequence import running_count
+    x = df.withColumn("page_no", K.page_ordinal(name))
+    last = F.lit((1 << 31) - 1)
+    x = x.withColumn("_pk", F.coalesce(F.col("page_no"), last)).withColumn("_one", F.lit(1))
+    bucket = F.floor(F.col("_pk") / F.lit(page_bucket)).cast("bigint")
+    x = running_count(x, doc, ["_pk", name], bucket, "_one", "ord")
+    return x.withColumn("ord", F.col("ord").cast("int")).drop("_pk", "_one", "_b")
 
 
 def answer_or_fallback(df: DataFrame, output: str = "output", error: str | None = None) -> DataFrame:
