@@ -19,8 +19,20 @@ DEFAULT_BUCKET_S = 3600
 DEFAULT_PAGE_BUCKET = 256
 
 
-def time_bucket(ts: str, bucket_s: int = DEFAULT_BUCKET_S) -> Column:
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_s * 1_000_000)).cast("bigint")
+def time_bucket(ts: str, bucket_s: int = DEFAULT_BUCKET_S, ntz: bool = True) -> Column:
+    """Monotonic bucket of a timestamp, independent of the session time zone:
+    ``timestamp_ntz`` is bucketed on its wall-clock value (days since epoch
+    and seconds of day), ``timestamp`` on its instant."""
+    c = F.col(ts)
+    if ntz:
+        secs = (F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
+                + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c))
+        return F.floor(secs / F.lit(bucket_s)).cast("bigint")
+    return F.floor(F.unix_micros(c) / F.lit(bucket_s * 1_000_000)).cast("bigint")
+
+
+def _is_ntz(df: DataFrame, ts: str) -> bool:
+    return dict(df.dtypes).get(ts) == "timestamp_ntz"
 
 
 def range_bucket(col: str, width: int = DEFAULT_PAGE_BUCKET) -> Column:
@@ -71,7 +83,7 @@ def running_count(df: DataFrame, key: str, order: list[str], bucket: Column | No
 def bucketed_prev(df: DataFrame, key: str, ts: str, tie: str | None, cols: list[str],
                   bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """:func:`prev_values` over a timestamp order with time buckets (keeps ``_b``)."""
-    return prev_values(df, key, _order(ts, tie), time_bucket(ts, bucket_s), cols)
+    return prev_values(df, key, _order(ts, tie), time_bucket(ts, bucket_s, _is_ntz(df, ts)), cols)
 
 
 def sessions(df: DataFrame, key: str, ts: str, tie: str | None, gap_s: int,
