@@ -107,3 +107,31 @@ def embed_chunks(chunks: DataFrame, model: str = "hashing-64", text: str = "text
     fitted = pipe.fit(toks)
     out = fitted.transform(toks)
     return out.select(id_col, vector_to_array("_vec", "float32").alias("embedding"))
+
+
+def embed_with(chunks: DataFrame, fn, model: str, text: str = "text", id_col: str = "chunk_id",
+               batch_size: int = 64) -> DataFrame:
+    """C4 with a user embedding model (U2): ``fn(list[str]) -> list[list[float]]``
+    is called on batches inside ``mapInPandas`` (Arrow transfer, one model
+    client per task). Vectors whose length is not the model's dimension are
+    flagged (P13) instead of failing the job."""
+    from pyspark.sql import types as T
+
+    dim = MODEL_DIMS.get(model)
+    if dim is None:
+        raise ValueError(f"unsupported embedding model {model!r}")
+    schema = T.StructType([T.StructField(id_col, chunks.schema[id_col].dataType),
+                           T.StructField("embedding", T.ArrayType(T.FloatType())),
+                           T.StructField("dim_ok", T.BooleanType())])
+
+    def run(batches):
+        import pandas as pd
+        for pdf in batches:
+            vecs = []
+            texts = pdf[text].tolist()
+            for i in range(0, len(texts), batch_size):
+                vecs.extend(fn(texts[i:i + batch_size]))
+            yield pd.DataFrame({id_col: pdf[id_col], "embedding": [list(map(float, v)) for v in vecs],
+                                "dim_ok": [len(v) == dim for v in vecs]})
+
+    return chunks.select(id_col, text).mapInPandas(run, schema)

@@ -43,12 +43,33 @@ def statements(answers: DataFrame, answer: str = "answer") -> DataFrame:
     return answers.select("qid", F.posexplode(tx.sentences(answer)).alias("stmt_no", "statement"))
 
 
-def statement_verdicts(answers: DataFrame, answer: str = "answer", contexts: str = "contexts") -> DataFrame:
-    """Verdict per statement against the union of the contexts."""
-    a = answers.select("qid", answer, context_tokens(contexts).alias("_ctx"))
-    s = a.select("qid", "_ctx", F.posexplode(tx.sentences(answer)).alias("stmt_no", "statement"))
-    return s.select("qid", "stmt_no", "statement",
-                    F.coalesce(supported(_toks("statement"), F.col("_ctx")), F.lit(False)).alias("supported"))
+# Own wording of the judge request used when a judge model is supplied (U3:
+# callers may pass their own template with the same placeholders).
+JUDGE_PROMPT = ("Context:\n$contexts$\n\nStatement: $statement$\n\n"
+                "Can the statement be inferred from the context? Answer Yes or No.")
+
+
+def statement_verdicts(answers: DataFrame, answer: str = "answer", contexts: str = "contexts",
+                       judge=None, template: str = JUDGE_PROMPT) -> DataFrame:
+    """Verdict per statement against the union of the contexts.
+
+    Default judge: token containment. With ``judge`` (a model function, U2)
+    each statement becomes a request built from ``template`` (U3), runs
+    through ``batch_infer`` and the reply is parsed with the ``Yes`` test."""
+    if judge is None:
+        a = answers.select("qid", answer, context_tokens(contexts).alias("_ctx"))
+        s = a.select("qid", "_ctx", F.posexplode(tx.sentences(answer)).alias("stmt_no", "statement"))
+        return s.select("qid", "stmt_no", "statement",
+                        F.coalesce(supported(_toks("statement"), F.col("_ctx")), F.lit(False)).alias("supported"))
+    from quire.operators.infer import batch_infer
+    from quire.operators.retrieve import fill_template
+    s = answers.select("qid", F.array_join(F.col(contexts), "\n\n").alias("_ctx"),
+                       F.posexplode(tx.sentences(answer)).alias("stmt_no", "statement"))
+    req = s.select("qid", "stmt_no", "statement",
+                   fill_template(template, {"contexts": F.col("_ctx"), "statement": F.col("statement")})
+                   .alias("prompt"))
+    out = batch_infer(req, judge, "prompt")
+    return out.select("qid", "stmt_no", "statement", tx.contains_yes("output_text").alias("supported"))
 
 
 def _mean_bool(arr: Column) -> Column:

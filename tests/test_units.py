@@ -266,3 +266,30 @@ def test_page_sequencing_independent_of_bucket_width(spark):
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
         c = PG.page_context(pages, page_bucket=width)
         assert c.exceptAll(ctx).count() == 0 and ctx.exceptAll(c).count() == 0
+
+
+def test_pluggable_judge_with_template(spark):
+    a = spark.createDataFrame([(1, "The cat sat. Dogs fly.", ["the cat sat on the mat"])],
+                              "qid long, answer string, contexts array<string>")
+
+    def judge(prompt):
+        stmt = prompt.split("CLAIM=")[1].split("\n")[0]
+        ctx = prompt.split("CTX=")[1].split("\n")[0]
+        return "Yes" if stmt.lower().split()[1] in ctx else "No"
+
+    v = EV.statement_verdicts(a, judge=judge, template="CTX=$contexts$\nCLAIM=$statement$\n")
+    got = {r.stmt_no: r.supported for r in v.collect()}
+    assert got == {0: True, 1: False}
+
+
+def test_embed_with_user_model_checks_dimension(spark):
+    df = spark.createDataFrame([("a", "one two"), ("b", "three")], "chunk_id string, text string")
+
+    def fake(texts):
+        return [[float(len(t))] * (64 if t != "three" else 3) for t in texts]
+
+    out = {r.chunk_id: r for r in C.embed_with(df, fake, "hashing-64").collect()}
+    assert out["a"].dim_ok and len(out["a"].embedding) == 64
+    assert not out["b"].dim_ok
+    with pytest.raises(ValueError):
+        C.embed_with(df, fake, "no-such-model")
