@@ -77,9 +77,11 @@ class LexicalIndex:
         shuffle of one row per term and partition)."""
         if self._idf is None:
             n = float(self.n_chunks)
-            df_ = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+            df_ = self.postings.groupBy("term").agg(
+                F.count(F.lit(1)).alias("df"),
+                F.max(_tf_norm(BM25_K1, BM25_B, self.avgdl)).alias("max_tfn"))
             self._idf = df_.select(
-                "term", "df",
+                "term", "df", "max_tfn",
                 F.log(F.lit(1.0) + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf_bm25"),
                 F.log((F.lit(n) + 1.0) / (F.col("df") + 1.0)).alias("idf")).persist()
         return self._idf
@@ -132,6 +134,11 @@ def _with_id(df: DataFrame) -> DataFrame:
     return df.withColumn("chunk_id", chunk_key_id())
 
 
+def _tf_norm(k1: float, b: float, avgdl: float) -> Column:
+    """BM25 saturation ``tf / (tf + k1*(1-b+b*dl/avgdl))`` of a posting."""
+    return F.col("tf") / (F.col("tf") + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl or 1.0)))
+
+
 def bm25_scores(idx: LexicalIndex, questions: DataFrame, qid: str = "qid",
                 question: str = "question", k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
     """R4 scores: sum over query terms of qtf * idf * tf*(k1+1)/(tf + k1*(1-b+b*dl/avgdl)).
@@ -147,11 +154,71 @@ def bm25_scores(idx: LexicalIndex, questions: DataFrame, qid: str = "qid",
     return hits.groupBy("qid", "doc_id", "chunk_no").agg(F.sum(part).alias("score"))
 
 
-def bm25_topk(idx: LexicalIndex, questions: DataFrame, k: int, **kw) -> DataFrame:
+def _bm25_topk_full(idx: LexicalIndex, questions: DataFrame, k: int, **kw) -> DataFrame:
     s = _with_id(bm25_scores(idx, questions, **kw))
     return _topk(s, "qid", F.col("score"), k, "chunk_id")
 
 
+COMMON_DF_FRACTION = 0.05
+# Pruning pays for its extra stages only when the common terms' postings are
+# many; below this many postings the plain join is cheaper.
+PRUNE_MIN_POSTINGS = 20_000_000
+
+
+def bm25_topk(idx: LexicalIndex, questions: DataFrame, k: int, prune: bool = True,
+              common_df_fraction: float = COMMON_DF_FRACTION, prune_min_postings: int = PRUNE_MIN_POSTINGS,
+              qid: str = "qid", question: str = "question",
+              k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
+    """Exact BM25 top-k with max-score pruning of common terms.
+
+    Terms in more than ``common_df_fraction`` of the chunks are
+    *non-essential*: their postings (the bulk of all postings) are never
+    joined in full. Candidates are the chunks matching an essential term;
+    their full score adds the non-essential terms by a keyed lookup of
+    ``(chunk, term)``. A chunk outside the candidates matches only
+    non-essential terms, so its score is at most ``sum(qtf * idf * (k1+1) *
+    max_tfn)`` over those terms. Where that bound is below the k-th
+    candidate score the candidate top-k is exact; the remaining questions
+    are scored over all postings. The result equals the unpruned ranking.
+    The pruned plan is chosen when the batch's common-term postings number
+    at least ``prune_min_postings`` (read from the document frequencies of
+    the query terms, a small aggregate).
+    """
+    if not prune or (k1, b) != (BM25_K1, BM25_B):
+        return _bm25_topk_full(idx, questions, k, qid=qid, question=question, k1=k1, b=b)
+    qs = questions.select(F.col(qid).alias("qid"), F.col(question).alias("question"))
+    qt = _query_terms(qs, "qid", "question")
+    ts = idx.term_stats().select("term", "df", "idf_bm25", "max_tfn") \
+        .join(qt.select("term").distinct(), "term", "left_semi")
+    q = qt.join(ts, "term").withColumn(
+        "ub", F.col("qtf") * F.col("idf_bm25") * F.lit(k1 + 1.0) * F.col("max_tfn"))
+    common = F.col("df") > F.lit(common_df_fraction * idx.n_chunks)
+    q = _bcast_if_small(q)
+    heavy = q.where(common).agg(F.sum("df")).first()[0] or 0
+    if heavy < prune_min_postings:
+        return _bm25_topk_full(idx, qs, k, k1=k1, b=b)
+    ess, nonu = q.where(~common), q.where(common)
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(idx.avgdl or 1.0))
+    part = F.col("qtf") * F.col("idf_bm25") * F.col("tf") * (k1 + 1.0) / (F.col("tf") + norm)
+    s_e = (idx.postings.join(ess.select("term", "qid", "qtf", "idf_bm25"), "term")
+           .groupBy("qid", "doc_id", "chunk_no").agg(F.sum(part).alias("s_e")))
+    cand_terms = s_e.select("qid", "doc_id", "chunk_no").join(nonu.select("qid", "term", "qtf", "idf_bm25"), "qid")
+    s_n = (cand_terms.join(idx.postings, ["doc_id", "chunk_no", "term"])
+           .groupBy("qid", "doc_id", "chunk_no").agg(F.sum(part).alias("s_n")))
+    full = (s_e.join(s_n, ["qid", "doc_id", "chunk_no"], "left")
+            .select("qid", "doc_id", "chunk_no", (F.col("s_e") + F.coalesce(F.col("s_n"), F.lit(0.0))).alias("score")))
+    top = _topk(_with_id(full), "qid", F.col("score"), k, "chunk_id").persist()
+    theta = top.groupBy("qid").agg(F.min("score").alias("theta"), F.count(F.lit(1)).alias("n"))
+    bound = nonu.groupBy("qid").agg(F.sum("ub").alias("ub_ne"))
+    exact = (theta.join(bound, "qid", "left")
+             .where((F.col("n") >= k) & (F.coalesce(F.col("ub_ne"), F.lit(0.0)) < F.col("theta") - F.lit(1e-9)))
+             .select("qid"))
+    exact = _bcast_if_small(exact)
+    kept = top.join(exact, "qid", "left_semi")
+    rest = qs.join(exact, "qid", "left_anti")
+    return kept.unionByName(_bm25_topk_full(idx, rest, k, k1=k1, b=b).select(*kept.columns))
+
+
 def semantic_scores(idx: LexicalIndex, questions: DataFrame, qid: str = "qid",
                     question: str = "question") -> DataFrame:
     """Sparse semantic similarity: cosine of L2-normalised TF-IDF vectors
