@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.functions import text as tx
 from quire.operators import retrieve as RT
 from quire.operators.answer import answer_questions as answer_op
 from quire.plans import fixtures as FX
