@@ -71,6 +71,7 @@ class LexicalIndex:
     avgdl: float
     _idf: DataFrame | None = None
     _norms: DataFrame | None = None
+    _sem_max: DataFrame | None = None
 
     def term_stats(self) -> DataFrame:
         """df and both idf forms for every term (partial aggregation, then a
@@ -97,8 +98,20 @@ class LexicalIndex:
                            .agg(F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("tfidf_norm"))).persist()
         return self._norms
 
+    def sem_term_max(self) -> DataFrame:
+        """Per term, the largest normalised TF-IDF weight ``tf*idf/norm`` any
+        chunk gives it (the semantic score's per-term upper bound). One pass
+        over the postings joined with the co-partitioned norms."""
+        if self._sem_max is None:
+            idf = _bcast_if_small(self.term_stats().select("term", "idf"))
+            w = (self.postings.join(idf, "term").join(self.norms().where(F.col("tfidf_norm") > 0),
+                                                      ["doc_id", "chunk_no"]))
+            self._sem_max = (w.groupBy("term")
+                             .agg(F.max(F.col("tf") * F.col("idf") / F.col("tfidf_norm")).alias("max_w"))).persist()
+        return self._sem_max
+
     def unpersist(self) -> None:
-        for d in (self.postings, self.chunks, self._idf, self._norms):
+        for d in (self.postings, self.chunks, self._idf, self._norms, self._sem_max):
             if d is not None:
                 d.unpersist()
 
@@ -239,11 +252,55 @@ def semantic_scores(idx: LexicalIndex, questions: DataFrame, qid: str = "qid",
                                 F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - F.lit(2.0) * cos)).alias("distance")))
 
 
-def semantic_topk(idx: LexicalIndex, questions: DataFrame, k: int, **kw) -> DataFrame:
+def _semantic_topk_full(idx: LexicalIndex, questions: DataFrame, k: int, **kw) -> DataFrame:
     s = semantic_scores(idx, questions, **kw).where(F.col("score") > 0)
     return _topk(s, "qid", F.col("score"), k, "chunk_id")
 
 
+def semantic_topk(idx: LexicalIndex, questions: DataFrame, k: int, prune: bool = True,
+                  common_df_fraction: float = COMMON_DF_FRACTION, prune_min_postings: int = PRUNE_MIN_POSTINGS,
+                  qid: str = "qid", question: str = "question") -> DataFrame:
+    """Sparse semantic top-k with the same exact max-score pruning as
+    :func:`bm25_topk`: a chunk matching only common terms has cosine at most
+    ``sum(wq / qnorm * max_w)`` over those terms."""
+    qs = questions.select(F.col(qid).alias("qid"), F.col(question).alias("question"))
+    if not prune:
+        return _semantic_topk_full(idx, qs, k)
+    qt = _query_terms(qs, "qid", "question")
+    ts = idx.term_stats().select("term", "df", "idf").join(qt.select("term").distinct(), "term", "left_semi")
+    q = qt.join(ts, "term").withColumn("wq", F.col("qtf") * F.col("idf"))
+    qn = q.groupBy("qid").agg(F.sqrt(F.sum(F.col("wq") ** 2)).alias("qnorm")).where(F.col("qnorm") > 0)
+    common = F.col("df") > F.lit(common_df_fraction * idx.n_chunks)
+    q = _bcast_if_small(q.join(qn, "qid"))
+    heavy = q.where(common).agg(F.sum("df")).first()[0] or 0
+    if heavy < prune_min_postings:
+        return _semantic_topk_full(idx, qs, k)
+    ess, nonu = q.where(~common), q.where(common)
+    contrib = F.col("wq") * F.col("tf") * F.col("idf")
+    d_e = (idx.postings.join(ess.select("term", "qid", "wq", "idf", "qnorm"), "term")
+           .groupBy("qid", "doc_id", "chunk_no").agg(F.sum(contrib).alias("d_e"), F.first("qnorm").alias("qnorm")))
+    cand_terms = d_e.select("qid", "doc_id", "chunk_no").join(nonu.select("qid", "term", "wq", "idf"), "qid")
+    d_n = (cand_terms.join(idx.postings, ["doc_id", "chunk_no", "term"])
+           .groupBy("qid", "doc_id", "chunk_no").agg(F.sum(contrib).alias("d_n")))
+    full = (d_e.join(d_n, ["qid", "doc_id", "chunk_no"], "left")
+            .join(idx.norms().where(F.col("tfidf_norm") > 0), ["doc_id", "chunk_no"]))
+    cos = (F.col("d_e") + F.coalesce(F.col("d_n"), F.lit(0.0))) / (F.col("qnorm") * F.col("tfidf_norm"))
+    scored = _with_id(full.select("qid", "doc_id", "chunk_no", cos.alias("score"),
+                                  F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - F.lit(2.0) * cos)).alias("distance")))
+    top = _topk(scored.where(F.col("score") > 0), "qid", F.col("score"), k, "chunk_id").persist()
+    theta = top.groupBy("qid").agg(F.min("score").alias("theta"), F.count(F.lit(1)).alias("n"))
+    mx = idx.sem_term_max()
+    bound = (nonu.join(mx, "term")
+             .groupBy("qid").agg(F.sum(F.col("wq") / F.col("qnorm") * F.col("max_w")).alias("ub_ne")))
+    exact = (theta.join(bound, "qid", "left")
+             .where((F.col("n") >= k) & (F.coalesce(F.col("ub_ne"), F.lit(0.0)) < F.col("theta") - F.lit(1e-9)))
+             .select("qid"))
+    exact = _bcast_if_small(exact)
+    kept = top.join(exact, "qid", "left_semi")
+    rest = qs.join(exact, "qid", "left_anti")
+    return kept.unionByName(_semantic_topk_full(idx, rest, k).select(*kept.columns))
+
+
 def hybrid_topk(idx: LexicalIndex, questions: DataFrame, k: int, depth: int = 10,
                 search_type: str = "HYBRID", **kw) -> DataFrame:
     """``SEMANTIC`` or ``HYBRID``. Hybrid fuses the top-``depth`` lexical

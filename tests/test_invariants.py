@@ -107,3 +107,14 @@ def test_pruned_bm25_equals_full_ranking(spark):
     for frac in (0.01, 0.05, 0.5):
         got = RT.bm25_topk(idx, q, 5, common_df_fraction=frac, prune_min_postings=0).select(*cols)
         assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+
+
+def test_pruned_semantic_equals_full_ranking(spark):
+    from tests.conftest import SF_ORACLE
+    idx = RT.build_index(FX.kb_chunks(spark, SF_ORACLE).select("doc_id", "chunk_no", "text"))
+    q = FX.golden(spark, SF_ORACLE)
+    cols = ["qid", "rank", "chunk_id"]
+    full = RT.semantic_topk(idx, q, 5, prune=False).select(*cols)
+    for frac in (0.01, 0.05, 0.5):
+        got = RT.semantic_topk(idx, q, 5, common_df_fraction=frac, prune_min_postings=0).select(*cols)
+        assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
