@@ -8,7 +8,7 @@ from quire.functions import text as tx
 from quire.operators import media as M
 from quire.plans import fixtures as FX
 from quire.plans.catalog import register
-from quire.plans.sql_fixtures import first_sentence, with_ctes
+from quire.plans.sql_fixtures import first_sentence, labels_json_sql, with_ctes
 from quire.sources import events as EV
 
 NL = "chr(10)"
@@ -33,9 +33,8 @@ def frame_limit(spark, sf):
     return M.frame_labels(M.frame_limit(FX.detections(spark, sf), 3))
 
 
-@register("video_labels", with_ctes("""
-SELECT video, n_frames, """ + __import__("quire.plans.sql_fixtures", fromlist=["x"]).labels_json_sql("frames")
-                                    + " AS labels_json FROM video_frames", "video_frames"))
+@register("video_labels", with_ctes(
+    "SELECT video, n_frames, " + labels_json_sql("frames") + " AS labels_json FROM video_frames", "video_frames"))
 def video_labels(spark, sf):
     return M.video_labels(FX.detections(spark, sf)).select("video", "n_frames", "labels_json")
 
