@@ -331,42 +331,45 @@ def l2(a, b) -> Column:
 @dataclass
 class CellIndex:
     corpus: DataFrame          # id, vec, cell
-    centroids: list            # list[list[float]]
-    radius: list               # per cell max distance to its centroid (0 when empty)
-    counts: list               # per cell size
+    cells: DataFrame           # cell, c (centroid), r (radius), n (size): n_cells rows
+    n_cells: int
 
 
 def build_cells(corpus: DataFrame, id_col: str = "vec_id", vec: str = "embedding",
                 n_cells: int = 16, seed: int = 7, max_iter: int = 10) -> CellIndex:
     """Partition vectors into KMeans cells (Spark ML, distributed Lloyd
-    steps). Centroids, radii and counts are ``n_cells``-sized and live on
-    the driver; the corpus stays distributed."""
+    steps). The centroid table has ``n_cells`` rows (a bounded broadcast);
+    radius and size per cell come from one grouped aggregate; the corpus
+    stays distributed."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
+    spark = corpus.sparkSession
     v = corpus.select(F.col(id_col).alias("id"), F.col(vec).alias("vec"),
                       array_to_vector(F.col(vec)).alias("_features"))
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="_features",
                    predictionCol="cell", initMode="k-means||").fit(v)
-    cents = [list(map(float, c)) for c in model.clusterCenters()]
-    assigned = model.transform(v).drop("_features")
-    clit = F.array(*[F.array(*[F.lit(x) for x in c]) for c in cents])
-    assigned = assigned.withColumn("dcell", l2(F.col("vec"), F.element_at(clit, F.col("cell") + 1)))
-    st = {r["cell"]: (r["r"], r["n"]) for r in
-          assigned.groupBy("cell").agg(F.max("dcell").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
-    radius = [float(st.get(i, (0.0, 0))[0]) for i in range(len(cents))]
-    counts = [int(st.get(i, (0.0, 0))[1]) for i in range(len(cents))]
-    return CellIndex(assigned.select("id", "vec", "cell"), cents, radius, counts)
-
-
-def _cell_dists(idx: CellIndex, qvec: Column) -> Column:
-    """array<struct<d, lb, cell>> sorted by distance to the centroid."""
-    arr = F.array(*[F.struct(F.lit(i).alias("cell"), F.array(*[F.lit(x) for x in c]).alias("c"),
-                             F.lit(idx.radius[i]).alias("r"), F.lit(idx.counts[i]).alias("n"))
-                    for i, c in enumerate(idx.centroids)])
-    ds = F.transform(arr, lambda s: F.struct(l2(qvec, s["c"]).alias("d"), s["cell"].alias("cell"),
-                                             s["r"].alias("r"), s["n"].alias("n")))
-    return F.array_sort(F.filter(ds, lambda s: s["n"] > 0))
+    cents = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
+                                  "cell int, c array<double>")
+    assigned = model.transform(v).drop("_features").join(F.broadcast(cents), "cell")
+    assigned = assigned.withColumn("dcell", l2(F.col("vec"), F.col("c"))).drop("c")
+    st = assigned.groupBy("cell").agg(F.max("dcell").alias("r"), F.count(F.lit(1)).alias("n"))
+    cells = (cents.join(st, "cell", "left")
+             .select("cell", "c", F.coalesce("r", F.lit(0.0)).alias("r"), F.coalesce("n", F.lit(0)).alias("n"))
+             .persist())
+    cells.count()
+    return CellIndex(assigned.select("id", "vec", "cell"), cells, len(model.clusterCenters()))
+
+
+def _with_cell_dists(q: DataFrame, idx: CellIndex) -> DataFrame:
+    """Adds ``_cd``: the query's non-empty cells as ``struct<d, cell, r, n>``
+    sorted by distance to the centroid. Each query meets each centroid by an
+    equi-join on the cell id against the bounded, broadcast centroid table."""
+    qc = (q.select("qid", "qvec", F.explode(F.sequence(F.lit(0), F.lit(idx.n_cells - 1))).alias("cell"))
+          .join(F.broadcast(idx.cells.where(F.col("n") > 0)), "cell"))
+    cd = (qc.select("qid", F.struct(l2(F.col("qvec"), F.col("c")).alias("d"), "cell", "r", "n").alias("s"))
+          .groupBy("qid").agg(F.array_sort(F.collect_list("s")).alias("_cd")))
+    return q.join(cd, "qid")
 
 
 def _probe(queries: DataFrame, idx: CellIndex, cells_col: str, k: int) -> DataFrame:
@@ -385,7 +388,7 @@ def knn(idx: CellIndex, queries: DataFrame, k: int, nprobe: int = 2, exact: bool
     fewer than k were found), then the two candidate sets are merged.
     """
     q = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qvec"))
-    q = q.withColumn("_cd", _cell_dists(idx, F.col("qvec")))
+    q = _with_cell_dists(q, idx)
     first = q.withColumn("_p1", F.transform(F.slice("_cd", 1, nprobe), lambda s: s["cell"]))
     c1 = _topk(_probe(first, idx, "_p1", k), "qid", F.col("distance"), k, "id", desc=False)
     if not exact:
