@@ -9,7 +9,8 @@ large row group is read by a single task and every narrow step after it
 fewer partitions than the cluster's parallelism, :func:`table` spreads it
 right after the scan: by its unique id where one exists (so later per-id
 grouping and windows need no further shuffle), round-robin otherwise (no
-key, hence no skew). A scan that is already wide is left alone.
+key, hence no skew). A scan that is already wide, or a table of a few MB,
+is left alone.
 """
 
 from __future__ import annotations
@@ -25,13 +26,31 @@ SPREAD_KEY = {"documents": "doc_id", "pages": "page_id", "embeddings": "vec_id",
               "lineitem": None, "events": None, "conversations": None}
 
 
+# Below this many bytes on storage a table is not worth an extra stage.
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
+
+
+def _stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size on storage through the Hadoop FileSystem of the path (works for
+    any scheme the cluster can read); -1 when unknown."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(p).getLength())
+    except Exception:  # noqa: BLE001 - size unknown: behave as if large
+        return -1
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     if spread and name in SPREAD_KEY:
         target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
+        size = _stored_bytes(spark, path)
+        if (size < 0 or size >= SPREAD_MIN_BYTES) and df.rdd.getNumPartitions() < target:
             key = SPREAD_KEY[name]
             df = df.repartition(target, key) if key else df.repartition(target)
     return df
