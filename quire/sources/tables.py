@@ -23,7 +23,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 # Unique id per table (spread by hash of it); None = round-robin.
 SPREAD_KEY = {"documents": "doc_id", "pages": "page_id", "embeddings": "vec_id", "orders": "o_orderkey",
               "benchmark": "item_id", "labels": "doc_id", "customer": "c_custkey", "part": "p_partkey",
-              "lineitem": None, "events": None, "conversations": None}
+              "events": None, "conversations": None}
+# lineitem is not spread: every operator over it starts with a hash shuffle
+# (window or aggregate) that parallelises it anyway, so a round-robin pass
+# first would only add a stage.
 
 
 # Below this many bytes on storage a table is not worth an extra stage.
