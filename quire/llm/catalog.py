@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from quire.llm.langid import op4_langid
+from quire.llm.mixing import OP6_SQL, op6_mix
 from quire.llm.packing import op9_pack
+from quire.llm.quality import OP5_SQL, op5_quality
 from quire.llm.token_files import op7_token_orc
 
 
 def load() -> dict:
     return {
+        "op4_langid": (op4_langid, None),
+        "op5_quality": (op5_quality, OP5_SQL),
+        "op6_mix": (op6_mix, OP6_SQL),
         "op7_token_orc": (op7_token_orc, None),
         "op9_pack": (op9_pack, None),
     }
