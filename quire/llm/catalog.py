@@ -6,6 +6,7 @@ from quire.llm.ann import op1_nearest
 from quire.llm.langid import op4_langid
 from quire.llm.mixing import OP6_SQL, op6_mix
 from quire.llm.packing import op9_pack
+from quire.llm.pii import op2_pii
 from quire.llm.quality import OP5_SQL, op5_quality
 from quire.llm.token_files import op7_token_orc
 from quire.llm.urls import OP3_SQL, op3_urls
@@ -14,6 +15,7 @@ from quire.llm.urls import OP3_SQL, op3_urls
 def load() -> dict:
     return {
         "op1_nearest": (op1_nearest, None),
+        "op2_pii": (op2_pii, None),
         "op3_urls": (op3_urls, OP3_SQL),
         "op4_langid": (op4_langid, None),
         "op5_quality": (op5_quality, OP5_SQL),
