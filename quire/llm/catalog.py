@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quire.llm.ann import op1_nearest
+from quire.llm.jaccard import OP8_SQL, op8_jaccard
 from quire.llm.langid import op4_langid
 from quire.llm.mixing import OP6_SQL, op6_mix
 from quire.llm.packing import op9_pack
@@ -21,5 +22,6 @@ def load() -> dict:
         "op5_quality": (op5_quality, OP5_SQL),
         "op6_mix": (op6_mix, OP6_SQL),
         "op7_token_orc": (op7_token_orc, None),
+        "op8_jaccard": (op8_jaccard, OP8_SQL),
         "op9_pack": (op9_pack, None),
     }
