@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quire.llm.ann import op1_nearest
+from quire.llm.html_main import op10_main_text
 from quire.llm.jaccard import OP8_SQL, op8_jaccard
 from quire.llm.langid import op4_langid
 from quire.llm.mixing import OP6_SQL, op6_mix
@@ -24,4 +25,5 @@ def load() -> dict:
         "op7_token_orc": (op7_token_orc, None),
         "op8_jaccard": (op8_jaccard, OP8_SQL),
         "op9_pack": (op9_pack, None),
+        "op10_main_text": (op10_main_text, None),
     }
