@@ -191,8 +191,9 @@ def _texts(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Data
 
 
 def link(spark: SparkSession, docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, th, n_shingles and component_id (the smallest doc_id reached
-    over links) of every row."""
+    """doc_id, th, n_shingles, component_id (the smallest doc_id reached over
+    links) and root (a name of the component, null for rows that cannot link)
+    of every row."""
     shared = spark.sparkContext.broadcast(count_table(docs, n))
     rows = written(spark, sets(docs, n, percent, shared), "sets")
     first = F.min(F.struct("doc_id", "th"))
@@ -255,10 +256,29 @@ def link(spark: SparkSession, docs: DataFrame, n: int = WORDS, percent: int = PE
     named = of(classes.select("sid", "rep"), "sid")
     least = named.groupBy("root").agg(F.min("rep").alias("component"))
     ids = written(spark, named.join(least.withColumnRenamed("root", "_r"), F.col("root") == F.col("_r"))
-                  .select(F.col("sid").alias("_sid"), "component"), "class-components")
+                  .select(F.col("sid").alias("_sid"), "component", "root"), "class-components")
     own = F.col("doc_id")
     return (rows.join(ids, F.col("sid") == F.col("_sid"), "left")
-            .select("doc_id", "th", "n_shingles", F.when(own.isNotNull(), F.coalesce("component", own)).alias("component_id")))
+            .select("doc_id", "th", "n_shingles", F.when(own.isNotNull(), F.coalesce("component", own)).alias("component_id"),
+                    F.when(own.isNotNull(), F.col("root")).alias("root")))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without near copies: of each component the row with the
+    smallest doc_id stays (of several with one doc_id, one)."""
+    rows = (link(spark, docs, n, percent).where(F.col("root").isNotNull())
+            .groupBy("root", "doc_id", "th").agg(F.count("*").alias("m")))
+    rows = written(spark, rows, "linked")
+    first = rows.groupBy(F.col("root").alias("_root")).agg(F.min(F.struct("doc_id", "th")).alias("_first"))
+    stays = F.struct("doc_id", "th") == F.col("_first")
+    acts = (rows.join(first, F.col("root") == F.col("_root")).where(~stays | (F.col("m") > 1))
+            .groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).agg(F.max(stays).alias("_once")))
+    acts = written(spark, acts, "drops")
+    joined = docs.withColumn("_h", F.xxhash64("text")).join(
+        acts, (F.col("doc_id") == F.col("_doc")) & (F.col("_h") == F.col("_th")), "left")
+    rest = joined.where(F.col("_doc").isNull()).select(*docs.columns)
+    once = joined.where("_once").dropDuplicates(["_doc", "_th"]).select(*docs.columns)
+    return rest.unionByName(once)
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
