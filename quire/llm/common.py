@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quire.session import scratch_path
 
@@ -36,3 +37,14 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def packed(docs: DataFrame, name: str = "row") -> Column:
+    """All columns as one struct: what an operator adds cannot clash with
+    columns that it only passes through."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name)
+
+
+def unpacked(docs: DataFrame, name: str = "row", **new: Column) -> list[Column]:
+    """The columns of ``docs`` from the struct, some replaced."""
+    return [(new[c] if c in new else F.col(name).getField(c)).alias(c) for c in docs.columns]

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import WORD, documents, written
+from quire.llm.common import WORD, documents, packed, unpacked, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -120,29 +120,28 @@ def mix(spark: SparkSession, docs: DataFrame, seed: str = SEED) -> DataFrame:
 
 def mix_documents(spark: SparkSession, docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    cols = docs.columns
     rows = written(spark, docs.select(*_keyed(docs, seed)), "mix-keys")
     place = F.struct("_key", "_doc", "size")
     # per source: epochs, the last group taken once more, and how many of it
-    ends = choose(rows).groupBy("_src").agg(
+    ends = choose(rows).groupBy(F.col("_src").alias("_s")).agg(
         F.max("epochs").alias("_epochs"),
         F.max(F.when(F.col("extra") > 0, F.struct(place.alias("at"), "n", "extra"))).alias("_last"))
-    ends = written(spark, ends.withColumnRenamed("_src", "_s"), "mix-ends")
-    keyed = docs.select(*cols, *_keyed(docs, seed)).join(ends, F.col("_src") == F.col("_s"))
+    ends = written(spark, ends, "mix-ends")
+    keyed = docs.select(packed(docs), *_keyed(docs, seed)).join(ends, F.col("_src") == F.col("_s"))
     whole = F.col("_last.n") == F.col("_last.extra")
     once = F.coalesce((place < F.col("_last.at")) | ((place == F.col("_last.at")) & whole), F.lit(False))
     split = F.coalesce((place == F.col("_last.at")) & ~whole, F.lit(False))
-    copies = (F.col("_epochs") + once.cast("long"))
-    most = keyed.where(~split).select(*cols, copies.alias("_copies"))
+    most = keyed.where(~split).select("row", (F.col("_epochs") + once.cast("long")).alias("_copies"))
     # a budget that ends among equal rows: count them, then take as many as fit
-    equal = keyed.where(split).groupBy(*cols, "_src", "_epochs", F.col("_last.extra").alias("_extra")).agg(
-        F.count("*").alias("_n"))
-    earlier = Window.partitionBy("_src").orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
+    equal = (keyed.where(split).groupBy("row", "_src", "_epochs", F.col("_last.extra").alias("_extra"))
+             .agg(F.count("*").alias("_n")))
+    earlier = Window.partitionBy("_src").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     took = F.greatest(F.lit(0).cast("long"), F.least(
         F.col("_n"), F.col("_extra") - F.coalesce(F.sum("_n").over(earlier), F.lit(0))))
-    rest = equal.select(*cols, (F.col("_epochs") * F.col("_n") + took).alias("_copies"))
+    rest = equal.select("row", (F.col("_epochs") * F.col("_n") + took).alias("_copies"))
     every = most.unionByName(rest).where(F.col("_copies") > 0)
-    return every.withColumn("_c", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*cols)
+    return (every.withColumn("_c", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+            .select(*unpacked(docs)))
 
 
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents
+from quire.llm.common import documents, packed, unpacked
 
 KEY = "pseudonym-key-1"
 ROUNDS = 8
@@ -248,22 +248,20 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
 def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY, count_col: str | None = None) -> DataFrame:
     """``docs`` with pseudonyms in ``text_col``, and the number of values
     replaced in ``count_col`` if asked for."""
-    text = F.col(text_col)
+    text = F.col("text")
     maybe = F.coalesce(F.regexp_like(text, F.lit(SIGN)), F.lit(False))
-    found = F.when(maybe, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    new = F.transform("_found", lambda m: pseudonym(m, key))
-    step1 = docs.withColumn("_found", found)
-    step2 = step1.withColumn("_new", F.when(F.size("_found") > 0, new))
+    found = (docs.select(packed(docs), F.col(f"`{text_col}`").cast("string").alias("text"))
+             .withColumn("found", F.when(maybe, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))))
+    made = found.withColumn("new", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(m, key))))
     # the texts between the finds are one more than the finds
     between = F.split(text, ANY, -1)
     joined = F.array_join(F.flatten(F.zip_with(
-        between, F.concat("_new", F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")
-    out = [F.when(F.col("_new").isNotNull(), joined).otherwise(text).alias(text_col) if c == text_col else F.col(c)
-           for c in docs.columns]
+        between, F.concat("new", F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")
+    out = unpacked(docs, **{text_col: F.when(F.col("new").isNotNull(), joined).otherwise(text)})
     if count_col:
-        changed = F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x)
-        out.append(F.when(F.col("_new").isNotNull(), F.size(changed)).otherwise(0).alias(count_col))
-    return step2.select(*out)
+        changed = F.filter(F.zip_with("found", "new", lambda a, b: a != b), lambda x: x)
+        out.append(F.when(F.col("new").isNotNull(), F.size(changed)).otherwise(0).alias(count_col))
+    return made.select(*out)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,11 +22,11 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from quire.llm.common import SPACES, documents, written
+from quire.llm.common import SPACES, documents, packed, unpacked, written
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 SYMBOLS = b"#*$%&|<>"
@@ -63,22 +63,23 @@ def _counts(text: bytes) -> tuple[int, ...]:
     return n, chars, len(kept) - len(kept.translate(None, SYMBOLS)), len(lines) - len(set(lines)), repeated, len(lines)
 
 
-def with_counts(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (default: all) and the counts in a struct ``_counts``."""
-    keep = docs.columns if keep is None else keep
-    inner = StructType([StructField(c, LongType()) for c in COUNTS])
-    passed = docs.select(*keep)
-    schema = StructType([*passed.schema.fields, StructField("_counts", inner)])
-    names = [*keep, "_counts"]
+def with_counts(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """row (by default all columns of ``docs`` in a struct), lang and source
+    (null as empty) and the counts in a struct."""
+    rows = docs.select((packed(docs) if row is None else row).alias("row"), _group("lang").alias("lang"),
+                       _group("source").alias("source"), F.col("text").cast("string").alias("text"))
+    counts = StructType([StructField(c, LongType()) for c in COUNTS])
+    schema = StructType([*rows.schema.fields[:3], StructField("counts", counts)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             *rest, texts = batch.columns
-            rows = [(0,) * 6 if t is None else _counts(t) for t in texts.cast(pa.binary()).to_pylist()]
-            cols = [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(COUNTS))]
-            yield pa.RecordBatch.from_arrays([*rest, pa.StructArray.from_arrays(cols, list(COUNTS))], names=names)
+            found = [(0,) * 6 if t is None else _counts(t) for t in texts.cast(pa.binary()).to_pylist()]
+            cols = [pa.array([r[i] for r in found], pa.int64()) for i in range(len(COUNTS))]
+            yield pa.RecordBatch.from_arrays([*rest, pa.StructArray.from_arrays(cols, list(COUNTS))],
+                                             names=["row", "lang", "source", "counts"])
 
-    return docs.select(*keep, F.col(text_col).cast("string").alias("_text")).mapInArrow(count, schema)
+    return rows.mapInArrow(count, schema)
 
 
 def _group(col: str):
@@ -87,18 +88,17 @@ def _group(col: str):
 
 def base_failed():
     c = F.col
-    return ((c("_counts.n_words") < MIN_WORDS)
-            | (c("_counts.n_repeat_words") * 100 > c("_counts.n_words") * MAX_REPEAT_PERCENT))
+    return ((c("counts.n_words") < MIN_WORDS)
+            | (c("counts.n_repeat_words") * 100 > c("counts.n_words") * MAX_REPEAT_PERCENT))
 
 
 def _shares(counted: DataFrame) -> DataFrame:
     """One row per document and share, for documents that pass the base rule."""
     value = [F.struct(F.lit(k).alias("share"),
-                      (F.col(f"_counts.{a}") / F.greatest(F.col(f"_counts.{b}"), F.lit(1))).alias("v"))
+                      (F.col(f"counts.{a}") / F.greatest(F.col(f"counts.{b}"), F.lit(1))).alias("v"))
              for k, (a, b, _, _) in SHARES.items()]
     return (counted.where(~base_failed())
-            .select(_group("lang").alias("lang"), _group("source").alias("source"),
-                    F.explode(F.array(*value)).alias("x"))
+            .select("lang", "source", F.explode(F.array(*value)).alias("x"))
             .select("lang", "source", "x.share", "x.v"))
 
 
@@ -138,19 +138,19 @@ def thresholds(sketch: DataFrame) -> DataFrame:
 
 
 def judge(spark: SparkSession, counted: DataFrame) -> DataFrame:
-    """``counted`` (a written table with lang, source and ``_counts``) plus
-    ``base_failed`` and ``kept``."""
+    """``counted`` (a written table of ``with_counts``) plus ``base_failed`` and
+    ``kept``."""
     limits = thresholds(sketches(counted))
     wide = limits.groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(
         *[F.max(F.when(F.col("share") == k, F.col(side))).alias(f"_{k}_{side}")
           for k, (_, _, _, both) in SHARES.items() for side in (("low", "high") if both else ("high",))])
     # written, so that the join knows its size before it would move the texts
     wide = written(spark, wide, "quality-limits")
-    value = {k: F.col(f"_counts.{a}") / F.greatest(F.col(f"_counts.{b}"), F.lit(1)) for k, (a, b, _, _) in SHARES.items()}
+    value = {k: F.col(f"counts.{a}") / F.greatest(F.col(f"counts.{b}"), F.lit(1)) for k, (a, b, _, _) in SHARES.items()}
     tests = [value[k] <= F.col(f"_{k}_high") for k in SHARES]
     tests += [value[k] >= F.col(f"_{k}_low") for k, v in SHARES.items() if v[3]]
     fine = reduce(lambda a, b: a & b, tests)
-    joined = counted.join(wide, (_group("lang") == F.col("_lang")) & (_group("source") == F.col("_source")), "left")
+    joined = counted.join(wide, (F.col("lang") == F.col("_lang")) & (F.col("source") == F.col("_source")), "left")
     return joined.select(*[counted[c] for c in counted.columns], base_failed().alias("base_failed"),
                          (~base_failed() & F.coalesce(fine, F.lit(False))).alias("kept"))
 
@@ -158,13 +158,13 @@ def judge(spark: SparkSession, counted: DataFrame) -> DataFrame:
 def keep_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns."""
     counted = written(spark, with_counts(docs), "quality-counts")
-    return judge(spark, counted).where("kept").select(*docs.columns)
+    return judge(spark, counted).where("kept").select(*unpacked(docs))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    counted = written(spark, with_counts(docs, keep=["doc_id", "lang", "source"]), "quality-counts")
-    return judge(spark, counted).select("doc_id", *[F.col(f"_counts.{c}").alias(c) for c in COUNTS[:5]],
+    counted = written(spark, with_counts(docs, F.struct("doc_id")), "quality-counts")
+    return judge(spark, counted).select("row.doc_id", *[F.col(f"counts.{c}").alias(c) for c in COUNTS[:5]],
                                         "base_failed", "kept")
 
 
