@@ -40,9 +40,9 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     """Bin and offset of each length, placed longest first.
 
     Moving a bin from gap g to g - n changes the sum by
-    2 * (N(g - n) - N(g) + 1); a full bin (gap 0) counts as closed, and a new
-    bin counts as leaving an N of 0. Ties take the smaller gap, and an open
-    bin rather than a new one.
+    2 * (N(g - n) - N(g) + 1), closing one (g = n) by 1 - 2 * N(g) and opening
+    one by 2 * N(capacity - n) + 1. Ties take the smaller gap, and an open bin
+    rather than a new one.
     """
     bins = np.empty(len(lengths), dtype=np.int64)
     offsets = np.empty(len(lengths), dtype=np.int64)
@@ -55,12 +55,12 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         gaps = count[n:capacity]  # of open bins with room
         g, least = capacity, none
         if n < capacity:
-            grown = np.where(gaps > 0, count[:capacity - n] - gaps + 1, none)
+            grown = np.where(gaps > 0, 2 * (count[:capacity - n] - gaps + 1), none)
             if gaps[0]:
-                grown[0] = -gaps[0]  # closes the bin, and 2 * -N + 1 is below every 2 * (1 - N)
+                grown[0] = 1 - 2 * gaps[0]  # closes the bin
             g = int(grown.argmin()) + n
             least = int(grown[g - n])
-        if least <= count[capacity - n] and least < none:
+        if least <= 2 * count[capacity - n] + 1 and least < none:
             b = open_at[g].pop()
             count[g] -= 1
         else:
