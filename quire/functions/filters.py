@@ -3,8 +3,9 @@
 A filter is the retrieval service's dict tree, e.g.
 ``{"andAll": [{"greaterThan": {"key": "created_date_epoch", "value": 1}},
 {"startsWith": {"key": "title", "value": "Th"}}]}``. It compiles to one
-Column predicate, so Catalyst pushes it into the Parquet scan and it runs
-*before* any ranking.
+Column predicate without functions around its columns, so Catalyst pushes it
+into the Parquet scan and it runs *before* any ranking. It is NULL where a key
+is NULL, which ``where`` drops.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def compile_filter(f: dict | None) -> Column:
         raise ValueError(f"unknown filter operator {op!r}")
     if not isinstance(arg, dict) or "key" not in arg or "value" not in arg:
         raise ValueError(f"{op} needs key and value")
-    return F.coalesce(_LEAF[op](F.col(arg["key"]), arg["value"]), F.lit(False))
+    return _LEAF[op](F.col(arg["key"]), arg["value"])
 
 
 def exposure_filter(value: str | None) -> Column:

@@ -22,7 +22,9 @@ UPLOAD_TYPES = {"csv": "csv", "doc": "doc", "docx": "docx", "htm": "html",
                 "html": "html", "md": "md", "pdf": "pdf", "txt": "txt",
                 "xls": "sheet", "xlsx": "sheet"}
 
-EXT_RE = r"(\.[^./]*)$"
+# splitext: leading dots of a name belong to the name, not to an extension.
+EXT_RE = r"(?s)^\.*[^.].*(\.[^.]*)$"
+STEM_RE = r"(?s)^(\.*[^.].*)\.[^.]*$"
 
 
 def _ends_any(c: Column, suffixes, ignore_case: bool) -> Column:
@@ -73,7 +75,7 @@ def basename(key) -> Column:
 
 def strip_ext(key) -> Column:
     base = basename(key)
-    stem = F.regexp_replace(base, EXT_RE, "")
+    stem = F.regexp_replace(base, STEM_RE, "$1")
     return F.concat(F.substring(col(key), 1, F.length(col(key)) - F.length(base)), stem)
 
 

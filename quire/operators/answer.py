@@ -37,7 +37,6 @@ def answer_questions(chunks: DataFrame, questions: DataFrame, k: int = 3, now: s
         "current_time": F.lit(now), "query": F.col("question"),
         "output_format_instructions": F.lit("")})).drop("_r")
     if model is None:
-        j = j.withColumn("output", native_extractive("contexts"))
-    else:
-        j = batch_infer(j, model, "prompt").withColumnRenamed("output_text", "output")
-    return answer_or_fallback(j, "output")
+        return answer_or_fallback(j.withColumn("output", native_extractive("contexts")), "output")
+    j = batch_infer(j, model, "prompt").withColumnRenamed("output_text", "output")
+    return answer_or_fallback(j, "output", "error")

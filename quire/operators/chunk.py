@@ -59,10 +59,11 @@ def chunk_fixed(df: DataFrame, max_tokens: int = DEFAULT_MAX_TOKENS, overlap_pct
     n = F.size("_tok")
     starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(stride)),
                       lambda s: (s == 0) | (s + overlap < n))
-    x = t.select(*keep, "_tok", F.posexplode(starts).alias("chunk_no", "start_token"))
-    piece = F.slice("_tok", F.col("start_token") + 1, F.lit(mx))
-    return x.select(*keep, "chunk_no", "start_token", F.size(piece).alias("n_tokens"),
-                    F.array_join(piece, " ").alias("text"))
+    # the slices are cut inside the document's row, so a chunk carries its own tokens only
+    pieces = F.transform(starts, lambda s: F.struct(s.alias("start_token"), F.slice("_tok", s + 1, F.lit(mx)).alias("piece")))
+    x = t.select(*keep, F.posexplode(pieces).alias("chunk_no", "_p"))
+    return x.select(*keep, "chunk_no", F.col("_p.start_token").alias("start_token"),
+                    F.size("_p.piece").alias("n_tokens"), F.array_join("_p.piece", " ").alias("text"))
 
 
 def chunk_none(df: DataFrame, text: str = "text") -> DataFrame:
@@ -82,9 +83,7 @@ def chunk_id(doc="doc_id", chunk_no="chunk_no"):
 
 def kb_records(chunks: DataFrame, source_uri: str = "raw_key") -> DataFrame:
     """The M9 record: id, text, metadata JSON with the source key."""
-    meta = F.concat(F.lit('{"source_uri":"'), F.col(source_uri), F.lit('","doc_id":'),
-                    F.col("doc_id").cast("string"), F.lit(',"chunk_no":'), F.col("chunk_no").cast("string"),
-                    F.lit("}"))
+    meta = F.to_json(F.struct(F.col(source_uri).alias("source_uri"), "doc_id", "chunk_no"))
     return chunks.select(chunk_id().alias("chunk_id"), "doc_id", "chunk_no", "text", meta.alias("metadata"))
 
 
@@ -110,14 +109,15 @@ def embed_chunks(chunks: DataFrame, model: str = "hashing-64", text: str = "text
 
 
 def embed_with(chunks: DataFrame, fn, model: str, text: str = "text", id_col: str = "chunk_id",
-               batch_size: int = 64) -> DataFrame:
+               batch_size: int = 64, dims: dict[str, int] | None = None) -> DataFrame:
     """C4 with a user embedding model (U2): ``fn(list[str]) -> list[list[float]]``
     is called on batches inside ``mapInPandas`` (Arrow transfer, one model
     client per task). Vectors whose length is not the model's dimension are
-    flagged (P13) instead of failing the job."""
+    flagged (P13) instead of failing the job. ``dims`` adds models to the
+    table of dimensions."""
     from pyspark.sql import types as T
 
-    dim = MODEL_DIMS.get(model)
+    dim = (MODEL_DIMS | (dims or {})).get(model)
     if dim is None:
         raise ValueError(f"unsupported embedding model {model!r}")
     schema = T.StructType([T.StructField(id_col, chunks.schema[id_col].dataType),

@@ -55,7 +55,8 @@ def statement_verdicts(answers: DataFrame, answer: str = "answer", contexts: str
 
     Default judge: token containment. With ``judge`` (a model function, U2)
     each statement becomes a request built from ``template`` (U3), runs
-    through ``batch_infer`` and the reply is parsed with the ``Yes`` test."""
+    through ``batch_infer`` and the reply is parsed with the ``Yes`` test; a
+    failed call gives NULL and its error in ``judge_error``."""
     if judge is None:
         a = answers.select("qid", answer, context_tokens(contexts).alias("_ctx"))
         s = a.select("qid", "_ctx", F.posexplode(tx.sentences(answer)).alias("stmt_no", "statement"))
@@ -69,7 +70,9 @@ def statement_verdicts(answers: DataFrame, answer: str = "answer", contexts: str
                    fill_template(template, {"contexts": F.col("_ctx"), "statement": F.col("statement")})
                    .alias("prompt"))
     out = batch_infer(req, judge, "prompt")
-    return out.select("qid", "stmt_no", "statement", tx.contains_yes("output_text").alias("supported"))
+    # a failed call says nothing about the statement: NULL, which averages skip
+    verdict = F.when(F.col("error").isNull(), tx.contains_yes("output_text"))
+    return out.select("qid", "stmt_no", "statement", verdict.alias("supported"), F.col("error").alias("judge_error"))
 
 
 def _mean_bool(arr: Column) -> Column:

@@ -1,4 +1,5 @@
-"""HTML to Markdown-ish text as a corpus job.
+"""HTML to Markdown-ish text as a corpus job (T11). Table rows become
+``| a | b |`` lines, which ``pages.normalize_table`` completes.
 
 A chain of native ``regexp_replace`` / ``replace`` expressions, evaluated in
 one projection with whole-stage codegen. Patterns stay in the Java/RE2
@@ -14,7 +15,11 @@ from pyspark.sql import functions as F
 DROP_BLOCKS = ["head", "script", "style", "nav", "footer"]
 # Entities decoded ('&amp;' last so '&amp;lt;' stays '&lt;').
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+            ("&copy;", "©"), ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
+            ("&ldquo;", "“"), ("&rdquo;", "”"), ("&hellip;", "…"), ("&bull;", "•"), ("&euro;", "€"), ("&reg;", "®"),
+            ("&trade;", "™"), ("&deg;", "°"), ("&#34;", '"'), ("&#38;", "&"), ("&#60;", "<"), ("&#62;", ">"),
+            ("&#160;", " "), ("&#8211;", "–"), ("&#8212;", "—"), ("&#8216;", "‘"), ("&#8217;", "’"), ("&#8220;", "“"),
+            ("&#8221;", "”"), ("&#8226;", "•"), ("&#8230;", "…"), ("&#8364;", "€"), ("&amp;", "&")]
 
 # Ordered (pattern, replacement) steps; replacements contain no group refs.
 STEPS: list[tuple[str, str]] = (
@@ -22,7 +27,10 @@ STEPS: list[tuple[str, str]] = (
     + [(r"(?s)<!--.*?-->", "")]
     + [(rf"(?i)<h{n}[^>]*>", "\n" + "#" * n + " ") for n in range(1, 7)]
     + [(r"(?i)</h[1-6]\s*>", "\n"),
-       (r"(?i)<li[^>]*>", "\n* "),
+       (r"(?i)<li(\s[^>]*)?>", "\n* "),
+       (r"(?i)<t[dh](\s[^>]*)?>", "| "),
+       (r"(?i)</t[dh]\s*>", " "),
+       (r"(?i)</tr\s*>", "|\n"),
        (r"(?i)<br\s*/?>", "\n"),
        (r"(?i)</?(p|div|ul|ol|li|article|section|tr|table|body|html)(\s[^>]*)?>", "\n"),
        (r"<[^>]*>", "")]

@@ -36,8 +36,14 @@ def frame_limit(det: DataFrame, n: int) -> DataFrame:
     return det.where(F.col("frame_no") <= n)
 
 
+def _json_string(s: Column) -> Column:
+    """A JSON string literal, escaped."""
+    one = F.to_json(F.array(s))
+    return F.substring(one, F.lit(2), F.length(one) - 2)
+
+
 def _quoted(arr: Column) -> Column:
-    return F.transform(arr, lambda l: F.concat(F.lit('"'), l, F.lit('"')))
+    return F.transform(arr, _json_string)
 
 
 def labels_json(frames: Column) -> Column:
@@ -56,7 +62,7 @@ def labels_json_indent4(frames: Column) -> Column:
         ls = f["labels"]
         return F.when(F.size(ls) == 0, F.lit("[]")).otherwise(F.concat(
             F.lit("[\n"),
-            F.array_join(F.transform(ls, lambda l: F.concat(F.lit('            "'), l, F.lit('"'))), ",\n"),
+            F.array_join(F.transform(ls, lambda l: F.concat(F.lit("            "), _json_string(l))), ",\n"),
             F.lit("\n        ]")))
     one = F.transform(frames, lambda f: F.concat(
         F.lit('    {\n        "Frame '), f["frame_no"].cast("string"), F.lit('": '), lab(f), F.lit("\n    }")))
@@ -106,10 +112,12 @@ def transcript_label_join(transcripts: DataFrame, label_files: DataFrame) -> Dat
                     K.json_to_txt("t_key").alias("out_key"))
 
 
-def combined_report(transcript: Column, frames: Column, insights: Column) -> Column:
-    """V5: ``Transcript / Video Labels (indent 4) / Insights`` text."""
+def combined_report(transcript: Column, frames: Column, insights: Column,
+                    insights_title: str = "Model Insights") -> Column:
+    """V5: ``Transcript / Video Labels (indent 4) / Insights`` text. The last
+    section's title names the model's service; callers pass theirs."""
     return F.concat(F.lit("Transcript:\n"), transcript, F.lit("\n\nVideo Labels:\n"),
-                    labels_json_indent4(frames), F.lit("\n\nModel Insights:\n"), insights, F.lit("\n"))
+                    labels_json_indent4(frames), F.lit(f"\n\n{insights_title}:\n"), insights, F.lit("\n"))
 
 
 # Own wording of the insight request (the model is delegated).

@@ -23,6 +23,8 @@ BLANK_RE = r"^\s*$"
 TABLE_ROW_RE = r"^\s*\|.*\|\s*$"
 CELL_EDGE_RE = r"^\s*\|\s*|\s*\|\s*$"
 CELL_SPLIT_RE = r"\s*\|\s*"
+# A row of dashes (and colons) between header and body.
+SEPARATOR_RE = r"^\s*\|?(\s*:?-+:?\s*\|)+(\s*:?-+:?\s*)?$"
 
 
 def content_lines(content) -> Column:
@@ -122,18 +124,42 @@ def build_requests(pages: DataFrame, content: str = "content", **kw) -> DataFram
 
 
 def normalize_table(blocks: DataFrame, content: str = "content", row_regex: str = TABLE_ROW_RE) -> DataFrame:
-    """Table rows of a block padded to the widest row with ' ' cells,
-    with a header separator row after the first row. Blocks without table
-    rows are dropped."""
-    rows = F.filter(F.split(F.col(content), "\n"), lambda l: l.rlike(row_regex))
-    cells = F.transform(rows, lambda r: F.split(F.regexp_replace(r, CELL_EDGE_RE, ""), CELL_SPLIT_RE))
-    b = blocks.withColumn("_c", cells).where(F.size("_c") > 0)
-    b = b.withColumn("n_cols", F.array_max(F.transform("_c", lambda c: F.size(c))))
-    padded = F.transform("_c", lambda c: F.concat(c, F.array_repeat(F.lit(" "), F.col("n_cols") - F.size(c))))
-    lines = F.transform(padded, lambda c: F.concat(F.lit("| "), F.array_join(c, " | "), F.lit(" |")))
-    sep = F.concat(F.lit("|"), F.repeat(F.lit("-|"), F.col("n_cols")))
-    md = F.array_join(F.concat(F.slice(lines, 1, 1), F.array(sep), F.slice(lines, 2, F.size(lines) - 1)), "\n")
-    return b.withColumn("n_rows", F.size("_c")).withColumn("markdown", md).drop("_c")
+    """Every table of a block padded to its widest row with ' ' cells,
+    with one separator row after its first row; a separator that is there
+    already is replaced. Other lines stay where they are, so tables with text
+    between them stay apart. ``n_rows`` counts table rows without separators,
+    ``n_cols`` is the widest table's. Blocks without table rows are dropped."""
+    line = F.split(F.col(content), "\n")
+    # runs of lines: (is a table, its lines)
+    start = F.array().cast("array<struct<t:boolean,lines:array<string>>>")
+
+    def add(runs: Column, l: Column) -> Column:
+        t = l.rlike(row_regex)
+        last = F.get(runs, F.size(runs) - 1)
+        grown = F.struct(t.alias("t"), F.concat(last["lines"], F.array(l)).alias("lines"))
+        fresh = F.struct(t.alias("t"), F.array(l).alias("lines"))
+        return F.when((F.size(runs) > 0) & (last["t"] == t),
+                      F.concat(F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(grown))).otherwise(F.concat(runs, F.array(fresh)))
+
+    def cells(lines: Column) -> Column:
+        rows = F.filter(lines, lambda r: ~r.rlike(SEPARATOR_RE))
+        return F.transform(rows, lambda r: F.split(F.regexp_replace(r, CELL_EDGE_RE, ""), CELL_SPLIT_RE))
+
+    def table_text(c: Column, n: Column) -> Column:
+        row = lambda x: F.concat(F.lit("| "), F.array_join(F.concat(x, F.array_repeat(F.lit(" "), n - F.size(x))), " | "), F.lit(" |"))
+        made = F.transform(c, row)
+        sep = F.array(F.concat(F.lit("|"), F.repeat(F.lit("-|"), n)))
+        return F.array_join(F.concat(F.slice(made, 1, 1), F.when(F.size(c) > 0, sep).otherwise(F.array().cast("array<string>")),
+                                     F.slice(made, F.lit(2), F.greatest(F.size(made) - 1, F.lit(0)))), "\n")
+
+    width = lambda c: F.coalesce(F.array_max(F.transform(c, lambda x: F.size(x))), F.lit(0))
+    b = blocks.withColumn("_r", F.aggregate(line, start, add))
+    b = b.withColumn("_c", F.transform("_r", lambda r: F.when(r["t"], cells(r["lines"]))))
+    b = b.where(F.exists("_c", lambda c: F.coalesce(F.size(c) > 0, F.lit(False))))
+    text = F.zip_with("_r", "_c", lambda r, c: F.when(r["t"], table_text(c, width(c))).otherwise(F.array_join(r["lines"], "\n")))
+    return (b.withColumn("n_cols", F.array_max(F.transform("_c", lambda c: F.when(c.isNotNull(), width(c)))))
+            .withColumn("n_rows", F.aggregate("_c", F.lit(0), lambda a, c: a + F.when(c.isNull(), 0).otherwise(F.size(c))))
+            .withColumn("markdown", F.array_join(F.filter(text, lambda x: x != ""), "\n")).drop("_r", "_c"))
 
 
 def sheet_to_page(rows: DataFrame) -> DataFrame:

@@ -304,8 +304,9 @@ def semantic_topk(idx: LexicalIndex, questions: DataFrame, k: int, prune: bool =
 def hybrid_topk(idx: LexicalIndex, questions: DataFrame, k: int, depth: int = 10,
                 search_type: str = "HYBRID", **kw) -> DataFrame:
     """``SEMANTIC`` or ``HYBRID``. Hybrid fuses the top-``depth`` lexical
-    and semantic lists by reciprocal rank fusion (constant 60). The fusion is
-    a union + grouped sum, not a join."""
+    and semantic lists (at least ``k`` of each) by reciprocal rank fusion
+    (constant 60). The fusion is a union + grouped sum, not a join."""
+    depth = max(depth, k)
     if search_type == "SEMANTIC":
         return semantic_topk(idx, questions, k, **kw).select("qid", "doc_id", "chunk_no", "chunk_id", "score", "rank")
     if search_type != "HYBRID":

@@ -91,9 +91,11 @@ def validate_calls(df: DataFrame, fn: str = "function", params: str = "params")
                                             F.lit(False))))
 
 
-def embedding_dim_check(df: DataFrame, model: str = "model", emb: str = "embedding") -> DataFrame:
-    """``ok`` / ``dim_mismatch`` / ``unknown_model`` per vector."""
-    dims = F.create_map(*[x for k, v in MODEL_DIMS.items() for x in (F.lit(k), F.lit(v))])
+def embedding_dim_check(df: DataFrame, model: str = "model", emb: str = "embedding",
+                        models: dict[str, int] | None = None) -> DataFrame:
+    """``ok`` / ``dim_mismatch`` / ``unknown_model`` per vector. ``models``
+    (id -> dimension) adds the ids a deployment uses."""
+    dims = F.create_map(*[x for k, v in (MODEL_DIMS | (models or {})).items() for x in (F.lit(k), F.lit(v))])
     exp = F.element_at(dims, F.col(model))
     status = (F.when(exp.isNull(), F.lit("unknown_model"))
               .when(F.size(F.col(emb)) == exp, F.lit("ok"))
@@ -102,10 +104,11 @@ def embedding_dim_check(df: DataFrame, model: str = "model", emb: str = "embeddi
             .withColumn("status", status))
 
 
-def model_dim(model: str) -> int:
-    if model not in MODEL_DIMS:
-        raise ValueError(f"unsupported embedding model {model!r}; supported: {sorted(MODEL_DIMS)}")
-    return MODEL_DIMS[model]
+def model_dim(model: str, models: dict[str, int] | None = None) -> int:
+    known = MODEL_DIMS | (models or {})
+    if model not in known:
+        raise ValueError(f"unsupported embedding model {model!r}; supported: {sorted(known)}")
+    return known[model]
 
 
 def eval_subset(df: DataFrame, n: int, order: str = "qid") -> DataFrame:

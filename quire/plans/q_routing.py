@@ -64,11 +64,11 @@ def parse_events(spark, sf):
 
 @register("parse_resume", _events_sql("""
 SELECT doc_id, rec_no, m.source_bucket AS source_bucket, """ + url_decode("m.source_key") + """ AS source_key,
-       m.page_counter AS page_counter, m.previous_text AS previous_text, m.s3_output_key AS s3_output_key,
+       m.page_counter AS page_counter, m.previous_text AS previous_text, """ + url_decode("m.s3_output_key") + """ AS s3_output_key,
        CASE WHEN m IS NULL OR (m.source_bucket IS NULL AND m.source_key IS NULL AND m.page_counter IS NULL
                                AND m.previous_text IS NULL AND m.s3_output_key IS NULL) THEN 'bad_json'
-            WHEN m.source_key IS NULL THEN 'missing_source_key' END AS error
-FROM (SELECT doc_id, rec_no, CASE WHEN json_valid(message) THEN json_transform(message,
+            """ + " ".join(f"WHEN NOT list_contains(k, '{f}') THEN 'missing_{f}'" for f in EV.RESUME_REQUIRED) + """ END AS error
+FROM (SELECT doc_id, rec_no, CASE WHEN json_valid(message) THEN json_keys(message) END AS k, CASE WHEN json_valid(message) THEN json_transform(message,
         '{"source_bucket":"VARCHAR","source_key":"VARCHAR","page_counter":"INTEGER","previous_text":"VARCHAR","s3_output_key":"VARCHAR"}')
         END AS m
       FROM parsed WHERE kind = 'resume') r"""))

@@ -110,16 +110,25 @@ def build_requests(spark, sf):
 
 
 @register("normalize_table", with_ctes(f"""
-SELECT doc_id, block_no, n_cols, CAST(len(c) AS INTEGER) AS n_rows,
-       array_to_string(list_concat(lines[1:1], ['|' || repeat('-|', n_cols)], lines[2:]), {NL}) AS markdown
-FROM (SELECT doc_id, block_no, c, n_cols,
-             list_transform(c, lambda r: '| ' || array_to_string(list_resize(r, n_cols, ' '), ' | ') || ' |') AS lines
-      FROM (SELECT doc_id, block_no, c, CAST(list_max(list_transform(c, lambda r: len(r))) AS INTEGER) AS n_cols
-            FROM (SELECT doc_id, block_no,
-                         list_transform(list_filter(string_split(content, {NL}), lambda l: regexp_matches(l, '{PG.TABLE_ROW_RE}')),
-                           lambda r: regexp_split_to_array(regexp_replace(r, '{PG.CELL_EDGE_RE}', '', 'g'), '{PG.CELL_SPLIT_RE}')) AS c
-                  FROM op_blocks) a
-            WHERE len(c) > 0) b) d""", "op_blocks"))
+SELECT doc_id, block_no, CAST(max(CASE WHEN t THEN n_cols END) AS INTEGER) AS n_cols,
+       CAST(sum(CASE WHEN t THEN n_rows ELSE 0 END) AS INTEGER) AS n_rows,
+       coalesce(string_agg(md, {NL} ORDER BY g) FILTER (md <> ''), '') AS markdown
+FROM (
+  SELECT doc_id, block_no, g, t, n_cols, n_rows,
+         CASE WHEN NOT t THEN plain WHEN n_rows = 0 THEN ''
+              ELSE array_to_string(list_concat([rows[1]], ['|' || repeat('-|', n_cols)], rows[2:]), {NL}) END AS md
+  FROM (SELECT *, list_transform(c, lambda r: '| ' || array_to_string(list_resize(r, n_cols, ' '), ' | ') || ' |') AS rows
+        FROM (SELECT *, CAST(len(c) AS INTEGER) AS n_rows, CAST(coalesce(list_max(list_transform(c, lambda r: len(r))), 0) AS INTEGER) AS n_cols
+              FROM (SELECT doc_id, block_no, g, bool_and(t) AS t, string_agg(l, {NL} ORDER BY i) AS plain,
+                           coalesce(list(regexp_split_to_array(regexp_replace(l, '{PG.CELL_EDGE_RE}', '', 'g'), '{PG.CELL_SPLIT_RE}') ORDER BY i)
+                             FILTER (t AND NOT regexp_matches(l, '{PG.SEPARATOR_RE}')), []) AS c
+                    FROM (SELECT *, sum(CASE WHEN t IS DISTINCT FROM before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, block_no ORDER BY i) AS g
+                          FROM (SELECT *, lag(t) OVER (PARTITION BY doc_id, block_no ORDER BY i) AS before
+                                FROM (SELECT doc_id, block_no, i, lines[i] AS l, regexp_matches(lines[i], '{PG.TABLE_ROW_RE}') AS t
+                                      FROM (SELECT doc_id, block_no, lines, unnest(range(1, len(lines) + 1)) AS i
+                                            FROM (SELECT doc_id, block_no, string_split(content, {NL}) AS lines FROM op_blocks) z) y) x) w) v
+                    GROUP BY doc_id, block_no, g) u) s) r) q
+GROUP BY doc_id, block_no HAVING sum(CASE WHEN t THEN n_rows ELSE 0 END) > 0""", "op_blocks"))
 def normalize_table(spark, sf):
     b = PG.stitch_tables(FX.order_pages(spark, sf))
     return PG.normalize_table(b).select("doc_id", "block_no", "n_cols", "n_rows", "markdown")

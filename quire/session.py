@@ -1,11 +1,11 @@
-"""Session construction and lineage helpers."""
+"""Session construction and the shared scratch folder."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def build_session(cpus: str | int = "*", app: str = "quire",
@@ -41,23 +41,20 @@ def build_session(cpus: str | int = "*", app: str = "quire",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) a scratch folder
-    is created. The SparkContext is pointed at it either way.
+    A cluster names it. Where it is unset, a local master gets a scratch folder
+    (tests); any other raises, since a folder of the driver's own machine would
+    be out of the executors' reach.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="quire-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never a local one."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)

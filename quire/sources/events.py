@@ -32,6 +32,10 @@ RESUME = T.StructType([
     T.StructField("s3_output_key", T.StringType()),
 ])
 
+# A resume message needs every key (a value may be null); the first absent
+# one names the error.
+RESUME_REQUIRED = ("source_key", "source_bucket", "page_counter", "previous_text", "s3_output_key")
+
 # M6: frame labels, a list of single-key maps.
 FRAME_LABELS = T.ArrayType(T.MapType(T.StringType(), T.ArrayType(T.StringType())))
 
@@ -56,22 +60,24 @@ def parse_events(df: DataFrame, body: str = "body") -> DataFrame:
 
 
 def parse_resume(events: DataFrame, message: str = "message") -> DataFrame:
-    """Resume records -> M3 columns plus an ``error`` column
-    (bad_json / missing_source_key / NULL)."""
+    """Resume records -> M3 columns plus an ``error`` column (bad_json /
+    ``missing_`` and the first key that is absent / NULL). Both object keys
+    are URL-decoded."""
     keep = [c for c in events.columns if c not in (message, "kind", "bucket", "key")]
     m = F.from_json(F.col(message), RESUME)
-    x = events.where(F.col("kind") == "resume").select(*keep, m.alias("m"))
+    x = events.where(F.col("kind") == "resume").select(*keep, m.alias("m"), F.json_object_keys(message).alias("_keys"))
     m = F.col("m")
     all_null = F.lit(True)
     for f in RESUME.fieldNames():
         all_null = all_null & m[f].isNull()
-    err = (F.when(m.isNull() | all_null, F.lit("bad_json"))
-           .when(m["source_key"].isNull(), F.lit("missing_source_key")))
+    err = F.when(m.isNull() | all_null, F.lit("bad_json"))
+    for f in RESUME_REQUIRED:
+        err = err.when(~F.array_contains("_keys", f), F.lit("missing_" + f))
     return x.select(*keep, m["source_bucket"].alias("source_bucket"),
                     decode_key(m["source_key"]).alias("source_key"),
                     m["page_counter"].alias("page_counter"),
                     m["previous_text"].alias("previous_text"),
-                    m["s3_output_key"].alias("s3_output_key"),
+                    decode_key(m["s3_output_key"]).alias("s3_output_key"),
                     err.alias("error"))
 
 
@@ -85,11 +91,12 @@ def parse_frame_labels(df: DataFrame, body: str = "body") -> DataFrame:
     """``[{"Frame n": [labels]}, ...]`` -> (frame_no, label_no, label).
 
     A frame with an empty label list yields one row with NULL label so the
-    frame count survives.
+    frame count survives. A malformed body, or one without frames, yields one
+    row with NULLs only.
     """
     keep = [c for c in df.columns if c != body]
-    frames = df.select(*keep, F.explode(F.from_json(F.col(body), FRAME_LABELS)).alias("m"))
-    kv = frames.select(*keep, F.explode("m").alias("frame", "labels"))
+    frames = df.select(*keep, F.explode_outer(F.from_json(F.col(body), FRAME_LABELS)).alias("m"))
+    kv = frames.select(*keep, F.explode_outer("m").alias("frame", "labels"))
     out = kv.select(*keep,
                     F.regexp_extract("frame", r"Frame (\d+)", 1).try_cast("int").alias("frame_no"),
                     F.posexplode_outer("labels").alias("label_no", "label"))

@@ -7,6 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system the cluster reads; none if it is absent."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
 def write_documents(docs: DataFrame, path: str, key: str = "key", text: str = "text",
                     mode: str = "overwrite") -> None:
     """Assembled document text keyed by ``{source_key}.txt``. One
@@ -26,12 +33,11 @@ def write_report_text(reports: DataFrame, path: str, col: str = "report", mode:
 
 
 def next_serial(spark: SparkSession, path: str) -> int:
-    """``coalesce(max(serial), 0) + 1`` over the experiments table."""
-    try:
-        m = spark.read.parquet(path).agg(F.max("serial")).first()[0]
-    except Exception:  # noqa: BLE001 - no table yet
-        m = None
-    return int(m or 0) + 1
+    """``coalesce(max(serial), 0) + 1`` over the experiments table; 1 if
+    there is none. Any other trouble in reading it is raised."""
+    if not _children(spark, path):
+        return 1
+    return int(spark.read.parquet(path).agg(F.max("serial")).first()[0] or 0) + 1
 
 
 def append_experiment(row: DataFrame, path: str) -> int:
@@ -41,21 +47,40 @@ def append_experiment(row: DataFrame, path: str) -> int:
     return serial
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a keyed store, in order."""
+    found = [int(n.split("=")[1]) for n in _children(spark, path) if n.startswith("version=")]
+    return sorted(v for v in found if "_SUCCESS" in _children(spark, f"{path}/version={v}"))
+
+
 def write_keyed_store(records: DataFrame, path: str) -> None:
-    """The upserted key-value store, rewritten in full."""
-    records.write.mode("overwrite").parquet(path)
+    """The upserted key-value store, rewritten in full as the next
+    version. ``records`` may be computed from the current one, which stays;
+    readers move on when the new version is complete."""
+    path = path.rstrip("/")
+    last = _versions(records.sparkSession, path)
+    records.write.mode("overwrite").parquet(f"{path}/version={last[-1] + 1 if last else 1}")
+
+
+def read_keyed_store(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version."""
+    versions = _versions(spark, path.rstrip("/"))
+    if not versions:
+        raise FileNotFoundError(f"no complete version under {path}")
+    return spark.read.parquet(f"{path.rstrip('/')}/version={versions[-1]}")
 
 
 def write_kb_table(records: DataFrame, path: str | None = None, table: str | None = None,
                    n_buckets: int = 64) -> None:
     """KB records (id, text, metadata, vector). With a catalog table the
-    data is bucketed and sorted by ``chunk_id`` so later joins on the id
-    co-locate without a shuffle; a plain path gets hash-bucket partitions."""
+    data is bucketed by ``doc_id``, the key of syncs and deletions, so they
+    join without a shuffle; a plain path gets hash-bucket partitions.
+    ``n_buckets`` should follow the volume (a few hundred MB a bucket)."""
     if table:
-        (records.write.mode("overwrite").bucketBy(n_buckets, "chunk_id").sortBy("chunk_id")
+        (records.write.mode("overwrite").bucketBy(n_buckets, "doc_id").sortBy("doc_id", "chunk_id")
          .format("parquet").saveAsTable(table))
         return
     if not path:
         raise ValueError("path or table is required")
-    (records.withColumn("bucket", F.pmod(F.xxhash64("chunk_id"), F.lit(n_buckets)))
-     .repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path))
+    (records.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(n_buckets)))
+     .repartition(n_buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path))

@@ -19,6 +19,7 @@ from quire.functions import keys as K
 from quire.operators import media as M
 from quire.operators import pages as PG
 from quire.operators.sessions import DELIVERY_DELAY_S, RETENTION_S, session_gap
+from quire.sources.sinks import _children
 
 RETENTION = "4 days"
 
@@ -27,7 +28,7 @@ def as_event_time(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.col(col).cast("timestamp"))
 
 
-# W1 -----------------------------------------------------------------------
+# W1
 BINARY_FILE = T.StructType([T.StructField("path", T.StringType(), False),
                             T.StructField("modificationTime", T.TimestampType(), False),
                             T.StructField("length", T.LongType(), False),
@@ -47,22 +48,55 @@ def file_arrivals(spark: SparkSession, root: str, suffixes=None, ignore_case: bo
     return s.select("path", "length", "modificationTime", K.route("path", ignore_case).alias("route"))
 
 
-# W2 / W3 ------------------------------------------------------------------
-def due_messages(messages: DataFrame, now=None, ts: str = "sent_at") -> DataFrame:
-    """W2 + W3: not before the delivery delay, gone after retention. ``now``
-    defaults to the micro-batch time; the watermark bounds lateness by the
-    retention."""
-    m = as_event_time(messages, ts).withWatermark(ts, RETENTION)
-    n = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    t = F.col(ts)
-    return m.where((t + F.expr(f"INTERVAL {DELIVERY_DELAY_S} SECONDS") <= n)
-                   & (t > n - F.expr(f"INTERVAL {RETENTION_S} SECONDS")))
+# W2 / W3
+def _hold(key, pdf_iter, state, ts: str, names: list[str], clock, delay_s: int, retention_s: int):
+    """Rows of one message id: kept until ``delay_s`` after they were sent,
+    delivered once, forgotten after ``retention_s``."""
+    import pandas as pd
+
+    now = pd.Timestamp(clock() if clock else state.getCurrentProcessingTimeMs(), unit="ms")
+    held = pd.DataFrame(json.loads(state.get[0]), columns=names) if state.exists else pd.DataFrame(columns=names)
+    if len(held):
+        held[ts] = pd.to_datetime(held[ts], unit="ns")
+    if not state.hasTimedOut:
+        parts = [p for p in (held, *pdf_iter) if len(p)]
+        held = pd.concat(parts, ignore_index=True) if parts else held
+    age = now - held[ts]
+    held, age = held[age < pd.Timedelta(seconds=retention_s)], age[age < pd.Timedelta(seconds=retention_s)]
+    due = age >= pd.Timedelta(seconds=delay_s)
+    wait = held[~due]
+    if len(wait):
+        left = pd.Timedelta(seconds=delay_s) - age[~due].max()
+        rows = wait.assign(**{ts: wait[ts].astype("datetime64[ns]").astype("int64")})
+        state.update((rows.to_json(orient="values"),))
+        state.setTimeoutDuration(max(1, int(left.total_seconds() * 1000)))
+    elif state.exists:
+        state.remove()
+    if due.any():
+        yield held[due][names]
+
+
+def due_messages(messages: DataFrame, key: str = "id", ts: str = "sent_at", clock=None,
+                 delay_s: int = DELIVERY_DELAY_S, retention_s: int = RETENTION_S) -> DataFrame:
+    """W2 + W3: every message once, not before the delivery delay and not
+    after retention. A message younger than the delay waits in the state of
+    its ``key`` until a processing-time timer releases it; other columns must
+    be strings or numbers. ``clock`` (milliseconds) replaces the processing
+    time, as in tests."""
+    m = as_event_time(messages, ts)
+    names = m.columns
 
+    def hold(k, pdf_iter, state):
+        return _hold(k, pdf_iter, state, ts, names, clock, delay_s, retention_s)
 
-# W4 -----------------------------------------------------------------------
+    return m.groupBy(key).applyInPandasWithState(hold, m.schema, "rows string", "append", "ProcessingTimeTimeout")
+
+
+# W4
 CARRY_OUT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("page_no", T.IntegerType()),
                           T.StructField("continued", T.BooleanType()),
-                          T.StructField("previous_text", T.StringType())])
+                          T.StructField("previous_text", T.StringType()),
+                          T.StructField("after_gap", T.BooleanType())])
 CARRY_STATE = T.StructType([T.StructField("next_page", T.IntegerType()),
                             T.StructField("prev_content", T.StringType()),
                             T.StructField("prev_last", T.BooleanType()),
@@ -72,26 +106,28 @@ CARRY_STATE = T.StructType([T.StructField("next_page", T.IntegerType()),
 def _carry(key, pdf_iter, state, idle_ms: int = 0):
     import pandas as pd
 
-    if state.hasTimedOut:
-        state.remove()
-        return
     doc_id = int(key[0])
     if state.exists:
         nxt, prev_content, prev_last, pending_json = state.get
         pending = {int(k): tuple(v) for k, v in json.loads(pending_json).items()}
     else:
         nxt, prev_content, prev_last, pending = 1, None, False, {}
-    for pdf in pdf_iter:
-        for p, c, f, l in zip(pdf["page_no"], pdf["content"], pdf["first_is_table"], pdf["last_is_table"]):
-            pending[int(p)] = (c, bool(f), bool(l))
+    late = state.hasTimedOut
+    if not late:
+        for pdf in pdf_iter:
+            for p, c, f, l in zip(pdf["page_no"], pdf["content"], pdf["first_is_table"], pdf["last_is_table"]):
+                if int(p) >= nxt:      # a page already released was delivered again
+                    pending[int(p)] = (c, bool(f), bool(l))
     out = []
-    while nxt in pending:          # emit only the contiguous run after the last emitted page
-        content, first, last = pending.pop(nxt)
-        cont = nxt > 1 and bool(prev_last) and first
-        out.append((doc_id, nxt, cont, prev_content if cont else None))
-        prev_content, prev_last, nxt = content, last, nxt + 1
+    # the contiguous run after the last page released; after the timeout, all that waits
+    while nxt in pending or (late and pending):
+        page = nxt if nxt in pending else min(pending)
+        content, first, last = pending.pop(page)
+        cont = page == nxt and page > 1 and bool(prev_last) and first
+        out.append((doc_id, page, cont, prev_content if cont else None, page != nxt))
+        prev_content, prev_last, nxt = content, last, page + 1
     state.update((nxt, prev_content, prev_last, json.dumps({str(k): list(v) for k, v in pending.items()})))
-    if idle_ms:
+    if idle_ms and pending:
         state.setTimeoutDuration(idle_ms)
     if out:
         yield pd.DataFrame(out, columns=[f.name for f in CARRY_OUT.fields]).astype({"page_no": "int32"})
@@ -102,9 +138,11 @@ def page_carry(pages: DataFrame, row_regex: str = PG.TABLE_ROW_RE, idle_evict_ms
     page to emit, the previous page's text and flag, and pages that arrived
     early; pages are released in order, so the continuation of page n is
     decided with page n-1 even when they arrive in different micro-batches.
-    With ``idle_evict_ms`` a document idle that long (processing time) is
-    evicted from the state; note that a processing-time timeout makes every
-    trigger run a state-cleaning batch."""
+    With ``idle_evict_ms`` a document whose pages wait that long (processing
+    time) for a missing one releases them, in order, with ``after_gap`` where
+    the page before is missing. The state then keeps the last page only, so
+    later pages go on from there and pages delivered again are not released
+    twice."""
     idle = int(idle_evict_ms)
 
     def carry(key, pdf_iter, state):
@@ -117,12 +155,13 @@ def page_carry(pages: DataFrame, row_regex: str = PG.TABLE_ROW_RE, idle_evict_ms
         "ProcessingTimeTimeout" if idle_evict_ms else "NoTimeout")
 
 
-# W5 -----------------------------------------------------------------------
+# W5
 def transcript_label_stream(transcripts: DataFrame, labels: DataFrame, delay: str = "10 minutes",
-                            bound_s: int = 600) -> DataFrame:
+                            bound_s: int = RETENTION_S) -> DataFrame:
     """Left outer stream-stream join on (basename, request id) with
-    watermarks on both sides and a time bound, so join state is dropped once
-    no match can arrive; unmatched transcripts come out with status 500."""
+    watermarks on both sides and a time bound (the retention), so join state
+    is dropped once no match can arrive; unmatched transcripts come out with
+    status 500. Transcript and label body are carried on where present."""
     t = M.split_media_key(as_event_time(transcripts, "t_time").withColumnRenamed("key", "t_key"),
                           "t_key", M.TRANSCRIPT_KEY_RE, "").withWatermark("t_time", delay)
     lab = M.split_media_key(as_event_time(labels, "l_time").withColumnRenamed("key", "l_key"),
@@ -131,12 +170,14 @@ def transcript_label_stream(transcripts: DataFrame, labels: DataFrame, delay: st
             & (lab["l_time"] >= t["t_time"] - F.expr(f"INTERVAL {bound_s} SECONDS"))
             & (lab["l_time"] <= t["t_time"] + F.expr(f"INTERVAL {bound_s} SECONDS")))
     j = t.join(lab, cond, "leftOuter")
-    return j.select("base", "request_id", "t_key",
+    carried = [F.col(c) if c in j.columns else F.lit(None).cast("string").alias(c) for c in ("transcript",)]
+    body = F.col("body").alias("labels_body") if "body" in j.columns else F.lit(None).cast("string").alias("labels_body")
+    return j.select("base", "request_id", "t_key", *carried, body,
                     F.when(F.col("l_key").isNull(), F.lit(500)).otherwise(F.lit(200)).alias("status"),
                     K.json_to_txt("t_key").alias("out_key"))
 
 
-# W6 -----------------------------------------------------------------------
+# W6
 def session_stream(log: DataFrame, session: str = "session", ts: str = "ts", gap_s: int = 300,
                    delay: str = RETENTION) -> DataFrame:
     """Idle-TTL sessions in append mode; a session is final once the
@@ -148,7 +189,7 @@ def session_stream(log: DataFrame, session: str = "session", ts: str = "ts", gap
                     (F.col("_last") + F.expr(f"INTERVAL {gap_s} SECONDS")).alias("session_end"), "n_events")
 
 
-# W7 -----------------------------------------------------------------------
+# W7
 def dedupe_upload_stream(uploads: DataFrame, keys=("session", "file_name"), ts: str = "ts",
                          delay: str = RETENTION) -> DataFrame:
     """A re-upload of a name already seen in the session (within the
@@ -156,21 +197,30 @@ def dedupe_upload_stream(uploads: DataFrame, keys=("session", "file_name"), ts:
     return as_event_time(uploads, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-# W8 / S9 --------------------------------------------------------------------
+# W8 / S9
 def idempotent_page_sink(path: str):
     """``foreachBatch`` function appending page text keyed by
-    ``(doc_id, page_no)``. Each micro-batch is written to its own
-    ``epoch=N`` folder with overwrite, so a replayed batch rewrites the same
-    files instead of doubling them."""
+    ``(doc_id, page_no)``. Each micro-batch has a folder of its own, named by
+    the streaming query (whose id lives in the checkpoint) and the epoch, so a
+    replayed batch rewrites the same files and a query with a new checkpoint,
+    whose epochs start at 0 again, adds to what is there. ``run`` numbers the
+    queries in the order of their first batch."""
+    root = path.rstrip("/")
+
     def write(batch: DataFrame, epoch_id: int) -> None:
-        (batch.select("doc_id", "page_no", "content")
-         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={int(epoch_id)}"))
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        runs = {n.split("-", 1)[1]: n for n in _children(spark, root) if n.startswith("run=")}
+        name = runs.get(query) or f"run={len(runs):06d}-{query}"
+        batch.select("doc_id", "page_no", "content").write.mode("overwrite").parquet(f"{root}/{name}/epoch={int(epoch_id)}")
     return write
 
 
 def read_appended_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Current page text: the newest epoch wins per ``(doc_id, page_no)``, so
-    a page re-delivered in a later batch replaces, never duplicates."""
+    """Current page text: the newest run and epoch win per ``(doc_id,
+    page_no)``, so a page re-delivered in a later batch replaces, never
+    duplicates."""
     p = spark.read.parquet(path)
-    g = p.groupBy("doc_id", "page_no").agg(F.max_by("content", "epoch").alias("content"))
+    newest = F.struct(F.substring("run", 1, 6), F.col("epoch"))
+    g = p.groupBy("doc_id", "page_no").agg(F.max_by("content", newest).alias("content"))
     return g

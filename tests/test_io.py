@@ -52,6 +52,25 @@ def test_experiment_serials_increase(spark):
     assert sorted(r.serial for r in spark.read.parquet(d).collect()) == [1, 2]
 
 
+def test_experiment_log_errors_are_raised(spark):
+    import pytest
+    d = os.path.join(tempfile.mkdtemp(prefix="quire-io-"), "broken")
+    os.makedirs(d)
+    with open(os.path.join(d, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        SK.next_serial(spark, d)
+
+
+def test_keyed_store_rewritten_from_itself(spark):
+    d = os.path.join(tempfile.mkdtemp(prefix="quire-io-"), "store")
+    SK.write_keyed_store(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), d)
+    for i in range(2):
+        now = SK.read_keyed_store(spark, d)
+        SK.write_keyed_store(now.union(spark.createDataFrame([(10 + i, "n")], now.schema)), d)
+    assert sorted(r.k for r in SK.read_keyed_store(spark, d).collect()) == [1, 2, 10, 11]
+
+
 def test_kb_table_round_trip(spark):
     d = os.path.join(tempfile.mkdtemp(prefix="quire-io-"), "kb")
     recs = FX.kb_chunks(spark, SF_SMALL)

@@ -34,7 +34,7 @@ def test_parse_resume_errors(spark):
     ], "doc_id long, kind string, message string").withColumn("bucket", F.lit(None).cast("string")) \
         .withColumn("key", F.lit(None).cast("string"))
     r = {x.doc_id: x for x in E.parse_resume(ev).collect()}
-    assert r[1].error is None and r[1].source_key == "k x" and r[1].page_counter == 2
+    assert r[1].error == "missing_previous_text" and r[1].source_key == "k x" and r[1].page_counter == 2
     assert r[2].error == "missing_source_key"
     assert r[3].error == "bad_json"
 
@@ -162,7 +162,7 @@ def test_normalize_table_pads_short_rows(spark):
     blk = spark.createDataFrame([(1, 1, "| h1 | h2 | h3 |\n| a | b |\nnot a row")],
                                 "doc_id long, block_no int, content string")
     r = PG.normalize_table(blk).first()
-    assert r.markdown == "| h1 | h2 | h3 |\n|-|-|-|\n| a | b |   |"
+    assert r.markdown == "| h1 | h2 | h3 |\n|-|-|-|\n| a | b |   |\nnot a row"
 
 
 def test_empty_document_assembly(spark):
@@ -293,3 +293,93 @@ def test_embed_with_user_model_checks_dimension(spark):
     assert not out["b"].dim_ok
     with pytest.raises(ValueError):
         C.embed_with(df, fake, "no-such-model")
+
+
+# Expected values below are written by hand, not derived from the code's patterns.
+
+def test_strip_ext_keeps_dot_names(spark):
+    from quire.functions import keys as K
+    want = {"a/.hidden": "a/.hidden", "a/b.c.txt": "a/b.c", "x": "x", "a.b/c": "a.b/c", "..x.y": "..x", "a.": "a", "d/...": "d/..."}
+    df = spark.createDataFrame([(k,) for k in want], "k string").select("k", K.strip_ext("k").alias("s"))
+    assert {r.k: r.s for r in df.collect()} == want
+
+
+def test_resume_keys_decoded_and_required(spark):
+    from quire.sources import events as EV
+    full = ('{"source_bucket":"b","source_key":"a%20b.txt","page_counter":2,"previous_text":"p","s3_output_key":"o%2Bx+y.txt"}')
+    rows = [(1, "resume", None, None, full), (2, "resume", None, None, '{"source_bucket":"b","source_key":"k"}'),
+            (3, "resume", None, None, "not json"), (4, "resume", None, None, '{"source_bucket":"b"}'),
+            (5, "resume", None, None, full.replace('"p"', "null"))]
+    df = spark.createDataFrame(rows, "doc_id long, kind string, bucket string, key string, message string")
+    out = {r.doc_id: r for r in EV.parse_resume(df).collect()}
+    assert (out[1].source_key, out[1].s3_output_key, out[1].error) == ("a b.txt", "o+x y.txt", None)
+    assert [out[i].error for i in (2, 3, 4, 5)] == ["missing_page_counter", "bad_json", "missing_source_key", None]
+
+
+def test_malformed_label_files_stay(spark):
+    from quire.sources import events as EV
+    df = spark.createDataFrame([("a", '[{"Frame 1": ["x", "y"]}, {"Frame 2": []}]'), ("b", "oops"), ("c", "[]")], "key string, body string")
+    got = sorted((r.key, r.frame_no or 0, r.label or "") for r in EV.parse_frame_labels(df).collect())
+    assert got == [("a", 1, "x"), ("a", 1, "y"), ("a", 2, ""), ("b", 0, ""), ("c", 0, "")]
+
+
+def test_filter_reaches_the_scan(spark):
+    from quire.functions.filters import compile_filter
+    from quire.sources.tables import table
+    from tests.conftest import SF_SMALL
+    df = table(spark, SF_SMALL, "embeddings", spread=False).where(compile_filter({"lessThan": {"key": "label", "value": 5}}))
+    assert "LessThan(label,5)" in df._jdf.queryExecution().toString()
+
+
+def test_normalize_table_keeps_text_and_separators(spark):
+    text = "before\n| a | b |\n|-|-|\n| 1 |\nbetween\n| x |\nafter"
+    r = PG.normalize_table(spark.createDataFrame([(1, 1, text)], "doc_id long, block_no int, content string")).first()
+    assert r.markdown == "before\n| a | b |\n|-|-|\n| 1 |   |\nbetween\n| x |\n|-|\nafter"
+    assert (r.n_rows, r.n_cols) == (3, 2)
+
+
+def test_html_tables_entities_and_links(spark):
+    from quire.operators.html import html_to_text
+    html = ("<link rel=x><table><tr><th>a</th><th>b</th></tr><tr><td>1</td><td>2</td></tr></table>"
+            "<p>it&#8217;s&mdash;fine</p><ul><li class=x>one<li>two</ul>")
+    df = spark.createDataFrame([(html,)], "h string").select(html_to_text("h").alias("t"))
+    lines = [x for x in df.first().t.split("\n") if x]
+    assert lines == ["| a | b |", "| 1 | 2 |", "it’s—fine", "* one", "* two"]
+
+
+def test_json_values_are_escaped(spark):
+    import json
+    from quire.operators import chunk as C
+    df = spark.createDataFrame([(1, 0, 'a"b\\c', "t")], "doc_id long, chunk_no int, raw_key string, text string")
+    assert json.loads(C.kb_records(df).first().metadata) == {"source_uri": 'a"b\\c', "doc_id": 1, "chunk_no": 0}
+    frames = spark.createDataFrame([([(1, ['x"y'])],)], "f array<struct<frame_no:int,labels:array<string>>>")
+    got = frames.select(M.labels_json(F.col("f")), M.labels_json_indent4(F.col("f"))).first()
+    assert [json.loads(x) for x in got] == [[{"Frame 1": ['x"y']}]] * 2
+
+
+def test_model_errors_reach_the_answer_and_the_verdict(spark):
+    from quire.operators import answer as A
+    from quire.operators import evaluate as E
+
+    def boom(prompt, **kw):
+        raise RuntimeError("boom")
+    chunks = spark.createDataFrame([(1, 0, "the cart has four wheels"), (2, 0, "lids are blue")], "doc_id long, chunk_no int, text string")
+    qs = spark.createDataFrame([(1, "how many wheels has the cart")], "qid long, question string")
+    assert A.answer_questions(chunks, qs, model=boom).first().answer.startswith("Error querying knowledge base: RuntimeError: boom")
+    ans = spark.createDataFrame([(1, "It has four wheels.", ["four wheels"])], "qid long, answer string, contexts array<string>")
+    v = E.statement_verdicts(ans, judge=boom).first()
+    assert v.supported is None and "boom" in v.judge_error
+
+
+def test_hybrid_returns_k_rows(spark):
+    from quire.operators import retrieve as RT
+    chunks = spark.createDataFrame([(i, 0, f"wheel cart number{i} " + "lid " * (i % 7)) for i in range(60)], "doc_id long, chunk_no int, text string")
+    qs = spark.createDataFrame([(1, "wheel cart lid")], "qid long, question string")
+    assert RT.hybrid_topk(RT.build_index(chunks), qs, 50).count() == 50
+
+
+def test_dimension_table_can_be_extended(spark):
+    from quire.operators import routing as R
+    df = spark.createDataFrame([("own-model:0", [0.0] * 3), ("other", [0.0])], "model string, embedding array<float>")
+    got = {r.model: r.status for r in R.embedding_dim_check(df, models={"own-model:0": 3}).collect()}
+    assert got == {"own-model:0": "ok", "other": "unknown_model"} and R.model_dim("own-model:0", {"own-model:0": 3}) == 3
