@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -42,18 +43,19 @@ def _topk(df: DataFrame, key: str, score: Column, k: int, tie: str, desc: bool =
 
 
 # --------------------------------------------------------------------- index
-# Largest side (rows) this module broadcasts after counting it; beyond it
-# the join falls back to a shuffle (and AQE's skew handling).
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest side (bytes, as stored once computed) this module broadcasts;
+# beyond it the join shuffles, with AQE's skew handling.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
-def _bcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast only behind a size check; otherwise leave the join to a
-    shuffle. The side is persisted so the counting job is not repeated by
-    the join; it is the (small) query side or the vocabulary, never the
-    corpus."""
+def _bcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast only behind a check of the measured size; otherwise leave the
+    join to a shuffle. The side is persisted, which is what measures it; it is
+    the (small) query side or the vocabulary, never the corpus."""
     df = df.persist()
-    return F.broadcast(df) if df.count() <= max_rows else df
+    df.count()
+    stored = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if stored <= max_bytes else df
 
 
 def chunk_key_id(doc: str = "doc_id", chunk_no: str = "chunk_no") -> Column:
@@ -173,16 +175,14 @@ def _bm25_topk_full(idx: LexicalIndex, questions: DataFrame, k: int, **kw) -> Da
 
 
 COMMON_DF_FRACTION = 0.05
-# Pruning pays for its extra stages only when the common terms' postings are
-# many; below this many postings the plain join is cheaper.
-PRUNE_MIN_POSTINGS = 20_000_000
 
 
-def bm25_topk(idx: LexicalIndex, questions: DataFrame, k: int, prune: bool = True,
-              common_df_fraction: float = COMMON_DF_FRACTION, prune_min_postings: int = PRUNE_MIN_POSTINGS,
+def bm25_topk(idx: LexicalIndex, questions: DataFrame, k: int, prune: bool = False,
+              common_df_fraction: float = COMMON_DF_FRACTION,
               qid: str = "qid", question: str = "question",
               k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
-    """Exact BM25 top-k with max-score pruning of common terms.
+    """Exact BM25 top-k, with ``prune`` by max-score pruning of common
+    terms, which pays where their postings are the bulk of a large corpus.
 
     Terms in more than ``common_df_fraction`` of the chunks are
     *non-essential*: their postings (the bulk of all postings) are never
@@ -193,9 +193,6 @@ def bm25_topk(idx: LexicalIndex, questions: DataFrame, k: int, prune: bool = Tru
     max_tfn)`` over those terms. Where that bound is below the k-th
     candidate score the candidate top-k is exact; the remaining questions
     are scored over all postings. The result equals the unpruned ranking.
-    The pruned plan is chosen when the batch's common-term postings number
-    at least ``prune_min_postings`` (read from the document frequencies of
-    the query terms, a small aggregate).
     """
     if not prune or (k1, b) != (BM25_K1, BM25_B):
         return _bm25_topk_full(idx, questions, k, qid=qid, question=question, k1=k1, b=b)
@@ -207,9 +204,6 @@ def bm25_topk(idx: LexicalIndex, questions: DataFrame, k: int, prune: bool = Tru
         "ub", F.col("qtf") * F.col("idf_bm25") * F.lit(k1 + 1.0) * F.col("max_tfn"))
     common = F.col("df") > F.lit(common_df_fraction * idx.n_chunks)
     q = _bcast_if_small(q)
-    heavy = q.where(common).agg(F.sum("df")).first()[0] or 0
-    if heavy < prune_min_postings:
-        return _bm25_topk_full(idx, qs, k, k1=k1, b=b)
     ess, nonu = q.where(~common), q.where(common)
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(idx.avgdl or 1.0))
     part = F.col("qtf") * F.col("idf_bm25") * F.col("tf") * (k1 + 1.0) / (F.col("tf") + norm)
@@ -257,8 +251,8 @@ def _semantic_topk_full(idx: LexicalIndex, questions: DataFrame, k: int, **kw) -
     return _topk(s, "qid", F.col("score"), k, "chunk_id")
 
 
-def semantic_topk(idx: LexicalIndex, questions: DataFrame, k: int, prune: bool = True,
-                  common_df_fraction: float = COMMON_DF_FRACTION, prune_min_postings: int = PRUNE_MIN_POSTINGS,
+def semantic_topk(idx: LexicalIndex, questions: DataFrame, k: int, prune: bool = False,
+                  common_df_fraction: float = COMMON_DF_FRACTION,
                   qid: str = "qid", question: str = "question") -> DataFrame:
     """Sparse semantic top-k with the same exact max-score pruning as
     :func:`bm25_topk`: a chunk matching only common terms has cosine at most
@@ -272,9 +266,6 @@ def semantic_topk(idx: LexicalIndex, questions: DataFrame, k: int, prune: bool =
     qn = q.groupBy("qid").agg(F.sqrt(F.sum(F.col("wq") ** 2)).alias("qnorm")).where(F.col("qnorm") > 0)
     common = F.col("df") > F.lit(common_df_fraction * idx.n_chunks)
     q = _bcast_if_small(q.join(qn, "qid"))
-    heavy = q.where(common).agg(F.sum("df")).first()[0] or 0
-    if heavy < prune_min_postings:
-        return _semantic_topk_full(idx, qs, k)
     ess, nonu = q.where(~common), q.where(common)
     contrib = F.col("wq") * F.col("tf") * F.col("idf")
     d_e = (idx.postings.join(ess.select("term", "qid", "wq", "idf", "qnorm"), "term")
@@ -337,16 +328,20 @@ class CellIndex:
 
 
 def build_cells(corpus: DataFrame, id_col: str = "vec_id", vec: str = "embedding",
-                n_cells: int = 16, seed: int = 7, max_iter: int = 10) -> CellIndex:
+                n_cells: int | None = None, seed: int = 7, max_iter: int = 10) -> CellIndex:
     """Partition vectors into KMeans cells (Spark ML, distributed Lloyd
-    steps). The centroid table has ``n_cells`` rows (a bounded broadcast);
-    radius and size per cell come from one grouped aggregate; the corpus
-    stays distributed."""
+    steps). ``n_cells`` defaults to a quarter of the square root of the number
+    of vectors, 16 at least, so cells grow in number and in size with the
+    corpus and the centroid table stays small (8,000 rows for a billion
+    vectors); radius and size per cell come from one grouped aggregate; the
+    corpus stays distributed and keeps its other columns for filters."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     spark = corpus.sparkSession
-    v = corpus.select(F.col(id_col).alias("id"), F.col(vec).alias("vec"),
+    n_cells = n_cells or max(16, math.isqrt(corpus.count()) // 4)
+    others = [c for c in corpus.columns if c not in (id_col, vec, "id", "vec", "cell")]
+    v = corpus.select(F.col(id_col).alias("id"), F.col(vec).alias("vec"), *others,
                       array_to_vector(F.col(vec)).alias("_features"))
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="_features",
                    predictionCol="cell", initMode="k-means||").fit(v)
@@ -359,7 +354,7 @@ def build_cells(corpus: DataFrame, id_col: str = "vec_id", vec: str = "embedding
              .select("cell", "c", F.coalesce("r", F.lit(0.0)).alias("r"), F.coalesce("n", F.lit(0)).alias("n"))
              .persist())
     cells.count()
-    return CellIndex(assigned.select("id", "vec", "cell"), cells, len(model.clusterCenters()))
+    return CellIndex(assigned.select("id", "vec", "cell", *others), cells, len(model.clusterCenters()))
 
 
 def _with_cell_dists(q: DataFrame, idx: CellIndex) -> DataFrame:
@@ -409,20 +404,20 @@ def knn(idx: CellIndex, queries: DataFrame, k: int, nprobe: int = 2, exact: bool
 
 def knn_filtered(corpus: DataFrame, queries: DataFrame, k: int, flt: dict | None,
                  id_col: str = "vec_id", vec: str = "embedding", **kw) -> DataFrame:
-    """R1 with a metadata filter applied **before** ranking (pushed into the
-    scan by Catalyst)."""
-    c = corpus.where(compile_filter(flt))
-    n_cells = kw.pop("n_cells", 16)
-    return knn(build_cells(c, id_col, vec, n_cells=n_cells), queries, k, **kw)
-
-
-def sharded_merge(cands: DataFrame, k: int, shards: int = 2) -> DataFrame:
-    """Local top-k per (query, shard), then top-k per query."""
-    c = cands.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
-    s = F.round(F.col("distance"), 9)
-    w1 = W.partitionBy("qid", "shard").orderBy(s.asc(), F.col("id").asc())
-    local = c.withColumn("_lr", F.row_number().over(w1)).where(F.col("_lr") <= k).drop("_lr", "rank")
-    return _topk(local, "qid", F.col("distance"), k, "id", desc=False)
+    """R1 with a metadata filter applied **before** ranking: cells belong to
+    the whole corpus (pass ``idx`` to use them for many filters; a cell's
+    radius bounds any part of it) and the rows compared are the filtered ones."""
+    idx = kw.pop("idx", None) or build_cells(corpus, id_col, vec, n_cells=kw.pop("n_cells", None))
+    return knn(CellIndex(idx.corpus.where(compile_filter(flt)), idx.cells, idx.n_cells), queries, k, **kw)
+
+
+def knn_sharded(idx: CellIndex, queries: DataFrame, k: int, shards: int = 2, **kw) -> DataFrame:
+    """Each shard of the corpus (by hash of the id) is searched for its
+    own top-k, and the shards' lists are merged per query."""
+    of = F.pmod(F.xxhash64("id"), F.lit(shards))
+    local = [knn(CellIndex(idx.corpus.where(of == s), idx.cells, idx.n_cells), queries, k, **kw)
+             .select("qid", "id", "distance") for s in range(shards)]
+    return _topk(reduce(DataFrame.unionByName, local), "qid", F.col("distance"), k, "id", desc=False)
 
 
 # --------------------------------------------------------------- answering

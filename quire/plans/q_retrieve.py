@@ -35,6 +35,20 @@ def semantic_topk(spark, sf):
     return r.select("qid", "rank", "chunk_id", F.round("score", 6).alias("score"))
 
 
+@register("bm25_topk_pruned", with_ctes(
+    "SELECT qid, rank, chunk_id, round(score, 6) AS score FROM bm25_top3", "bm25_top3"))
+def bm25_topk_pruned(spark, sf):
+    r = RT.bm25_topk(_index(spark, sf), FX.golden(spark, sf), K_EVAL, prune=True)
+    return r.select("qid", "rank", "chunk_id", F.round("score", 6).alias("score"))
+
+
+@register("semantic_topk_pruned", with_ctes(
+    "SELECT qid, rank, chunk_id, round(score, 6) AS score FROM sem_top3", "sem_top3"))
+def semantic_topk_pruned(spark, sf):
+    r = RT.semantic_topk(_index(spark, sf), FX.golden(spark, sf), K_EVAL, prune=True)
+    return r.select("qid", "rank", "chunk_id", F.round("score", 6).alias("score"))
+
+
 @register("hybrid_topk", with_ctes(
     "SELECT qid, rank, chunk_id, round(score, 6) AS score FROM hyb_top3", "hyb_top3"))
 def hybrid_topk(spark, sf):
@@ -75,8 +89,7 @@ def knn_l2_filtered(spark, sf):
 @register("knn_sharded", _knn_sql(K_APP))
 def knn_sharded(spark, sf):
     idx = RT.build_cells(table(spark, sf, "embeddings"), n_cells=16)
-    cands = RT.knn(idx, FX.vec_queries(spark, sf), K_APP, nprobe=2, exact=True)
-    return _knn_out(RT.sharded_merge(cands, K_APP, shards=2))
+    return _knn_out(RT.knn_sharded(idx, FX.vec_queries(spark, sf), K_APP, shards=2, nprobe=2))
 
 
 @register("knn_ivf")

@@ -58,7 +58,7 @@ def test_exact_knn_equals_brute_force_and_shards(spark):
     q = FX.vec_queries(spark, SF_SMALL)
     exact = RT.knn(idx, q, k, nprobe=1, exact=True)
     assert _ranked(exact) == _brute(spark, k)
-    assert _ranked(RT.sharded_merge(exact, k, shards=2)) == _ranked(exact)
+    assert _ranked(RT.knn_sharded(idx, q, k, shards=2, nprobe=1)) == _ranked(exact)
 
 
 def test_ivf_recall_grows_with_nprobe(spark):
@@ -105,7 +105,7 @@ def test_pruned_bm25_equals_full_ranking(spark):
     cols = ["qid", "rank", "chunk_id"]
     full = RT.bm25_topk(idx, q, 5, prune=False).select(*cols)
     for frac in (0.01, 0.05, 0.5):
-        got = RT.bm25_topk(idx, q, 5, common_df_fraction=frac, prune_min_postings=0).select(*cols)
+        got = RT.bm25_topk(idx, q, 5, common_df_fraction=frac, prune=True).select(*cols)
         assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
 
 
@@ -116,5 +116,5 @@ def test_pruned_semantic_equals_full_ranking(spark):
     cols = ["qid", "rank", "chunk_id"]
     full = RT.semantic_topk(idx, q, 5, prune=False).select(*cols)
     for frac in (0.01, 0.05, 0.5):
-        got = RT.semantic_topk(idx, q, 5, common_df_fraction=frac, prune_min_postings=0).select(*cols)
+        got = RT.semantic_topk(idx, q, 5, common_df_fraction=frac, prune=True).select(*cols)
         assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0

@@ -383,3 +383,22 @@ def test_dimension_table_can_be_extended(spark):
     df = spark.createDataFrame([("own-model:0", [0.0] * 3), ("other", [0.0])], "model string, embedding array<float>")
     got = {r.model: r.status for r in R.embedding_dim_check(df, models={"own-model:0": 3}).collect()}
     assert got == {"own-model:0": "ok", "other": "unknown_model"} and R.model_dim("own-model:0", {"own-model:0": 3}) == 3
+
+
+def test_answers_only_from_filtered_chunks(spark):
+    from quire.operators import answer as A
+    chunks = spark.createDataFrame([(1, 0, "the cart has four wheels", "internal"), (2, 0, "the cart has two wheels", "external"),
+                                    (3, 0, "wheels of a cart", None)], "doc_id long, chunk_no int, text string, exposure string")
+    qs = spark.createDataFrame([(1, "how many wheels has the cart")], "qid long, question string")
+    row = A.answer_questions(chunks, qs, flt={"equals": {"key": "exposure", "value": "external"}}).first()
+    assert row.contexts == ["the cart has two wheels"]
+
+
+def test_sharded_search_searches_every_shard(spark):
+    from quire.operators import retrieve as RT
+    rows = [(i, [float(i), 1.0]) for i in range(50)]
+    idx = RT.build_cells(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), n_cells=4)
+    q = spark.createDataFrame([(1, [10.2, 1.0])], "qid long, qvec array<double>")
+    for shards in (1, 3, 7):
+        got = [r.id for r in RT.knn_sharded(idx, q, 5, shards).orderBy("rank").collect()]
+        assert got == [10, 11, 9, 12, 8]
