@@ -18,7 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["answer_questions", "bm25_topk", "hybrid_topk", "knn_l2", "chunk_fixed", "kb_records",
             "html_to_text", "stitch_tables", "assemble_document", "parse_events", "video_labels",
-            "transcript_label_join", "sync_apply", "agent_sessions", "pending_reminders", "run_summary"]
+            "transcript_label_join", "sync_apply", "agent_sessions", "pending_reminders", "run_summary",
+            "table_continuation", "drop_repeat_queries", "sync_plan", "embed_chunks", "knn_ivf", "bm25_topk_pruned"]
 
 
 def main() -> None:

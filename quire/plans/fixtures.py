@@ -175,11 +175,11 @@ def golden(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def detections(spark: SparkSession, sf: str) -> DataFrame:
-    """Label detections from ``lineitem``: video = orderkey % 50, frame =
-    line number, label = 'L' + partkey % 25, confidence = 2 * quantity;
+    """Label detections from ``lineitem``: a video is 150 orders in a row (so
+    videos grow with the table), frame = line number, label = 'L' + partkey % 25, confidence = 2 * quantity;
     the max per (video, frame, label) is kept."""
     li = table(spark, sf, "lineitem")
-    return (li.select((F.col("l_orderkey") % 50).alias("video"), F.col("l_linenumber").alias("frame_no"),
+    return (li.select(F.floor(F.col("l_orderkey") / 150).alias("video"), F.col("l_linenumber").alias("frame_no"),
                       F.concat(F.lit("L"), _s(F.col("l_partkey") % 25)).alias("label"),
                       (F.col("l_quantity") * 2).alias("confidence"))
             .groupBy("video", "frame_no", "label").agg(F.max("confidence").alias("confidence")))
@@ -201,11 +201,11 @@ def transcripts(spark: SparkSession, sf: str) -> DataFrame:
 
 def label_files(spark: SparkSession, sf: str) -> DataFrame:
     """Frame-label objects for the same base and request id, holding the
-    labels document of video ``doc_id % 50``; absent when ``doc_id % 7 = 0``."""
+    labels document of video ``doc_id / 10``; absent when ``doc_id % 7 = 0``."""
     from quire.operators.media import video_labels
     v = video_labels(detections(spark, sf)).select("video", "labels_json")
     d = table(spark, sf, "documents").select("doc_id").where(F.col("doc_id") % 7 != 0)
-    j = d.join(v, (F.col("doc_id") % 50) == F.col("video"))
+    j = d.join(v, F.floor(F.col("doc_id") / 10) == F.col("video"))
     return j.select("doc_id", F.concat(_s("doc_id"), F.lit(".mp4_labels_"), _request_id(),
                                        F.lit(".json")).alias("key"), F.col("labels_json").alias("body"))
 
@@ -262,7 +262,7 @@ def jobs(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")
     status = (F.when(F.col("event_type") == "signup", F.lit("COMPLETE"))
               .when(F.col("event_type") == "error", F.lit("FAILED")).otherwise(F.lit("IN_PROGRESS")))
-    return e.select((F.col("user_id") % 10).alias("data_source_id"), F.col("event_id").alias("job_id"),
+    return e.select(F.floor(F.col("user_id") / 10).alias("data_source_id"), F.col("event_id").alias("job_id"),
                     F.col("ts").alias("started_at"), status.alias("status"))
 
 
@@ -274,7 +274,7 @@ def query_log(spark: SparkSession, sf: str) -> DataFrame:
 
 def uploads(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")
-    return e.select((F.col("user_id") % 20).alias("session"),
+    return e.select(F.col("user_id").alias("session"),
                     F.concat("event_type", F.lit(".pdf")).alias("file_name"), "ts", "event_id")
 
 

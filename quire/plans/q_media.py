@@ -73,7 +73,7 @@ def transcript_label_join(spark, sf):
 SELECT base, request_id, 'Transcript:' || chr(10) || transcript || chr(10) || chr(10) || 'Video Labels:' || chr(10)
        || """ + _indent4_sql("v.frames") + """ || chr(10) || chr(10) || 'Model Insights:' || chr(10)
        || """ + first_sentence("transcript") + """ || chr(10) AS report
-FROM tj JOIN video_frames v ON tj.doc_id % 50 = v.video WHERE status = 200"""))
+FROM tj JOIN video_frames v ON tj.doc_id // 10 = v.video WHERE status = 200"""))
 def combined_report(spark, sf):
     j = _joined(spark, sf).where(F.col("status") == 200)
     frames = F.transform(F.from_json("labels_body", EV.FRAME_LABELS), lambda m: F.struct(

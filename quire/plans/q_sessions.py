@@ -54,7 +54,7 @@ def sync_apply(spark, sf):
 SELECT data_source_id, arg_max(event_id, (ts, event_id)) AS job_id, max(ts) AS started_at,
        arg_max(CASE WHEN event_type = 'signup' THEN 'COMPLETE' WHEN event_type = 'error' THEN 'FAILED'
                     ELSE 'IN_PROGRESS' END, (ts, event_id)) AS status
-FROM (SELECT user_id % 10 AS data_source_id, event_id, ts, event_type FROM events) e
+FROM (SELECT user_id // 10 AS data_source_id, event_id, ts, event_type FROM events) e
 GROUP BY data_source_id""")
 def latest_job_status(spark, sf):
     return SY.latest_job_status(FX.jobs(spark, sf))
@@ -95,7 +95,7 @@ def drop_repeat_queries(spark, sf):
 
 @register("dedupe_uploads", """
 SELECT session, file_name, min(ts) AS ts, arg_min(event_id, (ts, event_id)) AS event_id, count(*) AS n_uploads
-FROM (SELECT user_id % 20 AS session, event_type || '.pdf' AS file_name, ts, event_id FROM events) u
+FROM (SELECT user_id AS session, event_type || '.pdf' AS file_name, ts, event_id FROM events) u
 GROUP BY session, file_name""")
 def dedupe_uploads(spark, sf):
     return SS.dedupe_uploads(FX.uploads(spark, sf))

@@ -156,7 +156,7 @@ def labels_json_sql(frames: str) -> str:
 
 
 cte("detections", (), """
-  SELECT l_orderkey % 50 AS video, l_linenumber AS frame_no, 'L' || CAST(l_partkey % 25 AS VARCHAR) AS label,
+  SELECT l_orderkey // 150 AS video, l_linenumber AS frame_no, 'L' || CAST(l_partkey % 25 AS VARCHAR) AS label,
          max(l_quantity * 2) AS confidence
   FROM lineitem GROUP BY 1, 2, 3""")
 
@@ -185,7 +185,7 @@ cte("transcripts", (), """
 cte("label_files", ("video_frames",), """
   SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) || '.mp4_labels_' || substr(md5(CAST(d.doc_id AS VARCHAR)), 1, 8)
          || '.json' AS key, """ + labels_json_sql("v.frames") + """ AS body
-  FROM documents d JOIN video_frames v ON d.doc_id % 50 = v.video
+  FROM documents d JOIN video_frames v ON d.doc_id // 10 = v.video
   WHERE d.doc_id % 7 <> 0""")
 
 
