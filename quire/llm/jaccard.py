@@ -8,17 +8,21 @@ comes from a count table of fixed size over all documents (``COUNTERS`` sums by
 leading hash bits), so passages found in many documents stay out of nearly all
 prefixes. The order alone depends on it, never the result.
 
-Classes with equal size and prefix form a group. Groups meet on prefix
-elements under the size and position filters, in two rounds that test every
-pair which could link without listing the pairs of a large group:
-
-1. each list of an element and size band is tested against its first group
-   only, and what links is joined into components;
-2. in lists that still hold several components, members outside the list's
-   largest component are tested against the members of other components.
-
-Pairs within a component need no test. Tests expand groups to classes and
-compare whole sets, computed anew from the texts of the classes concerned.
+Classes with equal size and prefix form a group; groups are filtered by the
+elements they share, then expanded to their classes. Classes that share a
+prefix element may link if sizes and positions allow enough overlap and if the
+parity bitmaps of their sets (``BITS`` bits, one toggled per element) differ
+in no more bits than the sets may differ in elements; all three filters are
+exact bounds. What passes is tested on the whole sets, computed anew from the
+texts of the classes concerned.
+
+To test every pair that could link without listing the pairs of a large group,
+rounds of stars come first: each list of an element and size band is tested
+against one of its classes, drawn anew each round, and what links is joined
+into components. The rounds end when they find little. Then, in lists that
+still hold several components, members outside the list's largest component
+are tested against the members of other components. Pairs within a component
+need no test.
 
 Defined results: texts without words and null texts have an empty set, link
 with nothing and are their own component; fewer than n words are one element,
@@ -30,6 +34,7 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 import zlib
 
 import numpy as np
@@ -39,11 +44,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents, written
+from quire.llm.common import documents, packed, unpacked, written
 from quire.llm.components import components
 
 WORDS, PERCENT = 3, 90
 COUNTERS, BLOCKS = 1 << 20, 64
+#: Bits of a set's parity bitmap, and the most rounds of stars.
+BITS, ROUNDS = 512, 6
 MAX_WORDS = 1_000_000
 PRIMES = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
                    0x27D4EB2F165667C5, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -118,28 +125,33 @@ def prefix_length(n: int, percent: int) -> int:
 
 def sets(docs: DataFrame, n: int, percent: int, shared) -> DataFrame:
     """doc_id, th (hash of the text), n_shingles, sid (128-bit name of the
-    set, null if empty) and its prefix."""
+    set, null if empty), gid (hash of its size and prefix), its prefix and its
+    parity bitmap."""
     shift = np.uint64(64 - (COUNTERS - 1).bit_length())
-    schema = "doc_id long, th long, n_shingles long, sid binary, prefix array<long>"
+    schema = "doc_id long, th long, n_shingles long, sid binary, gid long, prefix array<long>, bits array<long>"
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            size, names, prefixes = [], [], []
+            size, names, groups, prefixes, bits = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 h = shingle_set(text, n)
                 size.append(len(h))
                 if not len(h):
-                    names.append(None)
-                    prefixes.append(None)
+                    for column in (names, groups, prefixes, bits):
+                        column.append(None)
                     continue
                 names.append(xxhash.xxh3_128_digest(h.tobytes()))
                 key = (counts[h >> shift].astype(np.uint64) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
                 first = np.argsort(key, kind="stable")[:prefix_length(len(h), percent)]
                 prefixes.append(h[first].view(np.int64))
+                groups.append(xxhash.xxh64_intdigest(h[first].tobytes(), seed=len(h)) - (1 << 63))
+                odd = np.bincount((h & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(names, pa.binary()),
-                 pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "th", "n_shingles", "sid", "prefix"])
+                 pa.array(groups, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
+                names=["doc_id", "th", "n_shingles", "sid", "gid", "prefix", "bits"])
 
     return (docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), F.col("text").cast("binary"))
             .mapInArrow(build, schema))
@@ -156,6 +168,13 @@ def _room(n1: Column, p1: Column, n2: Column, p2: Column, percent: int) -> Colum
     return F.least(n1 - p1, n2 - p2) * (100 + percent) >= (n1 + n2) * percent
 
 
+def _alike(n1: Column, b1: str, n2: Column, b2: str, percent: int) -> Column:
+    """Bits that differ belong to elements of one set only, and a link allows
+    (100 - percent) / (100 + percent) of n1 + n2 such elements."""
+    words = [F.bit_count(F.col(b1)[i].bitwiseXOR(F.col(b2)[i])) for i in range(BITS // 64)]
+    return reduce(lambda x, y: x + y, words) * (100 + percent) <= (n1 + n2) * (100 - percent)
+
+
 def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b: sids) whose sets are similar; ``texts`` has
     sid and text of the classes in them."""
@@ -185,6 +204,7 @@ def _texts(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Data
     """sid and text (binary) of the classes named in ``pairs``."""
     named = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
     wanted = classes.join(named, "sid", "left_semi").select("sid", F.col("rep").alias("_rep"), F.col("th").alias("_th"))
+    wanted = written(spark, wanted, "wanted")  # small tables are seen to be small before texts would move
     found = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
     rows = found.join(wanted, (F.col("doc_id") == F.col("_rep")) & (F.col("th") == F.col("_th"))).select("sid", "text")
     return written(spark, rows.dropDuplicates(["sid"]), "class-texts")
@@ -198,62 +218,80 @@ def link(spark: SparkSession, docs: DataFrame, n: int = WORDS, percent: int = PE
     rows = written(spark, sets(docs, n, percent, shared), "sets")
     first = F.min(F.struct("doc_id", "th"))
     classes = written(spark, rows.where(F.col("sid").isNotNull() & F.col("doc_id").isNotNull())
-                      .groupBy("sid").agg(first.alias("f"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
-                      .select("sid", F.col("f.doc_id").alias("rep"), F.col("f.th").alias("th"), "n", "prefix"), "classes")
-    # groups: classes of equal size and prefix, named by their smallest class
-    named = classes.select("sid", "n", F.sha2(F.array_join(F.col("prefix").cast("array<string>"), ",").cast("binary"), 256)
-                           .alias("ph"), "prefix")
-    groups = named.groupBy("n", "ph").agg(F.min("sid").alias("gid"), F.count("*").alias("m"), F.first("prefix").alias("prefix"))
-    groups = written(spark, groups, "groups")
-    several = groups.where("m > 1").select("gid", F.col("n").alias("_n"), F.col("ph").alias("_ph"))
-    members = written(spark, named.select("sid", "n", "ph").join(several, (F.col("n") == F.col("_n")) & (F.col("ph") == F.col("_ph")))
-                      .select("gid", "sid"), "members")
-
+                      .groupBy("sid").agg(first.alias("f"), F.first("n_shingles").alias("n"), F.first("gid").alias("gid"),
+                                            F.first("bits").alias("bits"))
+                      .select("sid", "gid", F.col("f.doc_id").alias("rep"), F.col("f.th").alias("th"), "n", "bits"), "classes")
+    # groups: classes of equal size and prefix; one document of each lists its prefix
+    groups = (classes.groupBy("gid").agg(F.count("*").alias("m"), F.min(F.struct("rep", "th")).alias("f"))
+              .select(F.col("gid").alias("_g"), "m", F.col("f.rep").alias("_rep"), F.col("f.th").alias("_th")))
+    posted = (rows.join(groups, (F.col("doc_id") == F.col("_rep")) & (F.col("th") == F.col("_th")) & (F.col("gid") == F.col("_g")))
+              .select("gid", F.col("n_shingles").cast("int").alias("n"), "m", F.posexplode("prefix").alias("pos", "tok")))
+    lists = posted.groupBy("tok").agg(F.sum("m").alias("c")).where("c > 1").select(F.col("tok").alias("_tok"))
+    posted = written(spark, posted.drop("m").join(lists, F.col("tok") == F.col("_tok"), "left_semi"), "postings")
     # bands of sizes: a link joins the same or neighbouring bands
     band = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100))).cast("int")
-    posted = groups.select("gid", "n", band.alias("band"), F.posexplode("prefix").alias("pos", "tok"))
-    lists = posted.groupBy("tok").agg(F.count("*").alias("c")).where("c > 1").select(F.col("tok").alias("_tok"))
-    posted = written(spark, posted.join(lists, F.col("tok") == F.col("_tok"), "left_semi"), "postings")
-
-    # round 1: each list against its first group, the list's own and the next band
-    heads = (posted.groupBy("tok", "band").agg(F.min(F.struct("n", "gid", "pos")).alias("h"))
-             .select(F.col("tok").alias("_tok"), F.col("band").alias("_band"), F.col("h.n").alias("hn"),
-                     F.col("h.gid").alias("head"), F.col("h.pos").alias("hpos")))
-    near = posted.withColumn("_at", F.explode(F.array(F.col("band") - 1, F.col("band"))))
-    star = (near.join(heads, (F.col("tok") == F.col("_tok")) & (F.col("_at") == F.col("_band")))
-            .where((F.col("gid") != F.col("head")) & _could(F.col("n"), F.col("hn"), percent)
-                   & _room(F.col("n"), F.col("pos"), F.col("hn"), F.col("hpos"), percent))
-            .select(F.greatest("gid", "head").alias("a"), F.least("gid", "head").alias("b")))
-    # within groups: members against the group's first
-    inner = members.where(F.col("sid") != F.col("gid")).select(F.col("sid").alias("a"), F.col("gid").alias("b"))
-    tested = written(spark, star.union(inner).distinct(), "pairs-1")
-    edges = written(spark, _verified(spark, tested, _texts(spark, docs, classes, tested), n, percent), "links-1")
-    roots = components(spark, edges)
-
-    # round 2: classes of groups in lists that hold several components
-    of = lambda df, col: df.join(roots, F.col(col) == F.col("node"), "left").withColumn("root", F.coalesce("root", F.col(col))).drop("node")
-    whole = posted.join(members.withColumnRenamed("gid", "_g"), F.col("gid") == F.col("_g"), "left")
-    placed = of(whole.select("tok", "n", "pos", F.coalesce("sid", "gid").alias("sid"), "gid"), "sid")
-    placed = written(spark, placed.select("tok", "n", "pos", "sid", "root"), "placed")
-    sizes = placed.groupBy("tok", "root").agg(F.count("*").alias("c"))
-    mixed = (sizes.groupBy("tok").agg(F.count("*").alias("k"), F.max(F.struct("c", "root")).alias("hub")).where("k > 1")
-             .select(F.col("tok").alias("_tok"), F.col("hub.root").alias("hub")))
-    mixed = written(spark, mixed, "mixed")
-    open_ = written(spark, placed.join(mixed, F.col("tok") == F.col("_tok")).select("tok", "n", "pos", "sid", "root", "hub"), "open")
-    x = open_.where(F.col("root") != F.col("hub")).select(F.col("tok").alias("_t"), F.col("n").alias("xn"), F.col("pos").alias("xpos"),
-                                                           F.col("sid").alias("x"), F.col("root").alias("xroot"))
-    y = open_
-    cross = (x.join(y, F.col("_t") == F.col("tok"))
-             .where((F.col("xroot") != F.col("root")) & _could(F.col("xn"), F.col("n"), percent)
+    members = classes.select(F.col("gid").alias("_g"), "sid", "bits")
+    placed = written(spark, posted.join(members, F.col("gid") == F.col("_g"))
+                     .select("tok", "n", "pos", band.alias("band"), "sid", "bits", F.col("sid").alias("root")), "placed")
+
+    def rooted(df: DataFrame, over: DataFrame) -> DataFrame:
+        """``root`` replaced by the root of its component in ``over``."""
+        new = over.select(F.col("node").alias("_x"), F.col("root").alias("_over"))
+        return (df.join(new, F.col("root") == F.col("_x"), "left").withColumn("root", F.coalesce("_over", "root"))
+                .drop("_x", "_over"))
+
+    def test(pairs: DataFrame) -> DataFrame:
+        """Edges between the roots (ra, rb) of those pairs (a, b, ra, rb) that link."""
+        pairs = written(spark, pairs.groupBy("a", "b").agg(F.first("ra").alias("ra"), F.first("rb").alias("rb")), "pairs")
+        if pairs.isEmpty():
+            return pairs.select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        good = _verified(spark, pairs.select("a", "b"), _texts(spark, docs, classes, pairs), n, percent)
+        back = pairs.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "ra", "rb")
+        return written(spark, good.join(back, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")))
+                       .select(F.col("ra").alias("a"), F.col("rb").alias("b")), "links")
+
+    def several(df: DataFrame) -> DataFrame:
+        """Rows in lists of more than one component, with the list's largest."""
+        parts = df.groupBy("tok", "root").agg(F.count("*").alias("c"))
+        mixed = (parts.groupBy("tok").agg(F.count("*").alias("k"), F.max(F.struct("c", "root")).alias("h")).where("k > 1")
+                 .select(F.col("tok").alias("_tok"), F.col("h.root").alias("hub")))
+        return df.drop("hub").join(mixed, F.col("tok") == F.col("_tok")).drop("_tok")
+
+    named = written(spark, classes.select("sid", "rep", F.col("sid").alias("root")), "roots")
+    near_ = lambda n1, b1, n2, b2: (
+        _could(F.col(n1), F.col(n2), percent) & _alike(F.col(n1), b1, F.col(n2), b2, percent))
+    for turn in range(ROUNDS):
+        placed = written(spark, several(placed), "placed")
+        heads = (placed.groupBy("tok", "band")
+                 .agg(F.min(F.struct(F.xxhash64("sid", F.lit(turn)).alias("h"), "sid", "n", "bits", "root")).alias("h"))
+                 .select(F.col("tok").alias("_tok"), F.col("band").alias("_band"),
+                         *[F.col(f"h.{c}").alias(f"h{c}") for c in ("sid", "n", "bits", "root")]))
+        # any shared element will do here; positions matter where pairs are listed
+        near = placed.withColumn("_at", F.explode(F.array(F.col("band") - 1, F.col("band"))))
+        star = (near.join(heads, (F.col("tok") == F.col("_tok")) & (F.col("_at") == F.col("_band"))
+                          & (F.col("root") != F.col("hroot")) & near_("n", "bits", "hn", "hbits"))
+                .select(F.col("sid").alias("a"), F.col("hsid").alias("b"), F.col("root").alias("ra"), F.col("hroot").alias("rb")))
+        found = test(star)
+        count = found.count()
+        if count:
+            over = components(spark, found)
+            placed, named = rooted(placed, over), written(spark, rooted(named, over), "roots")
+        if count * 1000 < named.count():
+            break
+
+    # the rest: members outside a list's largest component against other components
+    open_ = written(spark, several(placed), "open")
+    x = open_.where(F.col("root") != F.col("hub")).select(
+        *[F.col(c).alias(f"x{c}") for c in ("tok", "n", "pos", "sid", "bits", "root")])
+    cross = (x.join(open_, (F.col("xtok") == F.col("tok")) & (F.col("xroot") != F.col("root"))
+                    & near_("xn", "xbits", "n", "bits")
                     & _room(F.col("xn"), F.col("xpos"), F.col("n"), F.col("pos"), percent))
-             .select(F.greatest("x", "sid").alias("a"), F.least("x", "sid").alias("b")).distinct())
-    more = written(spark, cross.join(tested, ["a", "b"], "left_anti"), "pairs-2")
-    if not more.isEmpty():
-        late = written(spark, _verified(spark, more, _texts(spark, docs, classes, more), n, percent), "links-2")
-        if not late.isEmpty():
-            roots = components(spark, edges.union(late))
-
-    named = of(classes.select("sid", "rep"), "sid")
+             .select(F.greatest("xsid", "sid").alias("a"), F.least("xsid", "sid").alias("b"),
+                     F.col("xroot").alias("ra"), F.col("root").alias("rb")))
+    late = test(cross)
+    if not late.isEmpty():
+        named = rooted(named, components(spark, late))
+
     least = named.groupBy("root").agg(F.min("rep").alias("component"))
     ids = written(spark, named.join(least.withColumnRenamed("root", "_r"), F.col("root") == F.col("_r"))
                   .select(F.col("sid").alias("_sid"), "component", "root"), "class-components")
@@ -274,11 +312,11 @@ def keep_one(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80
     acts = (rows.join(first, F.col("root") == F.col("_root")).where(~stays | (F.col("m") > 1))
             .groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).agg(F.max(stays).alias("_once")))
     acts = written(spark, acts, "drops")
-    joined = docs.withColumn("_h", F.xxhash64("text")).join(
-        acts, (F.col("doc_id") == F.col("_doc")) & (F.col("_h") == F.col("_th")), "left")
-    rest = joined.where(F.col("_doc").isNull()).select(*docs.columns)
-    once = joined.where("_once").dropDuplicates(["_doc", "_th"]).select(*docs.columns)
-    return rest.unionByName(once)
+    keyed = docs.select(packed(docs), F.col("doc_id").cast("long").alias("_d"), F.xxhash64("text").alias("_h"))
+    joined = keyed.join(acts, (F.col("_d") == F.col("_doc")) & (F.col("_h") == F.col("_th")), "left")
+    rest = joined.where(F.col("_doc").isNull()).select("row")
+    once = joined.where("_once").dropDuplicates(["_doc", "_th"]).select("row")
+    return rest.unionByName(once).select(*unpacked(docs))
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
