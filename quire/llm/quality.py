@@ -37,7 +37,7 @@ SPREAD = 6.0
 SHARES = {
     "symbols": ("n_symbols", "n_words", 0.1, False),
     "dup_lines": ("n_dup_lines", "n_lines", 0.4, False),
-    "repeats": ("n_repeat_words", "n_words", 0.2, False),
+    "repeats": ("n_repeat_words", "n_words", 0.35, False),
     "word_length": ("word_chars", "n_words", 1.0, True),
 }
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
