@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 GOLDEN_SCHEMA = T.StructType([T.StructField("question", T.StringType(), False),
@@ -34,5 +35,6 @@ def read_tabular(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     if fmt == "csv":
         return spark.read.option("header", "true").option("inferSchema", "false").csv(path)
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     raise ValueError(f"unsupported tabular format {fmt!r}")

@@ -36,7 +36,8 @@ BINARY_FILE = T.StructType([T.StructField("path", T.StringType(), False),
 
 def file_arrivals(spark: SparkSession, root: str, suffixes=None, ignore_case: bool = False,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Every object created under ``root`` once, with its route. The
+    """Every object created under ``root`` once, with its route and, where
+    it is selected, its content. The
     file source records processed files in the checkpoint, so a restart
     never re-reads them."""
     r = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("recursiveFileLookup", "true")
@@ -45,7 +46,7 @@ def file_arrivals(spark: SparkSession, root: str, suffixes=None, ignore_case: bo
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     s = r.load(root)
-    return s.select("path", "length", "modificationTime", K.route("path", ignore_case).alias("route"))
+    return s.select("path", "length", "modificationTime", K.route("path", ignore_case).alias("route"), "content")
 
 
 # W2 / W3

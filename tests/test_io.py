@@ -44,6 +44,14 @@ def test_tabular_source_all_strings(spark):
     assert df.dtypes == [("a", "string"), ("b", "string")] and df.count() == 2
 
 
+def test_tabular_parquet_is_all_strings_too(spark):
+    p = os.path.join(tempfile.mkdtemp(prefix="quire-io-"), "sheet")
+    spark.createDataFrame([(1, 2.5), (None, 3.0)], "a int, b double").write.parquet(p)
+    df = O.read_tabular(spark, p, "parquet")
+    assert df.dtypes == [("a", "string"), ("b", "string")]
+    assert sorted((r.a or "", r.b) for r in df.collect()) == [("", "3.0"), ("1", "2.5")]
+
+
 def test_experiment_serials_increase(spark):
     d = os.path.join(tempfile.mkdtemp(prefix="quire-io-"), "experiments")
     row = spark.createDataFrame([("HYBRID", 0.5)], "kb_search_type string, faithfulness double")
