@@ -17,9 +17,9 @@ exact bounds. What passes is tested on the whole sets, computed anew from the
 texts of the classes concerned.
 
 To test every pair that could link without listing the pairs of a large group,
-rounds of stars come first: each list of an element and size band is tested
-against one of its classes, drawn anew each round, and what links is joined
-into components. The rounds end when they find little. Then, in lists that
+stars come first: in each list of an element, split into shares of about
+``SHARE`` classes, all members are compared with the first ``PIVOTS`` in an
+order by hash, and what links is joined into components. Then, in lists that
 still hold several components, members outside the list's largest component
 are tested against the members of other components. Pairs within a component
 need no test.
@@ -41,7 +41,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import documents, packed, unpacked, written
@@ -49,9 +49,11 @@ from quire.llm.components import components
 
 WORDS, PERCENT = 3, 90
 COUNTERS, BLOCKS = 1 << 20, 64
-#: Bits of a set's parity bitmap, and the most rounds of stars.
-BITS, ROUNDS = 512, 6
-MAX_WORDS = 1_000_000
+#: Bits of a set's parity bitmap.
+BITS = 512
+#: Members of a share of a list that all others are compared with, and its size.
+PIVOTS, SHARE = 8, 20_000
+MAX_WORDS = 300_000
 PRIMES = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
                    0x27D4EB2F165667C5, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -175,6 +177,40 @@ def _alike(n1: Column, b1: str, n2: Column, b2: str, percent: int) -> Column:
     return reduce(lambda x, y: x + y, words) * (100 + percent) <= (n1 + n2) * (100 - percent)
 
 
+def _stars(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b: sids) of each list's members and pivots whose sizes and
+    bitmaps allow a link. Rows stream by list; only the pivots are held."""
+    schema = "a binary, b binary"
+    width = BITS // 64
+
+    def star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, names, sizes, maps = None, [], [], []
+        for batch in batches:
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            n, ids = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            bits = np.asarray(batch.column(4).flatten()).view(np.uint64).reshape(-1, width)
+            out: tuple[list, list] = ([], [])
+            for i, key in enumerate(keys):
+                if key != current:
+                    current, names, sizes, maps = key, [], [], []
+                for name, size, other in zip(names, sizes, maps):
+                    both = n[i] + size
+                    if (name != ids[i] and min(n[i], size) * 100 >= max(n[i], size) * percent
+                            and int(np.bitwise_count(bits[i] ^ other).sum()) * (100 + percent) <= both * (100 - percent)):
+                        out[0].append(max(name, ids[i]))
+                        out[1].append(min(name, ids[i]))
+                if len(names) < PIVOTS:
+                    names.append(ids[i])
+                    sizes.append(n[i])
+                    maps.append(bits[i].copy())
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in out], names=["a", "b"])
+
+    share = F.pmod(F.xxhash64("sid"), F.ceil(F.col("c") / SHARE)).cast("int")
+    rows = placed.select("tok", share.alias("share"), F.col("n").cast("long").alias("n"), "sid", "bits")
+    return (rows.repartition("tok", "share").sortWithinPartitions("tok", "share", F.xxhash64("sid"))
+            .mapInArrow(star, schema))
+
+
 def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b: sids) whose sets are similar; ``texts`` has
     sid and text of the classes in them."""
@@ -226,13 +262,11 @@ def link(spark: SparkSession, docs: DataFrame, n: int = WORDS, percent: int = PE
               .select(F.col("gid").alias("_g"), "m", F.col("f.rep").alias("_rep"), F.col("f.th").alias("_th")))
     posted = (rows.join(groups, (F.col("doc_id") == F.col("_rep")) & (F.col("th") == F.col("_th")) & (F.col("gid") == F.col("_g")))
               .select("gid", F.col("n_shingles").cast("int").alias("n"), "m", F.posexplode("prefix").alias("pos", "tok")))
-    lists = posted.groupBy("tok").agg(F.sum("m").alias("c")).where("c > 1").select(F.col("tok").alias("_tok"))
-    posted = written(spark, posted.drop("m").join(lists, F.col("tok") == F.col("_tok"), "left_semi"), "postings")
-    # bands of sizes: a link joins the same or neighbouring bands
-    band = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100))).cast("int")
+    lists = posted.groupBy("tok").agg(F.sum("m").alias("c")).where("c > 1").select(F.col("tok").alias("_tok"), "c")
+    posted = written(spark, posted.drop("m").join(lists, F.col("tok") == F.col("_tok")).drop("_tok"), "postings")
     members = classes.select(F.col("gid").alias("_g"), "sid", "bits")
     placed = written(spark, posted.join(members, F.col("gid") == F.col("_g"))
-                     .select("tok", "n", "pos", band.alias("band"), "sid", "bits", F.col("sid").alias("root")), "placed")
+                     .select("tok", "c", "n", "pos", "sid", "bits"), "placed")
 
     def rooted(df: DataFrame, over: DataFrame) -> DataFrame:
         """``root`` replaced by the root of its component in ``over``."""
@@ -255,29 +289,14 @@ def link(spark: SparkSession, docs: DataFrame, n: int = WORDS, percent: int = PE
         parts = df.groupBy("tok", "root").agg(F.count("*").alias("c"))
         mixed = (parts.groupBy("tok").agg(F.count("*").alias("k"), F.max(F.struct("c", "root")).alias("h")).where("k > 1")
                  .select(F.col("tok").alias("_tok"), F.col("h.root").alias("hub")))
-        return df.drop("hub").join(mixed, F.col("tok") == F.col("_tok")).drop("_tok")
+        return df.join(mixed, F.col("tok") == F.col("_tok")).drop("_tok")
 
-    named = written(spark, classes.select("sid", "rep", F.col("sid").alias("root")), "roots")
     near_ = lambda n1, b1, n2, b2: (
         _could(F.col(n1), F.col(n2), percent) & _alike(F.col(n1), b1, F.col(n2), b2, percent))
-    for turn in range(ROUNDS):
-        placed = written(spark, several(placed), "placed")
-        heads = (placed.groupBy("tok", "band")
-                 .agg(F.min(F.struct(F.xxhash64("sid", F.lit(turn)).alias("h"), "sid", "n", "bits", "root")).alias("h"))
-                 .select(F.col("tok").alias("_tok"), F.col("band").alias("_band"),
-                         *[F.col(f"h.{c}").alias(f"h{c}") for c in ("sid", "n", "bits", "root")]))
-        # any shared element will do here; positions matter where pairs are listed
-        near = placed.withColumn("_at", F.explode(F.array(F.col("band") - 1, F.col("band"))))
-        star = (near.join(heads, (F.col("tok") == F.col("_tok")) & (F.col("_at") == F.col("_band"))
-                          & (F.col("root") != F.col("hroot")) & near_("n", "bits", "hn", "hbits"))
-                .select(F.col("sid").alias("a"), F.col("hsid").alias("b"), F.col("root").alias("ra"), F.col("hroot").alias("rb")))
-        found = test(star)
-        count = found.count()
-        if count:
-            over = components(spark, found)
-            placed, named = rooted(placed, over), written(spark, rooted(named, over), "roots")
-        if count * 1000 < named.count():
-            break
+    found = test(_stars(placed, percent).select("a", "b", F.col("a").alias("ra"), F.col("b").alias("rb")))
+    over = components(spark, found)
+    placed = rooted(placed.drop("c").withColumn("root", F.col("sid")), over)
+    named = written(spark, rooted(classes.select("sid", "rep", F.col("sid").alias("root")), over), "roots")
 
     # the rest: members outside a list's largest component against other components
     open_ = written(spark, several(placed), "open")
