@@ -137,10 +137,10 @@ def thresholds(sketch: DataFrame) -> DataFrame:
         (F.col("q50") + SPREAD * (F.col("q75") - F.col("q50")) + slack).alias("high"))
 
 
-def judge(spark: SparkSession, counted: DataFrame) -> DataFrame:
-    """``counted`` (a written table of ``with_counts``) plus ``base_failed`` and
-    ``kept``."""
-    limits = thresholds(sketches(counted))
+def judge(spark: SparkSession, counted: DataFrame, basis: DataFrame | None = None) -> DataFrame:
+    """``counted`` plus ``base_failed`` and ``kept``, by the thresholds of
+    ``basis`` (default: ``counted`` itself, then a written table)."""
+    limits = thresholds(sketches(counted if basis is None else basis))
     wide = limits.groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(
         *[F.max(F.when(F.col("share") == k, F.col(side))).alias(f"_{k}_{side}")
           for k, (_, _, _, both) in SHARES.items() for side in (("low", "high") if both else ("high",))])
@@ -156,9 +156,11 @@ def judge(spark: SparkSession, counted: DataFrame) -> DataFrame:
 
 
 def keep_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns."""
-    counted = written(spark, with_counts(docs), "quality-counts")
-    return judge(spark, counted).where("kept").select(*unpacked(docs))
+    """The rows of ``docs`` that pass, with their columns. The counts alone are
+    written for the thresholds; the texts are counted once more on their way
+    through instead of being stored twice."""
+    basis = written(spark, with_counts(docs, F.lit(None).cast("int")), "quality-counts")
+    return judge(spark, with_counts(docs), basis).where("kept").select(*unpacked(docs))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
