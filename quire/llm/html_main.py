@@ -6,16 +6,19 @@ of its ancestors, depth, text and link density of its subtree, and how it
 compares with its siblings; a decoding over the tree then takes or leaves
 whole subtrees, so that a node is never kept inside one that is dropped.
 
-The trees are fitted here, on a bounded sample: the text blocks of about
-``FIT_PAGES`` pages that have an ``article`` or ``main`` element, drawn by
-hash and laid out ``LAYOUTS`` times in differing page frames (which elements
-and attributes hold the article, and which hold menus, notices, adverts,
-forms and comments around and inside it), together with the pages as they
-are. Extraction reads every page whole.
+The trees are fitted here, on a bounded sample: the ``FIT_PAGES`` distinct
+pages with the smallest hashes, those with an ``article`` or ``main`` element
+before others. Their text blocks are laid out ``LAYOUTS`` times or more in
+differing page frames (which elements and attributes hold the article, and
+which hold menus, notices, adverts, forms and comments around and inside it),
+together with the pages as they are where these elements mark the article;
+elsewhere attributes and density (``Rule``) say which blocks are main text.
+Extraction reads every page whole.
 
 Defined results: null or empty html, and pages without main text, give an
 empty text; repeated rows are treated alike; an empty table gives an empty
-result (and is not fitted on); other columns are ignored.
+result (and is not fitted on); where no block of the sample looks like main
+text nothing is fitted and ``Rule`` decides; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +37,11 @@ from pyspark.sql import functions as F
 from quire.llm.common import pages, written
 from quire.llm.dom import FEATURES, Node, Page, decode
 
-FIT_PAGES, LAYOUTS, FIT_CHARS = 150, 6, 60_000
+FIT_PAGES, LAYOUTS = 150, 6
+#: Of one page: characters of main text in its layouts, nodes learned as they are.
+FIT_CHARS, FIT_NODES = 60_000, 5_000
+#: Layouts of each page where few are distinct.
+MOST_LAYOUTS = 60
 TREES, DEPTH = 24, 5
 MAX_ODDS = 4.0
 MAIN = ("article", "main")
@@ -76,6 +83,15 @@ class Trees:
         return np.clip(2 * total, -MAX_ODDS, MAX_ODDS)  # the classifier's margin is half the log odds
 
 
+class Rule:
+    """Log odds from attributes and density alone."""
+
+    def odds(self, x: np.ndarray) -> np.ndarray:
+        nearest, link, words = (x[:, FEATURES.index(k)] for k in ("nearest", "link_share", "words_per_block"))
+        neutral = np.where(words >= 10, 1.0, np.where(words >= 4, 0.25, -0.25))
+        return np.where((nearest < 0) | (link > 0.5), -2.0, np.where(nearest > 0, 1.5, neutral))
+
+
 # -- fitting ------------------------------------------------------------------
 
 def _marks(page: Page) -> list[int]:
@@ -159,37 +175,54 @@ def _lay_out(main: list[tuple[str, str]], other: list[str], seed: int) -> str:
             body + "".join(piece(k) for k in ("side", "comment") if r.random() < 0.4))
     before = "".join(piece(k) for k in ("notice", "header", "nav", "ad") if r.random() < 0.55)
     after = "".join(piece(k) for k in ("comment", "more", "side", "ad", "form", "notice", "footer") if r.random() < 0.45)
+    if not (before or after):
+        after = piece("footer")
     return f"<html><body>{before}{body}{after}</body></html>"
 
 
-def _examples(html: str, seed: int) -> Iterator[tuple[list[float], int]]:
+def _examples(html: str, seed: int, layouts: int = LAYOUTS) -> Iterator[tuple[list[float], int]]:
     page = Page(html)
     marks = _marks(page)
+    own = [page] * 2
+    if not any(m == 1 and node.parts and node.parts[0] for node, m in zip(page.nodes, marks)):
+        own = []  # nothing marked: a guess of the blocks is good for layouts only
+        marks = [int(k) for k in decode(page.nodes, Rule().odds(np.array(page.features())).tolist())]
     main, other = [], []
     for node, m in zip(page.nodes, marks):
         if node.parts and node.parts[0]:
             tag = page.nodes[node.parent].tag if node.tag == "#text" else node.tag
             (main.append((tag if tag in ("h1", "h2", "h3", "p", "li", "blockquote", "pre") else "p", node.parts[0]))
              if m == 1 else other.append(node.parts[0]))
-    made = [page] * 2 + ([Page(_lay_out(main, other, seed * 1000 + k)) for k in range(LAYOUTS)] if main else [])
+    held = 0
+    for n, (_, text) in enumerate(main):
+        held += len(text)
+        if held > FIT_CHARS:
+            main = main[:n] + [(main[n][0], text[:FIT_CHARS - held + len(text)])]
+            break
+    made = own + ([Page(_lay_out(main, other, seed * 1000 + k)) for k in range(layouts)] if main else [])
     for p in made:
-        for x, y in zip(p.features(), _marks(p)):
-            if y >= 0:
-                yield x, y
+        found = [(x, y) for x, y in zip(p.features(), _marks(p)) if y >= 0]
+        yield from found if len(found) <= FIT_NODES else random.Random(seed).sample(found, FIT_NODES)
 
 
 def fit(spark: SparkSession, rows: DataFrame, fit_pages: int = FIT_PAGES) -> Trees | None:
     """Trees fitted on nodes of a bounded sample of ``rows`` (html)."""
-    usable = rows.where(F.length("html").between(1, FIT_CHARS) & F.col("html").rlike("(?i)<(article|main)[ >]"))
-    n = usable.count()
-    drawn = F.pmod(F.xxhash64("html"), F.lit(1_000_000)) / 1_000_000
-    some = (usable.select("html", drawn.alias("u")).where(F.col("u") * n < fit_pages).groupBy("html")
-            .agg(F.first("u").alias("u")).orderBy("u").limit(2 * fit_pages))
+    usable = rows.select(F.col("html").cast("string").alias("html")).where(F.length(F.trim("html")) > 0)
+    h = F.xxhash64("html")
+    marked = F.col("html").rlike(r"(?i)<(article|main)[\s/>]")
+    # distinct pages: copies neither crowd others out nor lower the number drawn
+    drawn = [r["h"] for r in usable.select(h.alias("h"), marked.alias("marked")).distinct()
+             .orderBy(F.desc("marked"), "h").limit(fit_pages).collect()]
+    if not drawn:
+        return None
+    layouts = max(LAYOUTS, min(MOST_LAYOUTS, LAYOUTS * FIT_PAGES // len(drawn)))
+    some = (usable.where(h.isin(drawn)).groupBy("html").agg(F.lit(1)).select("html", F.pmod(h, F.lit(1_000_000)).alias("seed"))
+            .orderBy("seed", "html").limit(2 * fit_pages))
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, u in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got = list(_examples(text, int(u * 1_000_000)))
+            for text, seed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                got = list(_examples(text, seed, layouts))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x for x, _ in got], pa.list_(pa.float64())), pa.array([float(y) for _, y in got])],
                     names=["x", "label"])
@@ -205,6 +238,7 @@ def fit(spark: SparkSession, rows: DataFrame, fit_pages: int = FIT_PAGES) -> Tre
 
 def extract(rows: DataFrame, trees: Trees | None) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``rows`` (page_id, url, html)."""
+    model = trees or Rule()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +246,7 @@ def extract(rows: DataFrame, trees: Trees | None) -> DataFrame:
                 part = batch.slice(s, 256)
                 found = [Page(h or "") for h in part.column(2).to_pylist()]
                 x = [f for p in found for f in p.features()]
-                odds = trees.odds(np.array(x)) if trees else np.full(len(x), -1.0)
+                odds = model.odds(np.array(x))
                 texts, at = [], 0
                 for p in found:
                     n = len(p.nodes)

@@ -179,3 +179,36 @@ def test_main_text(spark):
     assert out[0] == " ".join(("A title of some words " + "Words of prose, again. " * 20 + "More of it, and more. " * 20).split())
     assert out[1] == out[2] == out[3] == out[None] == ""
     assert html_main.fit(spark, odd.limit(0)) is None and html_main.extract(odd.limit(0), None).count() == 0
+
+
+def boxed(i):
+    """A page whose article is in plain boxes, and its main text."""
+    said = [f"Sentence {i} of part {k} says a little more, and then it ends." * 3 for k in range(4)]
+    return ('<div id="menu"><ul><li><a href="/">Home</a></li><li><a href="/a">All of it</a></li></ul></div><div class="post-content">'
+            + "".join(f"<p>{t}</p>" for t in said) + '</div><div class="footer">Copyright by nobody at all</div>', " ".join(said))
+
+
+def test_main_text_without_article_elements(spark):
+    df = spark.createDataFrame([(i, None, boxed(i)[0]) for i in range(30)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_main.extract(df, html_main.fit(spark, df)).collect()}
+    assert sum(got[i] == boxed(i)[1] for i in range(30)) >= 29
+    # with nothing fitted the words do not go either
+    assert html_main.extract(df.where("page_id = 3"), None).first()["text"] == boxed(3)[1]
+
+
+def test_main_text_of_a_table_of_copies(spark):
+    rows = [r["html"] for r in pages(spark, SF_SMALL).select("html").distinct().limit(20).collect()]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, html string").selectExpr("page_id", "'u' url", "html")
+    many = df.crossJoin(spark.range(3000).select()).repartition(8)
+    trees = html_main.fit(spark, many)
+    got = {r["page_id"]: r["text"] for r in html_main.extract(df, trees).collect()}
+    assert trees is not None and sum(got[i] == article(h) for i, h in enumerate(rows)) >= 19
+
+
+def test_main_text_of_long_pages(spark):
+    html = [boxed(i)[0].replace('<div class="post-content">', "<main>" + f"<p>{'Many words, many of them. ' * 3000}</p>").replace(
+        '</div><div class="footer">', '</main><div class="footer">') for i in range(4)]
+    df = spark.createDataFrame([(i, None, h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    trees = html_main.fit(spark, df)
+    got = html_main.extract(df, trees).orderBy("page_id").collect()
+    assert trees is not None and all(r["text"].endswith(boxed(i)[1]) for i, r in enumerate(got))
