@@ -11,9 +11,9 @@ Because the statistics are frozen, the code length of a byte after a context
 is a number: each worker unfolds the counts into a table (context, byte) ->
 bits per language and adds up look-ups.
 
-Fitting uses a bounded sample: about ``FIT_DOCS`` distinct texts a language,
-each of ``FIT_CHARS`` characters at most, drawn by hash from the whole table
-among rows with a language that are not held out. Scoring reads whole texts.
+Fitting uses a bounded sample: about ``FIT_DOCS`` distinct texts a language
+(all where there are fewer), long ones cut to ``FIT_CHARS`` characters, drawn
+by hash from the whole table among rows with a language that are not held out. Scoring reads whole texts.
 
 Defined results: a null text or one without letters is ``und`` with score 0,
 as is every text where nothing could be learned; a null doc_id is not held
@@ -49,10 +49,11 @@ def held_out() -> Column:
 
 def sample(spark: SparkSession, docs: DataFrame, per_lang: int = FIT_DOCS) -> DataFrame:
     """lang and text of a bounded, hash-drawn set of labelled texts."""
-    usable = docs.where(F.col("doc_id").isNotNull() & ~held_out() & F.col("lang").isNotNull()
-                        & F.col("text").isNotNull() & (F.length("text").between(1, FIT_CHARS)))
-    counts = written(spark, usable.groupBy(F.col("lang").alias("_l")).agg(F.count("*").alias("_n")), "lang-counts")
-    # equal texts have equal draws, so counts of rows only lower the rate
+    usable = (docs.where(F.col("doc_id").isNotNull() & ~held_out() & F.col("lang").isNotNull())
+              .select("lang", F.substring("text", 1, FIT_CHARS).alias("text")).where(F.length("text") > 0))
+    # distinct texts are counted: copies do not lower the rate
+    hashes = usable.select(F.col("lang").alias("_l"), F.xxhash64("text").alias("_h")).distinct()
+    counts = written(spark, hashes.groupBy("_l").agg(F.count("*").alias("_n")), "lang-counts")
     drawn = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000
     return (usable.select("lang", "text", drawn.alias("_u"))
             .join(counts, F.col("lang") == F.col("_l"))

@@ -350,3 +350,14 @@ def test_components_of_random_graphs(spark):
         want = {x: find(x) for x in root if find(x) != x}
         got = components(spark, spark.createDataFrame(edges, "a long, b long"))
         assert dict(map(tuple, got.collect())) == want
+
+
+def test_languages_of_copies_and_of_long_texts_are_learned(spark):
+    rows = [(i, prose(500, 30), "aa", "x") for i in range(4000)] + [(4000 + i, prose(600 + i, 30), "aa", "x") for i in range(60)]
+    rows += [(5000 + i, prose(700 + i, 4000).upper(), "bb", "x") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = Counter(r["lang"] for r in langid.sample(spark, df, 20).collect())
+    assert 8 <= got["aa"] <= 40 and got["bb"] == sum(zlib.crc32(str(5000 + i).encode()) % 4 != 2 for i in range(12))
+    assert all(len(r["text"]) <= langid.FIT_CHARS for r in langid.sample(spark, df, 20).collect())
+    said = {r["doc_id"]: r["lang_pred"] for r in langid.identify(spark, df, langid.fit(spark, df, 20)).collect()}
+    assert all(said[i] == lang for i, _, lang, _ in rows)
