@@ -17,6 +17,15 @@ every document and different values by different ones:
 * dates are permuted within their span of ``SPAN`` days, whose two factors are
   the sizes of the network's halves, so no result has to be drawn again.
 
+Card numbers and IBANs are looked for first: from every place where one may
+start, each part that ends at a token border is tested, and the longest that
+passes (for IBANs one of the country's length first) becomes a literal of the
+search, so digits or capitals that follow a number stay outside it and are
+searched themselves. Telephone numbers end at their country's digit count
+where that is fixed; elsewhere the digits after the first ``HEAD`` depend only
+on those before them, so a phone's pseudonym does not change with a number
+that follows it.
+
 A half becomes itself plus a hash of key, kind, round and the other half,
 symbol by symbol, which is a permutation for any length. Values that fail
 their test stay as they are.
@@ -44,6 +53,17 @@ HALVES = (184, 397)
 SPAN = HALVES[0] * HALVES[1]
 EPOCH, YEARS = "1700-01-01", (1700, 2298)
 
+#: National digits by country code, where their count is fixed.
+NATIONAL = {10: "1|7|30|44|52|90|91", 9: "27|31|33|34|41|48|61|351|420|421", 8: "45|47|65"}
+FIXED_PHONE = "|".join(rf"(?<![0-9])\+(?:{c})(?:[ .-]?[0-9]){{{n}}}(?![0-9])" for n, c in NATIONAL.items())
+#: Digits of other international numbers that are permuted as one.
+HEAD = 8
+#: Characters of an IBAN, by country.
+IBAN_LENGTH = {15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+               22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+               25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+               29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
@@ -52,12 +72,23 @@ PATTERNS = {
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "phone": (r"(?<![0-9.])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+              r"|" + FIXED_PHONE +
               r"|(?<![0-9])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])"
               r"|(?<![0-9.-])(?:[0-9]-)?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9]|-[0-9])"
               r"|(?<![0-9.+-])[0-9]{1,3} \([0-9]{2,4}\) [0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"),
     "card": r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[.-][0-9])",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Where a tested value may start and what may stand around it; the rest of the
+#: pattern is then one of the values that passed.
+TESTED = {"iban": (r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"), "card": (r"(?<![0-9A-Za-z.-])", r"(?![0-9A-Za-z]|\.[0-9])")}
+#: Longest candidates at each place, overlapping.
+CANDIDATES = {
+    "iban": r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9]))",
+    "card": r"(?<![0-9A-Za-z.-])(?=([0-9](?:[ -]?[0-9]){12,18})(?![0-9A-Za-z]|\.[0-9]))",
+}
+#: A part of a candidate that can be a value by its form. A card number goes on
+#: over a hyphen unless its own groups are joined by hyphens.
+FORMS = {"iban": r"^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?$", "card": "^[0-9](?:[ -]?[0-9]){12,18}$"}
 #: Every pattern needs one of these; texts without any are not searched.
 SIGN = "[0-9@]|AKIA"
 
@@ -138,6 +169,10 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(digits, worth), F.lit(0), lambda a, x: a + x)
 
 
+def _luhn(value: Column) -> Column:
+    return luhn_sum(_digits(value)) % 10 == 0
+
+
 def _card(value: Column, key: str) -> Column:
     def new(d: Column) -> Column:
         n = F.size(d)
@@ -153,10 +188,22 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(_chars(text), F.lit(0), lambda a, c: F.when(at(c) > 9, a * 100 + at(c)).otherwise(a * 10 + at(c)) % 97)
 
 
-def _iban(value: Column, key: str) -> Column:
+def _iban_fine(value: Column) -> Column:
     plain = F.replace(value, F.lit(" "), F.lit(""))
+    return _mod97(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1
+
+
+def _iban_whole(value: Column) -> Column:
+    """Has it the length of its country?"""
+    n, land = F.length(F.replace(value, F.lit(" "), F.lit(""))), F.substring(value, 1, 2)
+    out = F.lit(False)
+    for length, lands in IBAN_LENGTH.items():
+        out = out | ((n == length) & land.isin(lands.split()))
+    return out
+
+
+def _iban(value: Column, key: str) -> Column:
     rest = lambda v: F.substring(v, F.lit(5), F.length(v))
-    fine = lambda v: _mod97(F.concat(rest(v), F.substring(v, 1, 4))) == 1
 
     def new(p: Column) -> Column:  # the permuted value, still with its old check digits
         flat = F.replace(p, F.lit(" "), F.lit(""))
@@ -164,7 +211,7 @@ def _iban(value: Column, key: str) -> Column:
         return F.concat(F.substring(p, 1, 2), F.lpad(check.cast("string"), 2, "0"), rest(p))
 
     moved = F.concat(F.substring(value, 1, 4), permute_shape(rest(value), "iban", key))
-    return F.when(fine(plain), let(moved, new)).otherwise(value)
+    return F.when(_iban_fine(value), let(moved, new)).otherwise(value)
 
 
 def _ip(value: Column, key: str) -> Column:
@@ -215,8 +262,17 @@ def _date(value: Column, key: str) -> Column:
 
 def _phone(value: Column, key: str) -> Column:
     kept = F.when(F.startswith(value, F.lit("+")), 2).otherwise(0)
-    return F.concat(F.substring(value, F.lit(1), kept),
-                    permute_shape(F.substring(value, kept + 1, F.length(value)), "phone", key))
+    whole = F.concat(F.substring(value, F.lit(1), kept),
+                     permute_shape(F.substring(value, kept + 1, F.length(value)), "phone", key))
+    open_end = F.regexp_like(value, F.lit(r"^\+[0-9 .-]*$")) & ~F.regexp_like(value, F.lit(f"^(?:{FIXED_PHONE})$"))
+
+    def new(d: Column) -> Column:  # the first digit is kept
+        head = F.slice(d, F.lit(2), F.lit(HEAD))
+        tail = F.transform(F.slice(d, F.lit(HEAD + 2), F.size(d)), lambda x, j: F.pmod(
+            x + _byte(_mixed("phone-tail", key, j, F.slice(d, F.lit(1), j + HEAD + 1)), F.lit(0)), F.lit(10)))
+        return F.concat(F.slice(d, 1, 1), feistel(head, 10, "phone", key), tail)
+
+    return F.when(open_end, let(_digits(value), lambda d: _with_digits(value, new(d)))).otherwise(whole)
 
 
 def _email(value: Column, key: str) -> Column:
@@ -245,16 +301,56 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
     return out.otherwise(value)
 
 
+def _values(text: Column, kind: str) -> Column:
+    """The distinct values of a tested kind in ``text``, the best at each
+    place where one may start."""
+    fine = {"iban": _iban_fine, "card": _luhn}[kind]
+
+    def best(c: Column) -> Column:
+        ends = F.filter(F.sequence(F.length(c), F.lit(1), F.lit(-1)),
+                        lambda i: F.substring(c, i + 1, F.lit(1)).isin("", " ", "-"))
+        parts = F.filter(F.transform(ends, lambda i: F.struct(
+            F.substring(c, F.lit(1), i).alias("v"), F.substring(c, i + 1, F.lit(1)).alias("next"))),
+            lambda p: F.regexp_like(p["v"], F.lit(FORMS[kind])) & ((p["next"] != "-") | F.contains(p["v"], F.lit("-"))))
+        good = F.filter(F.transform(parts, lambda p: p["v"]), fine)
+        if kind == "iban":
+            good = let(good, lambda g: F.concat(F.filter(g, _iban_whole), g))
+        return F.get(good, F.lit(0))
+
+    tried = F.array_distinct(F.regexp_extract_all(text, F.lit(CANDIDATES[kind]), F.lit(1)))
+    return F.array_distinct(F.filter(F.transform(tried, best), lambda v: v.isNotNull()))
+
+
+def _any(values: dict[str, Column]) -> Column:
+    """The pattern of all that is to be replaced, where ``values`` holds what
+    passed its test."""
+    parts = []
+    for kind, p in PATTERNS.items():
+        if kind in values:
+            longest_first = F.transform(F.sort_array(F.transform(values[kind], lambda v: F.struct(
+                F.length(v).alias("n"), v.alias("v"))), asc=False), lambda x: x["v"])
+            before, after = TESTED[kind]
+            parts.append(F.when(F.size(values[kind]) > 0, F.concat(
+                F.lit(f"(?:{before}(?:"), F.array_join(longest_first, "|"), F.lit(f"){after})"))))
+        else:
+            parts.append(F.lit(f"(?:{p})"))
+    return F.concat_ws("|", *parts)  # without the missing ones
+
+
 def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY, count_col: str | None = None) -> DataFrame:
     """``docs`` with pseudonyms in ``text_col``, and the number of values
     replaced in ``count_col`` if asked for."""
     text = F.col("text")
     maybe = F.coalesce(F.regexp_like(text, F.lit(SIGN)), F.lit(False))
+    none = F.array().cast("array<string>")
     found = (docs.select(packed(docs), F.col(f"`{text_col}`").cast("string").alias("text"))
-             .withColumn("found", F.when(maybe, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))))
+             .withColumn("values", F.when(maybe, F.struct(*[
+                 F.when(F.regexp_like(text, F.lit(CANDIDATES[k])), _values(text, k)).otherwise(none).alias(k) for k in TESTED])))
+             .withColumn("any", F.when(maybe, _any({k: F.col("values")[k] for k in TESTED})))
+             .withColumn("found", F.when(maybe, F.regexp_extract_all(text, F.col("any"), F.lit(0)))))
     made = found.withColumn("new", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(m, key))))
     # the texts between the finds are one more than the finds
-    between = F.split(text, ANY, -1)
+    between = F.split(text, F.col("any"), -1)
     joined = F.array_join(F.flatten(F.zip_with(
         between, F.concat("new", F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")
     out = unpacked(docs, **{text_col: F.when(F.col("new").isNotNull(), joined).otherwise(text)})

@@ -361,3 +361,25 @@ def test_languages_of_copies_and_of_long_texts_are_learned(spark):
     assert all(len(r["text"]) <= langid.FIT_CHARS for r in langid.sample(spark, df, 20).collect())
     said = {r["doc_id"]: r["lang_pred"] for r in langid.identify(spark, df, langid.fit(spark, df, 20)).collect()}
     assert all(said[i] == lang for i, _, lang, _ in rows)
+
+
+def test_pseudonyms_of_values_that_others_follow(spark):
+    card, iban, phone = "4111 1111 1111 1111", "BE68 5390 0754 7034", "+49 30 1234 5678"
+    texts = [card, f"{card} 12/27", f"{card} 123", f"12 {card} 7", f"3782 822463 10005 {card}", "4111-1111-1111-1111-123",
+             f"{card} 12/03/2020", iban, f"{iban} IN CASE", f"{iban} CASH IN HAND", f"{iban} {card} 99",
+             phone, f"{phone} 12", f"{phone} 1234 5", "+1 523 555 1055", "+1 523 555 1055 12", "+33 1 23 45 67 89 10",
+             "1234 5678 9012 3456", "4111111111111111@example.com", "no [a-z] (x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    out = {r["doc_id"]: r for r in pii.pseudonymise(df, count_col="n").collect()}
+    new = [out[i]["text"] for i in range(len(texts))]
+    c, b, p, us = new[0], new[7], new[11], new[14]
+    assert c != card and b != iban and p != phone and us != texts[14]
+    assert new[1] == c + " 12/27" and new[2] == c + " 123" and new[3] == f"12 {c} 7"
+    assert new[4].endswith(" " + c) and not new[4].startswith("3782 822463 10005") and out[4]["n"] == 2
+    assert new[5] == c.replace(" ", "-") + "-123"
+    assert new[6].startswith(c + " ") and "12/03/2020" not in new[6] and out[6]["n"] == 2
+    assert new[8] == b + " IN CASE" and new[9] == b + " CASH IN HAND" and new[10] == f"{b} {c} 99"
+    assert new[12].startswith(p + " ") and new[13].startswith(p + " ")
+    assert new[15] == us + " 12" and new[16].endswith(" 10") and "23 45 67 89" not in new[16]
+    assert new[17] == texts[17] and new[18].count("@") == 1 and not new[18].startswith("4111111111111111") and out[18]["n"] == 1
+    assert new[19] == texts[19]
