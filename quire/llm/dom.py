@@ -7,11 +7,14 @@ import re
 from html.parser import HTMLParser
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr img br".split())
+                   "small span strike strong sub sup time tt u var wbr img br math mi mn mo ms mtext mrow mfrac msup msub "
+                   "msubsup msqrt mroot mover munder munderover mstyle mspace mpadded mtable mtr mtd semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is never text of the page.
-HIDDEN = frozenset("script style noscript template head title svg math iframe object canvas audio video select option "
-                   "textarea button datalist".split())
+HIDDEN = frozenset("script style noscript template head title svg iframe object canvas audio video select option "
+                   "textarea button datalist annotation annotation-xml".split())
+#: Hidden elements that a slash in the start tag does not end.
+NEVER_EMPTY = frozenset("script style noscript template title textarea select".split())
 #: A start tag that ends an open paragraph, or an open element of its own kind.
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p "
                    "pre section table ul".split())
@@ -68,7 +71,7 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes = [Node("#page", -1)]
         self.open: list[tuple[str, int]] = [("#page", 0)]  # every open tag, and the block it belongs to
-        self.hidden: list[str] = []
+        self.hidden: list[str] = []  # an open hidden element and what is open in it
         self.anchors = 0
         self.run = -1  # leaf that takes the next text
         self.feed(html)
@@ -77,7 +80,7 @@ class Page(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if self.hidden:
-            if tag in HIDDEN and tag not in VOID:
+            if tag not in VOID:
                 self.hidden.append(tag)
             return
         if tag in HIDDEN:
@@ -122,6 +125,8 @@ class Page(HTMLParser):
         self.open.append((tag, len(self.nodes) - 1))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
+        if self.hidden or (tag in HIDDEN and tag not in NEVER_EMPTY):
+            return
         self.handle_starttag(tag, attrs)
 
     def _close(self, tag: str, stop=frozenset()) -> None:
@@ -139,8 +144,11 @@ class Page(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if self.hidden:
             if tag in self.hidden:
-                del self.hidden[self.hidden.index(tag):]
-            return
+                del self.hidden[len(self.hidden) - 1 - self.hidden[::-1].index(tag):]
+                return
+            if tag in INLINE or all(t != tag for t, _ in self.open):
+                return
+            self.hidden.clear()  # the end of a block around it ends a hidden element too
         if tag in INLINE:
             for i in range(len(self.open) - 1, 0, -1):
                 t = self.open[i][0]

@@ -145,6 +145,16 @@ def test_blocks_of_a_page():
         Page(html).features()
 
 
+def test_hidden_elements_end():
+    for html, want in (
+            ("<div><p>a<svg/>b</p><p>c</p></div>", ["ab", "c"]), ("<p>a</p><iframe src=x /><p>b</p><canvas/>c", ["a", "b", "c"]),
+            ("<div><div><button>no</div><p>b</p></div>", ["b"]), ("<div><p>a</p><video><p>no</p></div><p>b</p>", ["a", "b"]),
+            ("<div><noscript><div>no</div>no</noscript><p>b</p></div>", ["b"]),
+            ("<article><p>let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p></article>", ["let x=1 be"]),
+            ("<div><svg><svg><path/></svg>no</svg><p>b</p></div>", ["b"]), ("<p>a</p><script>no</p></script><p>b", ["a", "b"])):
+        assert [n.parts[0] for n in Page(html).nodes if n.parts] == want, html
+
+
 def test_decoding_has_no_contradictions():
     page = Page("<div><div><p>a<p>b</div><div><p>c</div></div><p>d")
     rng = np.random.default_rng(5)
