@@ -10,6 +10,7 @@ from quire.llm.mixing import OP6_SQL, op6_mix
 from quire.llm.packing import op9_pack
 from quire.llm.pii import op2_pii
 from quire.llm.quality import OP5_SQL, op5_quality
+from quire.llm.simhash import op11_simhash
 from quire.llm.token_files import op7_token_orc
 from quire.llm.urls import OP3_SQL, op3_urls
 
@@ -26,4 +27,5 @@ def load() -> dict:
         "op8_jaccard": (op8_jaccard, OP8_SQL),
         "op9_pack": (op9_pack, None),
         "op10_main_text": (op10_main_text, None),
+        "op11_simhash": (op11_simhash, None),
     }

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from uuid import uuid4
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +52,13 @@ def packed(docs: DataFrame, name: str = "row") -> Column:
 def unpacked(docs: DataFrame, name: str = "row", **new: Column) -> list[Column]:
     """The columns of ``docs`` from the struct, some replaced."""
     return [(new[c] if c in new else F.col(name).getField(c)).alias(c) for c in docs.columns]
+
+
+def portions(texts: pa.Array, held: int = 8_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges (start, length) of a binary or string array that hold about
+    ``held`` bytes each, so that a batch of long texts is taken bit by bit."""
+    if len(texts):
+        size = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
+        slot = np.cumsum(size) // held
+        starts = np.flatnonzero(np.diff(slot, prepend=slot[0] - 1))
+        yield from zip(starts.tolist(), np.diff(starts, append=len(slot)).tolist())

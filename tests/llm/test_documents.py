@@ -383,3 +383,51 @@ def test_pseudonyms_of_values_that_others_follow(spark):
     assert new[15] == us + " 12" and new[16].endswith(" 10") and "23 45 67 89" not in new[16]
     assert new[17] == texts[17] and new[18].count("@") == 1 and not new[18].startswith("4111111111111111") and out[18]["n"] == 1
     assert new[19] == texts[19]
+
+
+def _simhash(text, n=3):
+    import xxhash
+    lowered = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    words = WORDS.findall(lowered)
+    parts = [" ".join(words[i:i + n]) for i in range(max(1, len(words) - n + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def _least_reachable(ids, near):
+    """Smallest id reached from each position over ``near(i, j)``."""
+    best, todo = list(range(len(ids))), True
+    while todo:
+        todo = False
+        for i, j in itertools.combinations(range(len(ids)), 2):
+            if best[i] != best[j] and near(i, j):
+                best = [min(best[i], best[j]) if b in (best[i], best[j]) else b for b in best]
+                todo = True
+    return [min(ids[j] for j in range(len(ids)) if best[j] == best[i]) for i in range(len(ids))]
+
+
+def test_simhash(spark, odd, none):
+    from quire.llm import simhash
+    rows = [(r[0], _simhash(r[1])) for r in odd_rows()]
+    got = Counter((r["doc_id"], r["fp"] % (1 << 64), r["component_id"]) for r in simhash.link(spark, odd).collect())
+    with_id = [r for r in rows if r[0] is not None]
+    least = _least_reachable([r[0] for r in with_id], lambda i, j: (with_id[i][1] ^ with_id[j][1]).bit_count() <= 3)
+    want = Counter((d, f, c) for (d, f), c in zip(with_id, least)) + Counter((d, f, None) for d, f in rows if d is None)
+    assert got == want
+    assert simhash.link(spark, none).count() == 0
+
+
+@pytest.mark.parametrize("share", [4, 50, 4096])
+def test_simhash_blocks_find_every_link(spark, share):
+    """Dense clouds of fingerprints, chains and far ones; hot keys in shares."""
+    from quire.llm import simhash
+    rng = np.random.default_rng(share)
+    centre = rng.integers(0, 1 << 63, 4, dtype=np.uint64)
+    fps = {int(c) ^ sum(1 << int(b) for b in rng.choice(64, k, replace=False)) for c in centre for k in (0, 1, 2, 3, 5) for _ in range(20)}
+    fps |= {(1 << i) - 1 for i in range(0, 64, 3)} | {int(x) for x in rng.integers(0, 1 << 63, 40)}
+    fps = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
+    edges = [tuple(r) for r in simhash.near(spark.createDataFrame([(f,) for f in fps], "fp long"), share=share).collect()]
+    close = lambda a, b: ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 3
+    linked = {frozenset(e) for e in edges}
+    assert _least_reachable(fps, lambda i, j: frozenset((fps[i], fps[j])) in linked) == \
+        _least_reachable(fps, lambda i, j: close(fps[i], fps[j]))
