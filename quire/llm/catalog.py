@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quire.llm.alignment import op12_alignment
 from quire.llm.ann import op1_nearest
 from quire.llm.html_main import op10_main_text
 from quire.llm.jaccard import OP8_SQL, op8_jaccard
@@ -28,4 +29,5 @@ def load() -> dict:
         "op9_pack": (op9_pack, None),
         "op10_main_text": (op10_main_text, None),
         "op11_simhash": (op11_simhash, None),
+        "op12_alignment": (op12_alignment, None),
     }
