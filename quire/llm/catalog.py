@@ -7,6 +7,7 @@ from quire.llm.ann import op1_nearest
 from quire.llm.html_main import op10_main_text
 from quire.llm.jaccard import OP8_SQL, op8_jaccard
 from quire.llm.langid import op4_langid
+from quire.llm.lexical import OP13_SQL, op13_lexical
 from quire.llm.mixing import OP6_SQL, op6_mix
 from quire.llm.packing import op9_pack
 from quire.llm.pii import op2_pii
@@ -30,4 +31,5 @@ def load() -> dict:
         "op10_main_text": (op10_main_text, None),
         "op11_simhash": (op11_simhash, None),
         "op12_alignment": (op12_alignment, None),
+        "op13_lexical": (op13_lexical, OP13_SQL),
     }
