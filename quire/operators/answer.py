@@ -7,13 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.filters import compile_filter
 from quire.operators import retrieve as RT
 from quire.operators.infer import batch_infer, native_extractive
 from quire.operators.routing import answer_or_fallback
 
 
-def answer_questions(chunks: DataFrame, questions: DataFrame, k: int = 3, now: str = "",
+def answer_questions(chunks: DataFrame | None, questions: DataFrame, k: int = 3, now: str = "",
                      search_type: str = "HYBRID", model: Callable | None = None,
                      template: str = RT.ANSWER_PROMPT, idx: RT.LexicalIndex | None = None,
                      flt: dict | None = None) -> DataFrame:
@@ -22,12 +21,11 @@ def answer_questions(chunks: DataFrame, questions: DataFrame, k: int = 3, now: s
 
     ``model=None`` uses the extractive stub as a native expression; any
     other model runs through ``batch_infer`` (Arrow batches). ``flt`` is a
-    metadata filter on columns of ``chunks``, applied before ranking; it needs
-    an index of the chunks that pass, so ``idx`` is not used with it.
+    metadata filter, applied to what is ranked, on columns that the index
+    holds; term statistics stay those of the whole index. ``chunks`` is only
+    needed where no index (``idx``, in memory or stored) is given.
     """
-    if flt is not None:
-        chunks, idx = chunks.where(compile_filter(flt)), None
-    idx = idx or RT.build_index(chunks.select("doc_id", "chunk_no", "text"))
+    idx = (idx or RT.build_index(chunks)).where(flt)
     ranked = RT.hybrid_topk(idx, questions, k, search_type=search_type)
     ranked = ranked.join(idx.chunks.select("doc_id", "chunk_no", "text"), ["doc_id", "chunk_no"])
     per_q = ranked.groupBy("qid").agg(

@@ -42,7 +42,7 @@ def _topk(df: DataFrame, key: str, score: Column, k: int, tie: str, desc: bool =
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 
-# --------------------------------------------------------------------- index
+# -- index
 # Largest side (bytes, as stored once computed) this module broadcasts;
 # beyond it the join shuffles, with AQE's skew handling.
 BROADCAST_MAX_BYTES = 32 << 20
@@ -112,6 +112,19 @@ class LexicalIndex:
                              .agg(F.max(F.col("tf") * F.col("idf") / F.col("tfidf_norm")).alias("max_w"))).persist()
         return self._sem_max
 
+    def for_terms(self, q: DataFrame) -> "LexicalIndex":
+        """What a batch of questions with the terms of ``q`` needs of the index."""
+        return self
+
+    def where(self, flt: dict | None) -> "LexicalIndex":
+        """The index with a metadata filter on what is ranked; term statistics
+        stay those of the whole. Its chunks must hold the filter's columns."""
+        if flt is None:
+            return self
+        chunks = self.chunks.where(compile_filter(flt))
+        rows = self.postings.join(chunks.select("doc_id", "chunk_no"), ["doc_id", "chunk_no"], "left_semi")
+        return LexicalIndex(chunks, rows, self.n_chunks, self.avgdl, self.term_stats(), self.norms())
+
     def unpersist(self) -> None:
         for d in (self.postings, self.chunks, self._idf, self._norms, self._sem_max):
             if d is not None:
@@ -127,7 +140,8 @@ def build_index(chunks: DataFrame, text: str = "text", partitions: int | None =
     from the cached chunk table.
     """
     from pyspark import StorageLevel
-    c = (cluster_by(chunks.select("doc_id", "chunk_no", F.col(text).alias("text")), "doc_id", partitions)
+    meta = [m for m in chunks.columns if m not in ("doc_id", "chunk_no", "text", text)]
+    c = (cluster_by(chunks.select("doc_id", "chunk_no", F.col(text).alias("text"), *meta), "doc_id", partitions)
          .withColumn("_w", tx.word_tokens("text")).withColumn("dl", F.size("_w")))
     c = c.persist(StorageLevel.MEMORY_AND_DISK)
     postings = (c.select("doc_id", "chunk_no", "dl", F.explode("_w").alias("term"))
@@ -161,6 +175,7 @@ def bm25_scores(idx: LexicalIndex, questions: DataFrame, qid: str = "qid",
     Only the query terms' idf rows are computed; query terms with their idf
     are broadcast (size-checked) into the postings scan."""
     qt = _query_terms(questions, qid, question)
+    idx = idx.for_terms(qt)
     idf = idx.term_stats().select("term", "idf_bm25").join(qt.select("term").distinct(), "term", "left_semi")
     q = _bcast_if_small(qt.join(idf, "term"))
     hits = idx.postings.join(q, "term")
@@ -198,6 +213,7 @@ def bm25_topk(idx: LexicalIndex, questions: DataFrame, k: int, prune: bool = Fal
         return _bm25_topk_full(idx, questions, k, qid=qid, question=question, k1=k1, b=b)
     qs = questions.select(F.col(qid).alias("qid"), F.col(question).alias("question"))
     qt = _query_terms(qs, "qid", "question")
+    idx = idx.for_terms(qt)
     ts = idx.term_stats().select("term", "df", "idf_bm25", "max_tfn") \
         .join(qt.select("term").distinct(), "term", "left_semi")
     q = qt.join(ts, "term").withColumn(
@@ -233,6 +249,7 @@ def semantic_scores(idx: LexicalIndex, questions: DataFrame, qid: str = "qid",
     distance of the unit vectors, ``sqrt(2 - 2 cos)``. Chunks sharing no
     term with the question have similarity 0 and are not returned."""
     qt = _query_terms(questions, qid, question)
+    idx = idx.for_terms(qt)
     idf = idx.term_stats().select("term", "idf").join(qt.select("term").distinct(), "term", "left_semi")
     q = qt.join(idf, "term").withColumn("wq", F.col("qtf") * F.col("idf"))
     qn = q.groupBy("qid").agg(F.sqrt(F.sum(F.col("wq") ** 2)).alias("qnorm")).where(F.col("qnorm") > 0)
@@ -261,6 +278,7 @@ def semantic_topk(idx: LexicalIndex, questions: DataFrame, k: int, prune: bool =
     if not prune:
         return _semantic_topk_full(idx, qs, k)
     qt = _query_terms(qs, "qid", "question")
+    idx = idx.for_terms(qt)
     ts = idx.term_stats().select("term", "df", "idf").join(qt.select("term").distinct(), "term", "left_semi")
     q = qt.join(ts, "term").withColumn("wq", F.col("qtf") * F.col("idf"))
     qn = q.groupBy("qid").agg(F.sqrt(F.sum(F.col("wq") ** 2)).alias("qnorm")).where(F.col("qnorm") > 0)
@@ -311,7 +329,7 @@ def hybrid_topk(idx: LexicalIndex, questions: DataFrame, k: int, depth: int = 10
     return _topk(fused, "qid", F.col("score"), k, "chunk_id")
 
 
-# --------------------------------------------------------------------- dense
+# -- dense
 def l2(a, b) -> Column:
     """Euclidean distance of two numeric arrays, in double."""
     a = F.col(a) if isinstance(a, str) else a
@@ -420,7 +438,7 @@ def knn_sharded(idx: CellIndex, queries: DataFrame, k: int, shards: int = 2, **k
     return _topk(reduce(DataFrame.unionByName, local), "qid", F.col("distance"), k, "id", desc=False)
 
 
-# --------------------------------------------------------------- answering
+# -- answering
 # Own wording of the answer prompt; placeholders are filled in one pass.
 ANSWER_PROMPT = ("You answer questions using only the search results below. If they do not contain "
                  "the answer, say that no exact answer was found. Answer in one or two sentences.\n"

@@ -106,7 +106,7 @@ def order_pages(spark: SparkSession, sf: str) -> DataFrame:
     # row number inside the order by all columns, as a bucketed running count
     # (an order holding a large share of all lines is still spread)
     li = li.withColumn("_one", F.lit(1))
-    li = running_count(li, "l_orderkey", allcols, F.floor(F.col("l_linenumber") / 64).cast("bigint"), "_one", "rn")
+    li = running_count(li, "l_orderkey", allcols, F.floor(F.col("l_linenumber") / 2).cast("bigint"), "_one", "rn")
     rows = li.select(F.col("l_orderkey").alias("doc_id"), "rn", _order_line().alias("line"))
     rows = rows.withColumn("page_no", ((F.col("rn") - 1) / 3).cast("int") + 1)
     pages = rows.groupBy("doc_id", "page_no").agg(
@@ -135,7 +135,7 @@ def kb_meta(spark: SparkSession, sf: str) -> DataFrame:
     return d.select(
         "doc_id",
         F.when(F.col("doc_id") % 2 == 0, F.lit("external")).otherwise(F.lit("internal")).alias("exposure"),
-        F.substring("text", 1, 20).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         (F.lit(1704067200) + F.lit(86400) * (F.col("doc_id") % 365)).cast("bigint").alias("created_date_epoch"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quire.operators import evaluate as EV
 from quire.operators.answer import answer_questions
 from quire.plans import fixtures as FX
-from quire.plans import q_retrieve  # noqa: F401  (defines the answers CTE)
+from quire.plans import q_retrieve
 from quire.plans.catalog import register
 from quire.plans.sql_fixtures import cte, sentences, with_ctes, word_tokens
 from quire.sources.tables import table
@@ -19,7 +19,7 @@ CONFIG = {"kb_search_type": "HYBRID", "kb_num_results": K_EVAL, "kb_filter": Non
 
 
 def _answers(spark, sf):
-    return answer_questions(FX.kb_chunks(spark, sf), FX.golden(spark, sf), k=K_EVAL, now=NOW)
+    return answer_questions(None, FX.golden(spark, sf), k=K_EVAL, now=NOW, idx=q_retrieve._index(spark, sf))
 
 
 def _scores(spark, sf):

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
+from quire.operators import kbindex as KB
 from quire.operators import retrieve as RT
 from quire.operators.answer import answer_questions as answer_op
 from quire.plans import fixtures as FX
+from quire.plans import q_sessions  # noqa: F401  (defines the snapshot CTEs)
 from quire.plans.catalog import register
-from quire.plans.sql_fixtures import cte, first_sentence, last_line, with_ctes
+from quire.operators.chunk import chunk_fixed
+from quire.operators.sync import sync_plan
+from quire.plans.sql_fixtures import chunks_sql, cte, first_sentence, last_line, lexical_family, topk_sql, with_ctes
+from quire.session import scratch_path
 from quire.sources.tables import table
 
 K_EVAL = 3
@@ -17,8 +24,27 @@ NOW = "2024-01-31 00:00:00"
 VEC_FILTER = {"lessThan": {"key": "label", "value": 5}}
 
 
+#: Filter columns that the stored index holds, and the filter of the filtered queries.
+META = ("exposure", "created_date_epoch")
+ADMITTED = {"andAll": [{"equals": {"key": "exposure", "value": "external"}},
+                       {"greaterThan": {"key": "created_date_epoch", "value": 1704067200 + 86400 * 60}}]}
+_built: dict[tuple[str, str], str] = {}
+
+
+def build_kb(spark, sf):
+    """Write the stored index of all chunks, with the filter columns."""
+    meta = FX.kb_meta(spark, sf).select("doc_id", *META)
+    chunks = FX.kb_chunks(spark, sf).select("doc_id", "chunk_no", "text").join(meta, "doc_id")
+    return KB.write_index(chunks, scratch_path(spark, f"kb-index-{uuid4().hex}"), META)
+
+
 def _index(spark, sf):
-    return RT.build_index(FX.kb_chunks(spark, sf).select("doc_id", "chunk_no", "text"))
+    """The stored index, written by the first query of an application that
+    needs it and read by the others, as a knowledge base is."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _built:
+        _built[key] = build_kb(spark, sf).path
+    return KB.open_index(spark, _built[key])
 
 
 @register("bm25_topk", with_ctes(
@@ -28,6 +54,38 @@ def bm25_topk(spark, sf):
     return r.select("qid", "rank", "chunk_id", F.round("score", 6).alias("score"))
 
 
+@register("bm25_topk_blocks", with_ctes(
+    "SELECT qid, rank, chunk_id, round(score, 6) AS score FROM bm25_top3", "bm25_top3"))
+def bm25_topk_blocks(spark, sf):
+    r = KB.bm25_topk_blocks(_index(spark, sf), FX.golden(spark, sf), K_EVAL)
+    return r.select("qid", "rank", "chunk_id", F.round("score", 6).alias("score"))
+
+
+@register("bm25_topk_filtered", with_ctes(
+    "SELECT qid, rank, chunk_id, round(score, 6) AS score FROM bm25_admitted3", "bm25_admitted3"))
+def bm25_topk_filtered(spark, sf):
+    r = RT.bm25_topk(_index(spark, sf).where(ADMITTED), FX.golden(spark, sf), K_EVAL)
+    return r.select("qid", "rank", "chunk_id", F.round("score", 6).alias("score"))
+
+
+cte("sync_chunks", ("snapshot_new", "object_keys"), f"""
+  SELECT sha256(CAST(doc_id AS VARCHAR) || ':' || CAST(chunk_no AS VARCHAR)) AS chunk_id, doc_id, chunk_no, text
+  FROM ({chunks_sql(512, 20, "snapshot_new")}) c""")
+lexical_family("_sync", "sync_chunks")
+cte("bm25_sync3", ("lx_bm25_sync",), topk_sql("lx_bm25_sync", 3))
+
+
+@register("bm25_topk_synced", with_ctes(
+    "SELECT qid, rank, chunk_id, round(score, 6) AS score FROM bm25_sync3", "bm25_sync3"))
+def bm25_topk_synced(spark, sf):
+    """An index of the old snapshot, brought up to the new one by a sync."""
+    old, new = FX.snapshot_old(spark, sf), FX.snapshot_new(spark, sf)
+    idx = KB.write_index(chunk_fixed(old, 512, 20), scratch_path(spark, f"kb-synced-{uuid4().hex}"))
+    idx = idx.sync(sync_plan(old, new), new, max_tokens=512, overlap_pct=20)
+    r = RT.bm25_topk(idx, FX.golden(spark, sf), K_EVAL)
+    return r.select("qid", "rank", "chunk_id", F.round("score", 6).alias("score"))
+
+
 @register("semantic_topk", with_ctes(
     "SELECT qid, rank, chunk_id, round(score, 6) AS score FROM sem_top3", "sem_top3"))
 def semantic_topk(spark, sf):
@@ -110,8 +168,7 @@ FROM golden g LEFT JOIN (
 
 @register("context_prompt", with_ctes(_CTX_SQL, "golden", "hyb_top3", "kb_chunks"))
 def context_prompt(spark, sf):
-    chunks = FX.kb_chunks(spark, sf)
-    idx = RT.build_index(chunks.select("doc_id", "chunk_no", "text"))
+    idx = _index(spark, sf)
     q = FX.golden(spark, sf)
     ranked = RT.hybrid_topk(idx, q, K_EVAL).join(idx.chunks.select("doc_id", "chunk_no", "text"),
                                                  ["doc_id", "chunk_no"])
@@ -127,18 +184,31 @@ def flatten_citations(spark, sf):
         F.from_json("body", "struct<citations:" + RT.CITATIONS + ">")["citations"]).alias("contexts"))
 
 
-cte("answers", ("golden", "hyb_top3", "kb_chunks"), f"""
+def _answers_sql(ranked: str) -> str:
+    return f"""
   SELECT g.qid, g.question, g.ground_truth,
          coalesce({last_line("CASE WHEN len(r.contexts) > 0 THEN " + first_sentence('r.contexts[1]') + " END")},
                   'No relevant information found in the knowledge base.') AS answer,
          coalesce(r.contexts, []::VARCHAR[]) AS contexts, r.top_doc AS top_doc_id
   FROM golden g LEFT JOIN (
     SELECT h.qid, list(c.text ORDER BY h.rank) AS contexts, min_by(c.doc_id, h.rank) AS top_doc
-    FROM hyb_top3 h JOIN kb_chunks c ON c.chunk_id = h.chunk_id GROUP BY h.qid) r ON r.qid = g.qid""")
+    FROM {ranked} h JOIN kb_chunks c ON c.chunk_id = h.chunk_id GROUP BY h.qid) r ON r.qid = g.qid"""
+
+
+cte("answers", ("golden", "hyb_top3", "kb_chunks"), _answers_sql("hyb_top3"))
+cte("app_answers", ("golden", "hyb_admitted5", "kb_chunks"), _answers_sql("hyb_admitted5"))
 
 
 @register("answer_questions", with_ctes(
     "SELECT qid, question, ground_truth, answer, contexts FROM answers", "answers"))
 def answer_questions(spark, sf):
-    return answer_op(FX.kb_chunks(spark, sf), FX.golden(spark, sf), k=K_EVAL, now=NOW) \
+    return answer_op(None, FX.golden(spark, sf), k=K_EVAL, now=NOW, idx=_index(spark, sf)) \
+        .select("qid", "question", "ground_truth", "answer", "contexts")
+
+
+@register("answer_questions_filtered", with_ctes(
+    "SELECT qid, question, ground_truth, answer, contexts FROM app_answers", "app_answers"))
+def answer_questions_filtered(spark, sf):
+    """The app's form: five results, with the exposure and date filter."""
+    return answer_op(None, FX.golden(spark, sf), k=K_APP, now=NOW, idx=_index(spark, sf), flt=ADMITTED) \
         .select("qid", "question", "ground_truth", "answer", "contexts")

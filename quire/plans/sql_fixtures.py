@@ -6,6 +6,8 @@ their dependencies) so each oracle string runs on the bare driver tables.
 
 from __future__ import annotations
 
+import re
+
 NL = "chr(10)"
 
 # Extension by doc_id % 12 (same list as the Spark fixture).
@@ -126,7 +128,7 @@ cte("sheet_rows", (), """
 
 cte("kb_meta", (), """
   SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'external' ELSE 'internal' END AS exposure,
-         substr(text, 1, 20) AS title,
+         split_part(text, chr(10), 1) AS title,
          CAST(1704067200 + 86400 * (doc_id % 365) AS BIGINT) AS created_date_epoch
   FROM documents""")
 
@@ -268,3 +270,28 @@ cte("sem_top10", ("lx_sem",), topk_sql("(SELECT * FROM lx_sem WHERE score > 0)",
 cte("hyb_top3", ("bm25_top10", "sem_top10"), topk_sql("""(SELECT qid, chunk_id, sum(1.0::DOUBLE / (60.0::DOUBLE + rank)) AS score
    FROM (SELECT qid, chunk_id, rank FROM bm25_top10 UNION ALL SELECT qid, chunk_id, rank FROM sem_top10) u
    GROUP BY qid, chunk_id)""", 3))
+
+
+def lexical_family(suffix: str, chunks: str) -> None:
+    """The lexical index CTEs again, over another chunk table."""
+    names = ("lx_toks", "lx_dl", "lx_post", "lx_stats", "lx_terms", "lx_bm25")
+    for name in names:
+        deps, sql = CTES[name]
+        swap = {n: n + suffix for n in names} | {"kb_chunks": chunks}
+        for old, new in swap.items():
+            sql = re.sub(rf"\b{old}\b", new, sql)
+        cte(name + suffix, tuple(swap.get(d, d) for d in deps), sql)
+
+
+#: Chunks that a metadata filter admits.
+FILTERED = "m.exposure = 'external' AND m.created_date_epoch > 1704067200 + 86400 * 60"
+cte("kb_admitted", ("kb_chunks", "kb_meta"), f"""
+  SELECT c.chunk_id FROM kb_chunks c JOIN kb_meta m ON m.doc_id = c.doc_id WHERE {FILTERED}""")
+for _k, _src in (("bm25", "lx_bm25"), ("sem", "lx_sem")):
+    cte(f"{_k}_admitted", (_src, "kb_admitted"), f"SELECT s.* FROM {_src} s JOIN kb_admitted a ON a.chunk_id = s.chunk_id")
+cte("bm25_admitted3", ("bm25_admitted",), topk_sql("bm25_admitted", 3))
+cte("bm25_admitted10", ("bm25_admitted",), topk_sql("bm25_admitted", 10))
+cte("sem_admitted10", ("sem_admitted",), topk_sql("(SELECT * FROM sem_admitted WHERE score > 0)", 10))
+cte("hyb_admitted5", ("bm25_admitted10", "sem_admitted10"), topk_sql("""(SELECT qid, chunk_id, sum(1.0::DOUBLE / (60.0::DOUBLE + rank)) AS score
+   FROM (SELECT qid, chunk_id, rank FROM bm25_admitted10 UNION ALL SELECT qid, chunk_id, rank FROM sem_admitted10) u
+   GROUP BY qid, chunk_id)""", 5))

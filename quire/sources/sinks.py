@@ -3,11 +3,12 @@ the executors; nothing passes through the driver."""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
+def children(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder of any file system the cluster reads; none if it is absent."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -32,25 +33,60 @@ def write_report_text(reports: DataFrame, path: str, col: str = "report", mode:
     reports.select(F.col(col).alias("value")).write.mode(mode).text(path)
 
 
+def _claimed(spark: SparkSession, path: str) -> bool:
+    """Create a marker file that is not there yet; False if another writer has
+    it. On a local disk by exclusive creation, elsewhere by the file system's
+    creation without overwriting."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(at.getParent())
+    if fs.getUri().getScheme() == "file":
+        try:
+            open(at.toUri().getPath(), "x").close()
+        except FileExistsError:
+            return False
+        return True
+    try:
+        fs.create(at, False).close()
+    except Py4JJavaError as e:
+        if fs.exists(at):
+            return False
+        raise e
+    return True
+
+
+def claim_next(spark: SparkSession, path: str, kind: str, after: int = 0) -> int:
+    """The next number of a ``kind`` of thing in the folder ``path``, beyond
+    ``after`` and all earlier claims. No two writers get the same one: each
+    number has a marker that only one of them can create."""
+    markers = f"{path}/_claims"
+    taken = [int(n.rsplit("-", 1)[1]) for n in children(spark, markers) if n.startswith(f"{kind}-")]
+    number = max([after, *taken]) + 1
+    while not _claimed(spark, f"{markers}/{kind}-{number}"):
+        number += 1
+    return number
+
+
 def next_serial(spark: SparkSession, path: str) -> int:
     """``coalesce(max(serial), 0) + 1`` over the experiments table; 1 if
     there is none. Any other trouble in reading it is raised."""
-    if not _children(spark, path):
+    if not [n for n in children(spark, path) if not n.startswith("_")]:
         return 1
     return int(spark.read.parquet(path).agg(F.max("serial")).first()[0] or 0) + 1
 
 
 def append_experiment(row: DataFrame, path: str) -> int:
-    """Append one experiment record under the next free serial id."""
-    serial = next_serial(row.sparkSession, path)
+    """Append one experiment record under the next free serial id, which
+    no other writer gets."""
+    serial = claim_next(row.sparkSession, path, "serial", next_serial(row.sparkSession, path) - 1)
     row.withColumn("serial", F.lit(serial).cast("bigint")).write.mode("append").parquet(path)
     return serial
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions of a keyed store, in order."""
-    found = [int(n.split("=")[1]) for n in _children(spark, path) if n.startswith("version=")]
-    return sorted(v for v in found if "_SUCCESS" in _children(spark, f"{path}/version={v}"))
+    found = [int(n.split("=")[1]) for n in children(spark, path) if n.startswith("version=")]
+    return sorted(v for v in found if "_SUCCESS" in children(spark, f"{path}/version={v}"))
 
 
 def write_keyed_store(records: DataFrame, path: str) -> None:

@@ -19,7 +19,7 @@ from quire.functions import keys as K
 from quire.operators import media as M
 from quire.operators import pages as PG
 from quire.operators.sessions import DELIVERY_DELAY_S, RETENTION_S, session_gap
-from quire.sources.sinks import _children
+from quire.sources.sinks import children
 
 RETENTION = "4 days"
 
@@ -211,7 +211,7 @@ def idempotent_page_sink(path: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
-        runs = {n.split("-", 1)[1]: n for n in _children(spark, root) if n.startswith("run=")}
+        runs = {n.split("-", 1)[1]: n for n in children(spark, root) if n.startswith("run=")}
         name = runs.get(query) or f"run={len(runs):06d}-{query}"
         batch.select("doc_id", "page_no", "content").write.mode("overwrite").parquet(f"{root}/{name}/epoch={int(epoch_id)}")
     return write
