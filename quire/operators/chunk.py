@@ -90,22 +90,11 @@ def kb_records(chunks: DataFrame, source_uri: str = "raw_key") -> DataFrame:
 def embed_chunks(chunks: DataFrame, model: str = "hashing-64", text: str = "text",
                  id_col: str = "chunk_id") -> DataFrame:
     """C4: offline embedding - hashed term frequency, IDF, L2 normalised,
-    at the model's dimension. Spark ML fits IDF with one distributed
-    aggregate; the transform is a narrow map."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer
-    from pyspark.ml.functions import vector_to_array
+    at the model's dimension, by a model fitted on these chunks (one grouped
+    count); :mod:`quire.operators.vectors` stores and applies such models."""
+    from quire.operators.vectors import fit_embedder
 
-    dim = MODEL_DIMS.get(model)
-    if dim is None:
-        raise ValueError(f"unsupported embedding model {model!r}")
-    toks = chunks.select(id_col, tx.word_tokens(text).alias("_words"))
-    pipe = Pipeline(stages=[HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dim),
-                            IDF(inputCol="_tf", outputCol="_tfidf"),
-                            Normalizer(inputCol="_tfidf", outputCol="_vec", p=2.0)])
-    fitted = pipe.fit(toks)
-    out = fitted.transform(toks)
-    return out.select(id_col, vector_to_array("_vec", "float32").alias("embedding"))
+    return fit_embedder(chunks, model, text).embed(chunks, id_col, text)
 
 
 def embed_with(chunks: DataFrame, fn, model: str, text: str = "text", id_col: str = "chunk_id",

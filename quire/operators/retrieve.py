@@ -389,7 +389,8 @@ def _with_cell_dists(q: DataFrame, idx: CellIndex) -> DataFrame:
 def _probe(queries: DataFrame, idx: CellIndex, cells_col: str, k: int) -> DataFrame:
     x = queries.select("qid", "qvec", F.explode(cells_col).alias("cell"))
     j = x.join(idx.corpus, "cell")
-    return j.select("qid", F.col("id"), l2("qvec", "vec").alias("distance"))
+    # a vector may stand in several of the opened cells
+    return j.select("qid", F.col("id"), l2("qvec", "vec").alias("distance")).dropDuplicates(["qid", "id"])
 
 
 def knn(idx: CellIndex, queries: DataFrame, k: int, nprobe: int = 2, exact: bool = True,
@@ -416,7 +417,7 @@ def knn(idx: CellIndex, queries: DataFrame, k: int, nprobe: int = 2, exact: bool
                            lambda s: (s["d"] - s["r"]) <= F.col("_bound") + F.lit(1e-9)),
                   lambda s: s["cell"])))
     c2 = _probe(second, idx, "_p2", k)
-    both = c1.select("qid", "id", "distance").unionByName(c2)
+    both = c1.select("qid", "id", "distance").unionByName(c2).dropDuplicates(["qid", "id"])
     return _topk(both, "qid", F.col("distance"), k, "id", desc=False)
 
 

@@ -39,7 +39,8 @@ def kb_records(spark, sf):
     return FX.kb_chunks(spark, sf)
 
 
-@register("embed_chunks")
+@register("embed_chunks", with_ctes("""
+SELECT chunk_id, CAST(len(v) AS INTEGER) AS dim, list_transform(v, lambda x: round(x, 6)) AS embedding FROM emb_chunks""", "emb_chunks"))
 def embed_chunks(spark, sf):
     return C.embed_chunks(FX.kb_chunks(spark, sf).select("chunk_id", "text"), "hashing-64") \
-        .select("chunk_id", F.size("embedding").alias("dim"), "embedding")
+        .select("chunk_id", F.size("embedding").alias("dim"), F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))

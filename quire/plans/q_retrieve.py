@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import kbindex as KB
 from quire.operators import retrieve as RT
+from quire.operators import vectors as VX
 from quire.operators.answer import answer_questions as answer_op
 from quire.plans import fixtures as FX
 from quire.plans import q_sessions  # noqa: F401  (defines the snapshot CTEs)
@@ -132,28 +133,74 @@ def _knn_out(df):
     return df.select("qid", "rank", F.col("id").alias("vec_id"), F.round("distance", 6).alias("distance"))
 
 
+_cells: dict[tuple, str] = {}
+
+
+def _vector_cells(spark, sf, n_cells=16):
+    """Stored cells of ``embeddings``, written by the first query that needs them."""
+    key = (spark.sparkContext.applicationId, sf, n_cells)
+    if key not in _cells:
+        path = scratch_path(spark, f"cells-{uuid4().hex}")
+        VX.write_cells(table(spark, sf, "embeddings"), path, n_cells=n_cells)
+        _cells[key] = path
+    return VX.open_cells(spark, _cells[key])
+
+
+def build_dense(spark, sf):
+    """Store the embedding model and the cells of all chunks' vectors."""
+    path = scratch_path(spark, f"dense-{uuid4().hex}")
+    chunks = FX.kb_chunks(spark, sf).select("chunk_id", "text")
+    model = VX.fit_embedder(chunks)
+    model.save(spark, f"{path}/model")
+    model.embed(chunks, "chunk_id").where(F.exists("embedding", lambda x: x != 0)).write.parquet(f"{path}/embedded")
+    VX.write_cells(spark.read.parquet(f"{path}/embedded"), path, id_col="chunk_id")
+    return path
+
+
+def _dense(spark, sf):
+    key = (spark.sparkContext.applicationId, sf, "dense")
+    if key not in _cells:
+        _cells[key] = build_dense(spark, sf)
+    return VX.open_cells(spark, _cells[key]), VX.Embedder.load(spark, f"{_cells[key]}/model")
+
+
+@register("dense_topk", with_ctes(
+    "SELECT qid, rank, chunk_id, round(distance, 6) AS distance FROM dense_top5", "dense_top5"))
+def dense_topk(spark, sf):
+    """Text to vector search: question vectors by the stored model, exact."""
+    cells, model = _dense(spark, sf)
+    r = VX.dense_topk(cells, model, FX.golden(spark, sf), K_APP)
+    return r.select("qid", "rank", F.col("id").alias("chunk_id"), F.round("distance", 6).alias("distance"))
+
+
+@register("hybrid_dense_topk", with_ctes(
+    "SELECT qid, rank, chunk_id, round(score, 6) AS score FROM hyb_dense5", "hyb_dense5"))
+def hybrid_dense_topk(spark, sf):
+    cells, model = _dense(spark, sf)
+    r = VX.hybrid_dense_topk(_index(spark, sf), cells, model, FX.golden(spark, sf), K_APP)
+    return r.select("qid", "rank", "chunk_id", F.round("score", 6).alias("score"))
+
+
 @register("knn_l2", _knn_sql(K_APP))
 def knn_l2(spark, sf):
-    idx = RT.build_cells(table(spark, sf, "embeddings"), n_cells=16)
-    return _knn_out(RT.knn(idx, FX.vec_queries(spark, sf), K_APP, nprobe=2, exact=True))
+    return _knn_out(RT.knn(_vector_cells(spark, sf), FX.vec_queries(spark, sf), K_APP, nprobe=2, exact=True))
 
 
 @register("knn_l2_filtered", _knn_sql(K_APP, "label < 5"))
 def knn_l2_filtered(spark, sf):
     return _knn_out(RT.knn_filtered(table(spark, sf, "embeddings"), FX.vec_queries(spark, sf), K_APP,
-                                    VEC_FILTER, nprobe=2))
+                                    VEC_FILTER, nprobe=2, idx=_vector_cells(spark, sf)))
 
 
 @register("knn_sharded", _knn_sql(K_APP))
 def knn_sharded(spark, sf):
-    idx = RT.build_cells(table(spark, sf, "embeddings"), n_cells=16)
-    return _knn_out(RT.knn_sharded(idx, FX.vec_queries(spark, sf), K_APP, shards=2, nprobe=2))
+    return _knn_out(RT.knn_sharded(_vector_cells(spark, sf), FX.vec_queries(spark, sf), K_APP, shards=2, nprobe=2))
 
 
 @register("knn_ivf")
 def knn_ivf(spark, sf):
-    idx = RT.build_cells(table(spark, sf, "embeddings"), n_cells=10)
-    return _knn_out(RT.knn(idx, FX.vec_queries(spark, sf), K_APP, nprobe=3, exact=False))
+    """Half of ten cells, each vector in two of them."""
+    return _knn_out(RT.knn(_vector_cells(spark, sf, 10), FX.vec_queries(spark, sf), K_APP, nprobe=5, exact=False))
 
 
 _CTX_SQL = """

@@ -295,3 +295,38 @@ cte("sem_admitted10", ("sem_admitted",), topk_sql("(SELECT * FROM sem_admitted W
 cte("hyb_admitted5", ("bm25_admitted10", "sem_admitted10"), topk_sql("""(SELECT qid, chunk_id, sum(1.0::DOUBLE / (60.0::DOUBLE + rank)) AS score
    FROM (SELECT qid, chunk_id, rank FROM bm25_admitted10 UNION ALL SELECT qid, chunk_id, rank FROM sem_admitted10) u
    GROUP BY qid, chunk_id)""", 5))
+
+
+# The offline embedding model (64 places) over kb_chunks, and its dense search.
+def _place(term: str) -> str:
+    return f"CAST('0x' || substr(md5({term}), 1, 8) AS BIGINT) % 64"
+
+
+cte("emb_tf", ("lx_toks",), f"""
+  SELECT chunk_id, p, count(*) AS tf FROM (SELECT chunk_id, {_place('term')} AS p FROM (SELECT chunk_id, unnest(w) AS term FROM lx_toks) a) b
+  GROUP BY chunk_id, p""")
+cte("emb_idf", ("emb_tf", "lx_stats"), """
+  SELECT r.p, ln((n + 1.0::DOUBLE) / (coalesce(df, 0) + 1.0::DOUBLE)) AS idf
+  FROM (SELECT unnest(range(64)) AS p) r LEFT JOIN (SELECT p, count(*) AS df FROM emb_tf GROUP BY p) d ON d.p = r.p, lx_stats""")
+
+
+def _vectors(ids: str, key: str, tf: str) -> str:
+    return f"""
+  SELECT {key}, list(CASE WHEN norm > 0 THEN x / norm ELSE 0.0::DOUBLE END ORDER BY p) AS v FROM (
+    SELECT {key}, p, x, sqrt(sum(x * x) OVER (PARTITION BY {key})) AS norm FROM (
+      SELECT i.{key}, m.p, coalesce(t.tf, 0) * m.idf AS x
+      FROM {ids} i CROSS JOIN emb_idf m LEFT JOIN {tf} t ON t.{key} = i.{key} AND t.p = m.p) a) b GROUP BY {key}"""
+
+
+cte("emb_chunks", ("lx_toks", "emb_tf", "emb_idf"), _vectors("lx_toks", "chunk_id", "emb_tf"))
+cte("emb_qtf", ("lx_qterms",), f"SELECT qid, {_place('term')} AS p, sum(qtf) AS tf FROM lx_qterms GROUP BY 1, 2")
+cte("emb_questions", ("golden", "emb_qtf", "emb_idf"), _vectors("golden", "qid", "emb_qtf"))
+cte("dense_all", ("emb_chunks", "emb_questions"), """
+  SELECT q.qid, c.chunk_id, sqrt(list_sum(list_transform(list_zip(q.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS distance
+  FROM emb_questions q, emb_chunks c
+  WHERE list_sum(list_transform(q.v, lambda x: abs(x))) > 0 AND list_sum(list_transform(c.v, lambda x: abs(x))) > 0""")
+cte("dense_top10", ("dense_all",), topk_sql("dense_all", 10, "distance", False))
+cte("dense_top5", ("dense_all",), topk_sql("dense_all", 5, "distance", False))
+cte("hyb_dense5", ("bm25_top10", "dense_top10"), topk_sql("""(SELECT qid, chunk_id, sum(1.0::DOUBLE / (60.0::DOUBLE + rank)) AS score
+   FROM (SELECT qid, chunk_id, rank FROM bm25_top10 UNION ALL SELECT qid, chunk_id, rank FROM dense_top10) u
+   GROUP BY qid, chunk_id)""", 5))
