@@ -104,18 +104,27 @@ CARRY_STATE = T.StructType([T.StructField("next_page", T.IntegerType()),
                             T.StructField("pending", T.StringType())])
 
 
-def _carry(key, pdf_iter, state, idle_ms: int = 0):
+def _carry(key, pdf_iter, state, idle_ms: int = 0, forget_ms: int = 0):
     import pandas as pd
 
     doc_id = int(key[0])
-    if state.exists:
+    fresh = not state.exists
+    if fresh:
+        nxt, prev_content, prev_last, pending = 1, None, False, {}
+    else:
         nxt, prev_content, prev_last, pending_json = state.get
         pending = {int(k): tuple(v) for k, v in json.loads(pending_json).items()}
-    else:
-        nxt, prev_content, prev_last, pending = 1, None, False, {}
     late = state.hasTimedOut
+    if late and not pending:
+        state.remove()  # nothing waits, and what could come again is past its retention
+        return
     if not late:
         for pdf in pdf_iter:
+            if fresh and len(pdf) and "page_counter" in pdf and pd.notna(pdf["page_counter"].iloc[0]):
+                # a document that another run left off: go on after its last page
+                start = pdf.iloc[0]
+                nxt, prev_content, prev_last = int(start["page_counter"]) + 1, start["previous_text"], bool(start["previous_last"])
+            fresh = False
             for p, c, f, l in zip(pdf["page_no"], pdf["content"], pdf["first_is_table"], pdf["last_is_table"]):
                 if int(p) >= nxt:      # a page already released was delivered again
                     pending[int(p)] = (c, bool(f), bool(l))
@@ -127,33 +136,51 @@ def _carry(key, pdf_iter, state, idle_ms: int = 0):
         cont = page == nxt and page > 1 and bool(prev_last) and first
         out.append((doc_id, page, cont, prev_content if cont else None, page != nxt))
         prev_content, prev_last, nxt = content, last, page + 1
-    state.update((nxt, prev_content, prev_last, json.dumps({str(k): list(v) for k, v in pending.items()})))
-    if idle_ms and pending:
+    # a text that cannot be carried on (no table at its end) is not kept
+    state.update((nxt, prev_content if prev_last else None, prev_last, json.dumps({str(k): list(v) for k, v in pending.items()})))
+    if pending and idle_ms:
         state.setTimeoutDuration(idle_ms)
+    elif not pending and forget_ms:
+        state.setTimeoutDuration(forget_ms)
     if out:
         yield pd.DataFrame(out, columns=[f.name for f in CARRY_OUT.fields]).astype({"page_no": "int32"})
 
 
-def page_carry(pages: DataFrame, row_regex: str = PG.TABLE_ROW_RE, idle_evict_ms: int = 0) -> DataFrame:
+def page_carry(pages: DataFrame, row_regex: str = PG.TABLE_ROW_RE, idle_evict_ms: int = 0,
+               forget_ms: int = RETENTION_S * 1000, resume: DataFrame | None = None) -> DataFrame:
     """The stateful form of T3. Per document the state keeps the next
-    page to emit, the previous page's text and flag, and pages that arrived
-    early; pages are released in order, so the continuation of page n is
-    decided with page n-1 even when they arrive in different micro-batches.
+    page to emit, the previous page's text where it ends with a table, and
+    pages that arrived early; pages are released in order, so the continuation
+    of page n is decided with page n-1 even when they arrive in different
+    micro-batches.
+
     With ``idle_evict_ms`` a document whose pages wait that long (processing
     time) for a missing one releases them, in order, with ``after_gap`` where
-    the page before is missing. The state then keeps the last page only, so
-    later pages go on from there and pages delivered again are not released
-    twice."""
-    idle = int(idle_evict_ms)
+    the page before is missing. A document for which nothing waits and nothing
+    comes for ``forget_ms`` (by default the queue's retention, past which
+    nothing is delivered again) leaves the state, so the state holds documents
+    of one retention and not all there ever were; 0 keeps them.
+
+    ``resume`` (doc_id, page_counter, previous_text; a static table of
+    :func:`quire.sources.events.parse_resume`) starts documents where an
+    earlier run left off: pages up to the counter are not released again and
+    the next one is judged against the message's ``previous_text``."""
+    idle, forget = int(idle_evict_ms), int(forget_ms)
 
     def carry(key, pdf_iter, state):
-        return _carry(key, pdf_iter, state, idle)
+        return _carry(key, pdf_iter, state, idle, forget)
 
     flagged = PG.table_flags(pages, row_regex).select("doc_id", "page_no", "content",
                                                       "first_is_table", "last_is_table")
+    if resume is not None:
+        last = resume.groupBy("doc_id").agg(F.max_by(F.struct("page_counter", "previous_text"), "page_counter").alias("_r"))
+        start = last.select(F.col("doc_id").alias("_doc"), "_r.page_counter", F.col("_r.previous_text").alias("content"))
+        start = (PG.table_flags(start, row_regex).select("_doc", "page_counter", F.col("content").alias("previous_text"),
+                                                         F.col("last_is_table").alias("previous_last")))
+        flagged = flagged.join(start, F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
     return flagged.groupBy("doc_id").applyInPandasWithState(
         carry, CARRY_OUT, CARRY_STATE, "append",
-        "ProcessingTimeTimeout" if idle_evict_ms else "NoTimeout")
+        "ProcessingTimeTimeout" if idle or forget else "NoTimeout")
 
 
 # W5

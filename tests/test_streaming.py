@@ -34,7 +34,7 @@ def test_page_carry_stream_equals_batch(spark):
     pages = FX.order_pages(spark, SF_SMALL).cache()
     src = os.path.join(d, "pages")
     pages.where(F.col("page_no") % 2 == 0).write.parquet(src)           # later pages first
-    q = _run(ST.page_carry(spark.readStream.schema(pages.schema).parquet(src)), "carry", os.path.join(d, "ck"))
+    q = _run(ST.page_carry(spark.readStream.schema(pages.schema).parquet(src), forget_ms=0), "carry", os.path.join(d, "ck"))
     q.processAllAvailable()
     held = spark.table("carry").count()
     pages.where(F.col("page_no") % 2 == 1).write.mode("append").parquet(src)
@@ -60,6 +60,9 @@ class _State:
     def setTimeoutDuration(self, ms):
         self.timeout = ms
 
+    def remove(self):
+        self.value = self.timeout = None
+
 
 def _carry(state, pages, timed_out=False):
     import pandas as pd
@@ -79,6 +82,38 @@ def test_page_carry_eviction_and_redelivery():
     assert _carry(s, [(5, False, False)]) == [(5, False, None, False)]
 
 
+def test_page_carry_forgets_idle_documents():
+    import pandas as pd
+    s = _State()
+
+    def step(pages, timed_out=False):
+        s.hasTimedOut = timed_out
+        pdf = pd.DataFrame(pages, columns=["page_no", "content", "first_is_table", "last_is_table"])
+        return [tuple(r) for part in ST._carry((7,), iter([pdf]), s, 1000, 5000) for r in part.itertuples(index=False)]
+
+    assert len(step([(1, "x" * 10_000, False, False), (3, "y", False, False)])) == 1
+    assert s.timeout == 1000 and len(str(s.value)) < 200   # a text that no page can carry on is not kept
+    assert len(step([(2, "z", False, True)])) == 2
+    assert s.timeout == 5000
+    assert step([], timed_out=True) == [] and not s.exists  # the state's size falls to nothing
+
+
+def test_a_resumed_stream_equals_an_unbroken_one(spark):
+    d = _scratch()
+    pages = FX.order_pages(spark, SF_SMALL).cache()
+    want = PG.page_context(pages).select("doc_id", "page_no", "continued", "previous_text")
+    done = pages.where(F.col("page_no") == 1).select("doc_id", F.lit(1).alias("page_counter"), F.col("content").alias("previous_text"))
+    done = done.where(F.col("doc_id") % 2 == 0)  # every other document was left off after its first page
+    src = os.path.join(d, "pages")
+    pages.write.parquet(src)                      # the whole documents are delivered again
+    q = _run(ST.page_carry(spark.readStream.schema(pages.schema).parquet(src), forget_ms=0, resume=done), "resumed", os.path.join(d, "ck"))
+    q.processAllAvailable()
+    q.stop()
+    rest = want.where((F.col("doc_id") % 2 != 0) | (F.col("page_no") > 1))
+    assert _same(spark.table("resumed").drop("after_gap"), rest)
+    assert rest.where("continued AND doc_id % 2 = 0 AND page_no = 2").count() > 0
+
+
 def test_transcript_label_stream_join_equals_batch(spark):
     d = _scratch()
     t = EV.parse_transcript(FX.transcripts(spark, SF_SMALL)).select(
