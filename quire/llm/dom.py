@@ -6,6 +6,8 @@ import math
 import re
 from html.parser import HTMLParser
 
+import numpy as np
+
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr img br math mi mn mo ms mtext mrow mfrac msup msub "
                    "msubsup msqrt mroot mover munder munderover mstyle mspace mpadded mtable mtr mtd semantics".split())
@@ -70,23 +72,57 @@ class Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.nodes = [Node("#page", -1)]
-        self.open: list[tuple[str, int]] = [("#page", 0)]  # every open tag, and the block it belongs to
+        self.open: list[tuple[int, str, int]] = []  # number and tag of what is open, and the block it belongs to
+        self.places: dict[str, list[int]] = {}  # the numbers of each open tag; "" for all blocks
+        self.serial = 0
+        self._push("#page", 0)
         self.hidden: list[str] = []  # an open hidden element and what is open in it
+        self.within: dict[str, int] = {}  # how many of each tag these are
         self.anchors = 0
         self.run = -1  # leaf that takes the next text
         self.feed(html)
         self.close()
         self._sum()
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![...>`` outside markup that knows it is a comment, whatever it holds."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
+    def _push(self, tag: str, block: int) -> None:
+        self.serial += 1
+        self.open.append((self.serial, tag, block))
+        for key in (tag,) if tag in INLINE else (tag, ""):
+            self.places.setdefault(key, []).append(self.serial)
+
+    def _hide(self, tag: str) -> None:
+        self.hidden.append(tag)
+        self.within[tag] = self.within.get(tag, 0) + 1
+
+    def _last(self, tag: str) -> int:
+        """Number of the last open ``tag``, 0 without one. So no end tag and no
+        start tag ever looks through all that is open."""
+        at = self.places.get(tag)
+        return at[-1] if at else 0
+
+    def _cut(self, number: int) -> None:
+        """Everything from ``number`` on is closed."""
+        while self.open[-1][0] >= number:
+            serial, tag, _ = self.open.pop()
+            for key in (tag,) if tag in INLINE else (tag, ""):
+                at = self.places[key]
+                if at and at[-1] == serial:  # not ended by itself before
+                    at.pop()
+                    self.anchors -= key == "a"
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if self.hidden:
             if tag not in VOID:
-                self.hidden.append(tag)
+                self._hide(tag)
             return
         if tag in HIDDEN:
-            if tag == "head":  # only its known children are hidden: a page may never close it
-                return
-            self.hidden.append(tag)
+            if tag != "head":  # only its known children are hidden: a page may never close it
+                self._hide(tag)
             return
         if tag in INLINE:
             if tag == "br":
@@ -95,9 +131,9 @@ class Page(HTMLParser):
                 self.anchors += 1
                 if self.run >= 0:
                     self.nodes[self.run].links += 1
-                self.open.append((tag, self.open[-1][1]))
+                self._push(tag, self.open[-1][2])
             elif tag not in VOID:
-                self.open.append((tag, self.open[-1][1]))
+                self._push(tag, self.open[-1][2])
             return
         if tag in VOID and tag != "hr":
             if tag == "input":
@@ -119,10 +155,10 @@ class Page(HTMLParser):
                 words += _word.findall(value.lower())
             elif name == "data-part":
                 mark = value
-        parent = self.open[-1][1]
+        parent = self.open[-1][2]
         self.nodes.append(Node(tag, parent, tuple(words), mark))
         self.nodes[parent].children.append(len(self.nodes) - 1)
-        self.open.append((tag, len(self.nodes) - 1))
+        self._push(tag, len(self.nodes) - 1)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         if self.hidden or (tag in HIDDEN and tag not in NEVER_EMPTY):
@@ -130,34 +166,31 @@ class Page(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def _close(self, tag: str, stop=frozenset()) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            t = self.open[i][0]
-            if t == tag:
-                for gone, _ in self.open[i:]:
-                    self.anchors -= gone == "a"
-                del self.open[i:]
-                self.run = -1
-                return
-            if t in stop:
-                return
+        at = self._last(tag)
+        if at and all(self._last(t) < at for t in stop):
+            self._cut(at)
+            self.run = -1
 
     def handle_endtag(self, tag: str) -> None:
         if self.hidden:
-            if tag in self.hidden:
-                del self.hidden[len(self.hidden) - 1 - self.hidden[::-1].index(tag):]
+            if self.within.get(tag):
+                last = None
+                while last != tag:
+                    last = self.hidden.pop()
+                    self.within[last] -= 1
                 return
-            if tag in INLINE or all(t != tag for t, _ in self.open):
+            if tag in INLINE or not self._last(tag):
                 return
-            self.hidden.clear()  # the end of a block around it ends a hidden element too
+            self.hidden.clear()
+            self.within.clear()  # the end of a block around it ends a hidden element too
         if tag in INLINE:
-            for i in range(len(self.open) - 1, 0, -1):
-                t = self.open[i][0]
-                if t == tag:
-                    self.anchors -= tag == "a"
-                    del self.open[i]
-                    return
-                if t not in INLINE:
-                    return
+            at = self._last(tag)
+            if at > self._last(""):
+                # it may lie under other inline tags, which stay open
+                self.places[tag].pop()
+                self.anchors -= tag == "a"
+                while self.open[-1][0] not in self.places.get(self.open[-1][1], ())[-1:]:
+                    self.open.pop()
             return
         self._close(tag)
 
@@ -170,7 +203,7 @@ class Page(HTMLParser):
         if self.run < 0:
             if blank:
                 return
-            at = self.open[-1][1]
+            at = self.open[-1][2]
             self.nodes.append(Node("#text", at))
             self.nodes[at].children.append(len(self.nodes) - 1)
             self.run = len(self.nodes) - 1
@@ -194,12 +227,13 @@ class Page(HTMLParser):
                 for k in ("linked", "links", "words", "chars", "stops", "blocks", "size"):
                     setattr(up, k, getattr(up, k) + getattr(node, k))
 
-    def features(self) -> list[list[float]]:
+    def features(self) -> np.ndarray:
+        """A row of FEATURES for each node."""
         nt, nk = len(TAGS), len(TOKENS)
         total = max(self.nodes[0].words, 1)
         own: list[list[float]] = []
         nearest: list[float] = []  # does the closest node that says anything speak for main text?
-        out, above, depth = [], [[0.0] * (nt + nk)], [0]
+        out, above, depth = np.zeros((len(self.nodes), len(FEATURES))), [[0.0] * (nt + nk)], [0]
         places = {c: j for node in self.nodes for j, c in enumerate(node.children)}
         for i, node in enumerate(self.nodes):
             mine = [0.0] * (nt + nk)
@@ -231,12 +265,12 @@ class Page(HTMLParser):
                     sides.append(s.linked / max(s.chars, 1))
                 else:
                     sides.append(-1.0)
-            out.append(mine + over + [
+            out[i] = mine + over + [
                 float(level), math.log1p(node.words), node.chars / max(node.words, 1), min(link, 1.0),
                 node.links / max(node.words, 1), node.words / max(node.blocks, 1), float(node.blocks),
                 node.stops / max(node.words, 1), node.words / total, node.words / max(up.words, 1),
                 place / siblings, float(siblings), up.words / siblings, *sides,
-                against, favour, nearest[i], sum(over[k] for k in OUTSIDE)])
+                against, favour, nearest[i], sum(over[k] for k in OUTSIDE)]
         return out
 
 

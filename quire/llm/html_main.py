@@ -34,7 +34,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import pages, written
+from quire.llm.common import pages, portions, written
 from quire.llm.dom import FEATURES, Node, Page, decode
 
 FIT_PAGES, LAYOUTS = 150, 6
@@ -242,11 +242,10 @@ def extract(rows: DataFrame, trees: Trees | None) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in range(0, len(batch), 256):
-                part = batch.slice(s, 256)
+            for s, m in portions(batch.column(2), 500_000):
+                part = batch.slice(s, m)
                 found = [Page(h or "") for h in part.column(2).to_pylist()]
-                x = [f for p in found for f in p.features()]
-                odds = model.odds(np.array(x))
+                odds = model.odds(np.concatenate([p.features() for p in found]))
                 texts, at = [], 0
                 for p in found:
                     n = len(p.nodes)

@@ -222,3 +222,26 @@ def test_main_text_of_long_pages(spark):
     trees = html_main.fit(spark, df)
     got = html_main.extract(df, trees).orderBy("page_id").collect()
     assert trees is not None and all(r["text"].endswith(boxed(i)[1]) for i, r in enumerate(got))
+
+
+def test_any_markup_is_read():
+    """Marked sections, cut-off declarations and random strings: no exception,
+    text after them kept; unclosed tags take linear time."""
+    import random
+    import time
+    from quire.llm.dom import Page
+    said = lambda h: " ".join(p for n in Page(h).nodes for p in n.parts if p)
+    assert said("<![foo[bar]]><p>b") == "b"
+    assert said("a<![if !IE]>x<![endif]>y") == "axy"
+    r = random.Random(5)
+    bits = ["<![ x", "<!", "<!DOCTYPE [", "&#xFFFFFFFF;", "<a href='", "</", "<![CDATA[", "<b>", "</b>", "<div>", "</div>", "<svg>", "text "] + list("<>![]-/&#;\"'= ab")
+    for _ in range(3000):
+        page = Page("".join(r.choice(bits) for _ in range(r.randint(1, 25))))
+        assert page.features().shape[0] == len(page.nodes)
+    took = []
+    for n in (5_000, 20_000):
+        start = time.perf_counter()
+        for h in ("<b>" * n + "<p>" * n, "<i><div>" + "<b>" * n + "</i>" * n, "<svg>" + "<g>" * n + "</x>" * n, "<ul>" + "<div>" * n + "<li>" * n):
+            Page(h)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 10 * took[0] + 1  # four times the tags; quadratic time would be sixteen times as much
