@@ -133,9 +133,10 @@ def mix_documents(spark: SparkSession, docs: DataFrame, seed: str = SEED) -> Dat
     split = F.coalesce((place == F.col("_last.at")) & ~whole, F.lit(False))
     most = keyed.where(~split).select("row", (F.col("_epochs") + once.cast("long")).alias("_copies"))
     # a budget that ends among equal rows: count them, then take as many as fit
-    equal = (keyed.where(split).groupBy("row", "_src", "_epochs", F.col("_last.extra").alias("_extra"))
-             .agg(F.count("*").alias("_n")))
-    earlier = Window.partitionBy("_src").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    equal = (keyed.where(split)  # rows are told apart by a digest, which a column of any type has
+             .groupBy(F.sha2(F.to_json("row"), 256).alias("_digest"), "_src", "_epochs", F.col("_last.extra").alias("_extra"))
+             .agg(F.count("*").alias("_n"), F.first("row").alias("row")))
+    earlier = Window.partitionBy("_src").orderBy("_digest").rowsBetween(Window.unboundedPreceding, -1)
     took = F.greatest(F.lit(0).cast("long"), F.least(
         F.col("_n"), F.col("_extra") - F.coalesce(F.sum("_n").over(earlier), F.lit(0))))
     rest = equal.select("row", (F.col("_epochs") * F.col("_n") + took).alias("_copies"))
