@@ -16,6 +16,8 @@ from quire.session import scratch_path
 #: The white space that separates words, and so the words, in every operator here.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = b" \t\n\x0b\x0c\r"
+#: Bytes of a row group in tables written between steps.
+ROW_GROUP = 32 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +41,8 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read back: short lineage that
     outlives lost executors."""
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    # small row groups: a task that writes whole texts holds less of them
+    df.write.option("parquet.block.size", str(ROW_GROUP)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -54,7 +57,7 @@ def unpacked(docs: DataFrame, name: str = "row", **new: Column) -> list[Column]:
     return [(new[c] if c in new else F.col(name).getField(c)).alias(c) for c in docs.columns]
 
 
-def portions(texts: pa.Array, held: int = 8_000_000) -> Iterator[tuple[int, int]]:
+def portions(texts: pa.Array, held: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Ranges (start, length) of a binary or string array that hold about
     ``held`` bytes each, so that a batch of long texts is taken bit by bit."""
     if len(texts):

@@ -18,15 +18,15 @@ than those named pass through ``keep_documents`` untouched.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from quire.llm.common import SPACES, documents, packed, unpacked, written
+from quire.llm.common import SPACES, documents, packed, portions, unpacked, written
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 SYMBOLS = b"#*$%&|<>"
@@ -65,21 +65,19 @@ def _counts(text: bytes) -> tuple[int, ...]:
 
 def with_counts(docs: DataFrame, row: Column | None = None) -> DataFrame:
     """row (by default all columns of ``docs`` in a struct), lang and source
-    (null as empty) and the counts in a struct."""
-    rows = docs.select((packed(docs) if row is None else row).alias("row"), _group("lang").alias("lang"),
-                       _group("source").alias("source"), F.col("text").cast("string").alias("text"))
-    counts = StructType([StructField(c, LongType()) for c in COUNTS])
-    schema = StructType([*rows.schema.fields[:3], StructField("counts", counts)])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            *rest, texts = batch.columns
-            found = [(0,) * 6 if t is None else _counts(t) for t in texts.cast(pa.binary()).to_pylist()]
-            cols = [pa.array([r[i] for r in found], pa.int64()) for i in range(len(COUNTS))]
-            yield pa.RecordBatch.from_arrays([*rest, pa.StructArray.from_arrays(cols, list(COUNTS))],
-                                             names=["row", "lang", "source", "counts"])
-
-    return rows.mapInArrow(count, schema)
+    (null as empty) and the counts in a struct. Only the text goes through
+    Python; the rows wait in the JVM, which spills them where it must."""
+    kind = StructType([StructField(c, LongType()) for c in COUNTS])
+
+    def count(texts: pa.Array) -> pa.Array:
+        found = [np.array([_counts(t or b"") for t in texts.slice(s, n).to_pylist()], np.int64).reshape(-1, len(COUNTS))
+                 for s, n in portions(texts)]
+        cols = np.concatenate(found or [np.zeros((0, len(COUNTS)), np.int64)]).T
+        return pa.StructArray.from_arrays([pa.array(c) for c in cols], list(COUNTS))
+
+    counts = F.arrow_udf(count, kind)(F.col("text").cast("string").cast("binary"))
+    return docs.select((packed(docs) if row is None else row).alias("row"), _group("lang").alias("lang"),
+                       _group("source").alias("source"), counts.alias("counts"))
 
 
 def _group(col: str):
