@@ -3,24 +3,45 @@
 The tokenizer splits on white space before anything else, so the ids of a
 text are the ids of its words in a row. Words repeat, so each worker keeps a
 bounded table word -> ids and encodes only words it has not met. Unseen words
-go to the tokenizer together, kept apart by a separator word whose single id
-no other word can produce.
+of plain Latin letters are one piece each, lower-cased: they are merged by an
+encoder of ranks with the same vocabulary, in which a control character stands
+for the end of a word. Other unseen words go to the tokenizer together, kept
+apart by a separator word whose single id no other word can produce.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 
-#: Entries kept per worker (about 250 MB); beyond it the table starts anew.
-MAX_WORDS = 600_000
+#: Entries kept per worker (about 125 MB); beyond it the table starts anew.
+MAX_WORDS = 300_000
 #: Longer words are encoded each time instead of being kept.
 MAX_WORD = 64
 #: A control character that is neither white space nor letter nor number to
 #: the tokenizer: alone between spaces it gives one id of its own.
 SEPARATOR = "\x1f"
+#: Stands for the end of a word in the encoder of ranks.
+END = "\x1e"
+#: Letters that are normal as they stand and lower-case to one letter: up to
+#: U+017F, without the dotted capital I and the n after an apostrophe.
+#: A full stop or comma may follow.
+LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017f]+)([.,]?)")
+#: Words that are encoded in one call.
+AT_ONCE = 2_000
+
+
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself
+    where it is visible in Latin-1, else the next one from U+0100 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
 def default_tokenizer() -> str:
@@ -46,17 +67,43 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {"": b""}
+        self.ranked = self._ranked(path, vocab)
+
+    @staticmethod
+    def _ranked(path: str, vocab: dict[str, int]):
+        """The vocabulary as an encoder of ranks over words that each end in
+        END; None if ids do not rise with the order of the merges, single
+        letters first, or the normaliser is not the one known here."""
+        import tiktoken
+
+        spec = json.loads(Path(path).read_text())
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in spec["model"]["merges"]]
+        ids = [vocab[m] for m in merged]
+        if (kinds != ["NFC", "Replace", "Lowercase"] or spec["model"].get("end_of_word_suffix") != "</w>"
+                or ids != list(range(512, 512 + len(ids)))):
+            return None
+        letters = byte_letters()
+        raw = {t: bytes(letters[c] for c in t.removesuffix("</w>")) + END.encode() * t.endswith("</w>")
+               for t, i in vocab.items() if i < 512 + len(ids)}
+        ranks = {raw[t]: i for t, i in vocab.items() if t in raw}
+        if len(ranks) != 512 + len(ids):
+            return None
+        return tiktoken.Encoding("words", pat_str=f"[^{END}]+{END}", mergeable_ranks=ranks, special_tokens={})
 
     def _plain(self, text: str) -> bytes:
         enc = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(enc.ids, dtype="<u4").tobytes()
 
     def _letters(self, words: list[str]) -> list[bytes]:
-        """As ``_many`` for words of letters only: each ends with its one
-        end-of-word id, so no separator is needed."""
-        ids = np.frombuffer(self._plain(" ".join(words)), "<u4")
+        """As ``_many`` for words of lower-case Latin letters: each ends with
+        its one end-of-word id, so no separator is needed."""
+        if self.ranked is None:
+            ids = np.frombuffer(self._plain(" ".join(words)), "<u4")
+        else:
+            ids = np.array(self.ranked.encode_ordinary(END.join(words) + END), dtype="<u4")
         at = np.flatnonzero(self.ends[ids]) + 1
-        if len(at) != len(words):  # a letter that normalises to more than letters
+        if len(at) != len(words):  # cannot happen for plain letters
             return self._many(words)
         raw, out, s = ids.tobytes(), [], 0
         for e in (at * 4).tolist():
@@ -81,34 +128,32 @@ class WordEncoder:
         """Ids of unseen words. A full stop or comma after a letter is a token
         of its own and the tokenizer lower-cases, so those variants share one
         encoding."""
-        plan, todo = [], set()
+        plain, plan, rest = [], [], {".", ","}
         for w in new:
-            if SEPARATOR in w:
+            if m := LATIN.fullmatch(w):
+                plain.append((w, m[1].lower(), m[2]))
+            elif SEPARATOR in w:
                 plan.append((w, None, ""))
-                continue
-            core, tail = w, ""
-            if len(w) > 1 and w[-1] in ".," and w[-2].isalpha():
-                core, tail = w[:-1], w[-1]
-            if core.isascii():
-                core = core.lower() if core.isalpha() else core
-            plan.append((w, core, tail))
-            if core not in self.words:
-                todo.add(core)
-            if tail and tail not in self.words:
-                todo.add(tail)
+            elif w[-1] in ".," and w[-2:-1].isalpha():
+                plan.append((w, w[:-1], w[-1]))
+                rest.add(w[:-1])
+            else:
+                plan.append((w, w, ""))
+                rest.add(w)
         got: dict[str, bytes] = {}
-        letters = [w for w in todo if w.isalpha()]
-        for order, many in ((letters, self._letters), (list(todo.difference(letters)), self._many)):
-            for i in range(0, len(order), 20_000):
-                part = order[i:i + 20_000]
+        letters = {core for _, core, _ in plain}.difference(self.words)
+        for todo, many in ((letters, self._letters), (rest.difference(self.words), self._many)):
+            order = list(todo)
+            for i in range(0, len(order), AT_ONCE):
+                part = order[i:i + AT_ONCE]
                 got.update(zip(part, many(part)))
         known = self.words
-        for w, core, tail in plan:
-            if core is None:
-                got[w] = self._plain(w)
-                continue
+        end = {t: got[t] if t in got else known[t] for t in ".,"} | {"": b""}
+        for w, core, tail in plain:
             ids = got[core] if core in got else known[core]
-            got[w] = ids + (got[tail] if tail in got else known[tail]) if tail else ids
+            got[w] = ids + end[tail] if tail else ids
+        for w, core, tail in plan:
+            got[w] = self._plain(w) if core is None else (got[core] if core in got else known[core]) + end[tail]
         return got
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
