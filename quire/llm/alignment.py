@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import documents, portions, written
+from quire.llm.tokens import byte_letters
 
 SHARDS, BRANCHES, SLICE = 256, 16, 4_000_000
 #: Chunks in a worker's table; longer ones are aligned each time; chunks encoded in one call.
@@ -65,14 +66,6 @@ def default_tokenizers() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in a byte-level vocabulary: itself
-    where it is visible in Latin-1, else the next one from U+0100 on."""
-    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in visible]
-    return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class Aligner:
     """Both tokenizers over single texts and over many chunks at once."""
 
@@ -84,7 +77,7 @@ class Aligner:
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        letters = _byte_letters()
+        letters = byte_letters()
         vocab = self.a.get_vocab(with_added_tokens=False)
         self.ranked = self._ranked(path_a, {t: bytes(letters[c] for c in t) for t in vocab})
         a_bytes = [b""] * (max(vocab.values()) + 1)

@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 
 from quire.llm import alignment as al
 from quire.llm.common import documents
+from quire.llm.tokens import byte_letters
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import odd_rows
 
@@ -24,7 +25,7 @@ def plain():
     path_a, path_b = al.default_tokenizers()
     a, b = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
     a.encode_special_tokens = True
-    letters = al._byte_letters()
+    letters = byte_letters()
 
     def run(text):
         if not text:
