@@ -3,9 +3,12 @@ the executors; nothing passes through the driver."""
 
 from __future__ import annotations
 
+import json
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
@@ -83,27 +86,75 @@ def append_experiment(row: DataFrame, path: str) -> int:
     return serial
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a keyed store, in order."""
-    found = [int(n.split("=")[1]) for n in children(spark, path) if n.startswith("version=")]
-    return sorted(v for v in found if "_SUCCESS" in children(spark, f"{path}/version={v}"))
+#: Buckets of a keyed store by the hash of the key; a new store may choose others.
+KEY_BUCKETS = 32
 
 
-def write_keyed_store(records: DataFrame, path: str) -> None:
-    """The upserted key-value store, rewritten in full as the next
-    version. ``records`` may be computed from the current one, which stays;
-    readers move on when the new version is complete."""
-    path = path.rstrip("/")
-    last = _versions(records.sparkSession, path)
-    records.write.mode("overwrite").parquet(f"{path}/version={last[-1] + 1 if last else 1}")
+def _key_bucket(key: str, n: int):
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(n)).cast("int")
+
+
+def _store(spark: SparkSession, path: str) -> tuple[int, dict[int, str]]:
+    """The newest complete manifest: number of buckets and the folder of each
+    bucket that has records."""
+    names = [n for n in children(spark, f"{path}/manifest") if n.startswith("version=")]
+    for n in sorted(names, key=lambda n: -int(n.split("=")[1])):
+        if "_SUCCESS" in children(spark, f"{path}/manifest/{n}"):
+            rows = spark.read.parquet(f"{path}/manifest/{n}").collect()  # a row a bucket
+            return rows[0]["buckets"], {r["bucket"]: r["folder"] for r in rows if r["bucket"] >= 0}
+    raise FileNotFoundError(f"no complete version under {path}")
+
+
+def _put(spark: SparkSession, path: str, records: DataFrame, key: str, n: int, keep: dict[int, str], among: list[int] | None) -> None:
+    """Write ``records`` by bucket and publish them beside the folders kept."""
+    data = claim_next(spark, path, "data")
+    folder = f"data={data}"
+    # one more hash parts the rows of a bucket, so that a hot one is written by several tasks
+    (records.withColumn("bucket", _key_bucket(key, n)).repartition("bucket", F.pmod(F.xxhash64(key), F.lit(4)))
+     .write.partitionBy("bucket").parquet(f"{path}/{folder}"))
+    new = {int(c.split("=")[1]): f"{folder}/{c}" for c in children(spark, f"{path}/{folder}") if c.startswith("bucket=")}
+    left = {b: f for b, f in keep.items() if among is None or b not in among}
+    rows = [(n, b, f) for b, f in sorted((left | new).items())] or [(n, -1, "")]
+    schema = spark.createDataFrame([(records.schema.json(),)], "schema string")
+    version = claim_next(spark, f"{path}/manifest", "version")
+    schema.coalesce(1).write.mode("overwrite").parquet(f"{path}/schema/version={version}")
+    spark.createDataFrame(rows, "buckets int, bucket int, folder string").coalesce(1).write.mode("overwrite").parquet(
+        f"{path}/manifest/version={version}")
+
+
+def write_keyed_store(records: DataFrame, path: str, key: str | None = None, buckets: int = KEY_BUCKETS) -> None:
+    """The key-value store as its next version, hash-bucketed by ``key``
+    (default: the first column). ``records`` may be computed from the current
+    one, which stays; readers move on when the new version is complete."""
+    _put(records.sparkSession, path.rstrip("/"), records, key or records.columns[0], buckets, {}, None)
+
+
+def update_keyed_store(updates: DataFrame, path: str, key: str, version: str) -> int:
+    """Upsert ``updates`` (newest ``version`` per key wins) into the store
+    and return how many buckets were written: those that hold an updated key,
+    no others. The next version shares all other buckets with the current one."""
+    from quire.operators.sync import keyed_upsert
+
+    spark, path = updates.sparkSession, path.rstrip("/")
+    n, folders = _store(spark, path)
+    among = [r[0] for r in updates.select(_key_bucket(key, n)).distinct().collect()]  # at most ``n``
+    if not among:
+        return 0
+    base = _read(spark, path, [f for b, f in folders.items() if b in among])
+    _put(spark, path, keyed_upsert(base, updates, key, version), key, n, folders, among)
+    return len(among)
+
+
+def _read(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    newest = max((n for n in children(spark, f"{path}/schema")), key=lambda n: int(n.split("=")[1]))
+    schema = T.StructType.fromJson(json.loads(spark.read.parquet(f"{path}/schema/{newest}").first()["schema"]))
+    return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in folders]) if folders else spark.createDataFrame([], schema)
 
 
 def read_keyed_store(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete version."""
-    versions = _versions(spark, path.rstrip("/"))
-    if not versions:
-        raise FileNotFoundError(f"no complete version under {path}")
-    return spark.read.parquet(f"{path.rstrip('/')}/version={versions[-1]}")
+    path = path.rstrip("/")
+    return _read(spark, path, list(_store(spark, path)[1].values()))
 
 
 def write_kb_table(records: DataFrame, path: str | None = None, table: str | None = None,

@@ -79,6 +79,21 @@ def test_keyed_store_rewritten_from_itself(spark):
     assert sorted(r.k for r in SK.read_keyed_store(spark, d).collect()) == [1, 2, 10, 11]
 
 
+def test_an_update_of_one_key_writes_one_bucket(spark):
+    d = os.path.join(tempfile.mkdtemp(prefix="quire-io-"), "store")
+    schema = "claim string, at int, note string"
+    SK.write_keyed_store(spark.createDataFrame([(f"c{i}", 1, "old") for i in range(200)], schema), d, "claim", buckets=16)
+    before = set(SK._store(spark, d)[1].values())
+    assert len(before) == 16
+    assert SK.update_keyed_store(spark.createDataFrame([("c7", 2, "new"), ("c7", 1, "late")], schema), d, "claim", "at") == 1
+    after = set(SK._store(spark, d)[1].values())
+    assert len(after - before) == 1 and len(after) == 16      # fifteen buckets are shared with the version before
+    assert SK.update_keyed_store(spark.createDataFrame([("c8", 0, "older"), ("x", 5, "added")], schema), d, "claim", "at") in (1, 2)
+    got = {r.claim: (r["at"], r.note) for r in SK.read_keyed_store(spark, d).collect()}
+    assert len(got) == 201 and got["c7"] == (2, "new") and got["c8"] == (1, "old") and got["x"] == (5, "added")
+    assert SK.update_keyed_store(spark.createDataFrame([], schema), d, "claim", "at") == 0
+
+
 def test_kb_table_round_trip(spark):
     d = os.path.join(tempfile.mkdtemp(prefix="quire-io-"), "kb")
     recs = FX.kb_chunks(spark, SF_SMALL)
