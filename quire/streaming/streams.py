@@ -10,6 +10,7 @@ watermark is set; :func:`as_event_time` does the cast.
 from __future__ import annotations
 
 import json
+import pickle
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,9 +57,7 @@ def _hold(key, pdf_iter, state, ts: str, names: list[str], clock, delay_s: int,
     import pandas as pd
 
     now = pd.Timestamp(clock() if clock else state.getCurrentProcessingTimeMs(), unit="ms")
-    held = pd.DataFrame(json.loads(state.get[0]), columns=names) if state.exists else pd.DataFrame(columns=names)
-    if len(held):
-        held[ts] = pd.to_datetime(held[ts], unit="ns")
+    held = pickle.loads(state.get[0]) if state.exists else pd.DataFrame(columns=names)
     if not state.hasTimedOut:
         parts = [p for p in (held, *pdf_iter) if len(p)]
         held = pd.concat(parts, ignore_index=True) if parts else held
@@ -68,8 +67,7 @@ def _hold(key, pdf_iter, state, ts: str, names: list[str], clock, delay_s: int,
     wait = held[~due]
     if len(wait):
         left = pd.Timedelta(seconds=delay_s) - age[~due].max()
-        rows = wait.assign(**{ts: wait[ts].astype("datetime64[ns]").astype("int64")})
-        state.update((rows.to_json(orient="values"),))
+        state.update((pickle.dumps(wait.reset_index(drop=True)),))  # rows as they came, whatever their types
         state.setTimeoutDuration(max(1, int(left.total_seconds() * 1000)))
     elif state.exists:
         state.remove()
@@ -81,16 +79,17 @@ def due_messages(messages: DataFrame, key: str = "id", ts: str = "sent_at", cloc
                  delay_s: int = DELIVERY_DELAY_S, retention_s: int = RETENTION_S) -> DataFrame:
     """W2 + W3: every message once, not before the delivery delay and not
     after retention. A message younger than the delay waits in the state of
-    its ``key`` until a processing-time timer releases it; other columns must
-    be strings or numbers. ``clock`` (milliseconds) replaces the processing
-    time, as in tests."""
+    its ``key``, with columns of any type, until a processing-time timer
+    releases it (Spark returns no null elements of arrays from such state).
+    ``clock`` (milliseconds) replaces the processing time, as in
+    tests."""
     m = as_event_time(messages, ts)
     names = m.columns
 
     def hold(k, pdf_iter, state):
         return _hold(k, pdf_iter, state, ts, names, clock, delay_s, retention_s)
 
-    return m.groupBy(key).applyInPandasWithState(hold, m.schema, "rows string", "append", "ProcessingTimeTimeout")
+    return m.groupBy(key).applyInPandasWithState(hold, m.schema, "rows binary", "append", "ProcessingTimeTimeout")
 
 
 # W4

@@ -214,6 +214,24 @@ def test_fresh_message_is_delivered_later(spark):
     assert {"b"} in seen and seen[-1] == {"a", "b"}
 
 
+def test_a_held_message_keeps_columns_of_any_type(spark):
+    import datetime as dt
+    import time
+    d = _scratch()
+    sent = dt.datetime.now()
+    rows = [("a", sent, dt.datetime(2024, 2, 29, 1, 2, 3), ("x", 7), bytearray(b"\x00\xff"), [1.5, 2.5])]
+    m = spark.createDataFrame(rows, "id string, sent_at timestamp, seen timestamp, body struct<k:string,n:int>, raw binary, v array<double>")
+    m.write.parquet(os.path.join(d, "m"))
+    s = spark.readStream.schema(m.schema).parquet(os.path.join(d, "m"))
+    q = _run(ST.due_messages(s, delay_s=6), "typed", os.path.join(d, "ck"))
+    for _ in range(120):
+        if spark.table("typed").count():
+            break
+        time.sleep(0.5)
+    q.stop()
+    assert [tuple(r) for r in spark.table("typed").collect()] == [tuple(r) for r in m.collect()]
+
+
 def test_file_arrivals_once_each(spark):
     d = _scratch()
     root, out, ck = os.path.join(d, "in"), os.path.join(d, "out"), os.path.join(d, "ck")
