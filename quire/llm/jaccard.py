@@ -2,27 +2,29 @@
 
 A document's set holds 64-bit hashes of its distinct word n-grams. Equal sets
 are one class from the start. With threshold t two sets can only be similar if
-their prefixes, the first ``n - ceil(t n) + 1`` elements in one order common
-to all sets, share an element. Rare elements come first; how rare they are
-comes from a count table of fixed size over all documents (``COUNTERS`` sums by
-leading hash bits), so passages found in many documents stay out of nearly all
-prefixes. The order alone depends on it, never the result.
-
-Classes with equal size and prefix form a group; groups are filtered by the
-elements they share, then expanded to their classes. Classes that share a
-prefix element may link if sizes and positions allow enough overlap and if the
-parity bitmaps of their sets (``BITS`` bits, one toggled per element) differ
-in no more bits than the sets may differ in elements; all three filters are
-exact bounds. What passes is tested on the whole sets, computed anew from the
-texts of the classes concerned.
-
-To test every pair that could link without listing the pairs of a large group,
-stars come first: in each list of an element, split into shares of about
-``SHARE`` classes, all members are compared with the first ``PIVOTS`` in an
-order by hash, and what links is joined into components. Then, in lists that
-still hold several components, members outside the list's largest component
-are tested against the members of other components. Pairs within a component
-need no test.
+they have ``SHARED`` elements in common (or all that so small sets must have)
+among the first ``n - ceil(t n) + SHARED`` of each, in one order common to all
+sets. Rare elements come first; how rare they are comes from a count table of
+fixed size over all documents (``COUNTERS`` sums by leading hash bits), so
+passages found in many documents stay out of nearly all prefixes. The order
+alone depends on it, never the result.
+
+Classes with equal size and prefix form a group, and only groups are listed
+under their prefix elements. Each list streams by size: groups within the sizes
+that allow a link are a pair, and pairs that occur in fewer than ``SHARED``
+lists fall away. What is left is expanded to its classes and tested on the whole
+sets, computed anew from the texts of the classes concerned.
+
+Where more than ``WINDOW`` groups of a list could pair with one, where a list
+has more than ``HOT`` rows, and where a group has several classes, pairs are not
+listed. There classes are placed in the list with the parity bitmaps of their
+sets (``BITS`` bits, one toggled per element), which differ in no more bits than
+the sets may differ in elements; sizes, positions and bitmaps are exact bounds.
+Stars come first: in each such list, split into shares of about ``SHARE``
+classes, all members are compared with the first ``PIVOTS`` in an order by hash,
+and what links is joined into components. Then, in lists that still hold several
+components, members outside the list's largest component are tested against the
+members of other components. Pairs within a component need no test.
 
 Defined results: texts without words and null texts have an empty set, link
 with nothing and are their own component; fewer than n words are one element,
@@ -44,11 +46,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents, packed, unpacked, written
+from quire.llm.common import documents, packed, portions, unpacked, written
 from quire.llm.components import components
 
 WORDS, PERCENT = 3, 90
 COUNTERS, BLOCKS = 1 << 20, 64
+#: Prefix elements that two similar sets surely share.
+SHARED = 3
+#: Groups of a list that one may pair with, and rows of a list that streams through one task.
+WINDOW, HOT = 32, 20_000
 #: Bits of a set's parity bitmap.
 BITS = 512
 #: Members of a share of a list that all others are compared with, and its size.
@@ -100,9 +106,11 @@ def count_table(docs: DataFrame, n: int = WORDS) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                # a text that repeats a range counts it as often; order is all that matters
-                np.add.at(sums, (shingle_set(text, n) >> shift).astype(np.int64), 1)
+            for s, m in portions(batch.column(0)):
+                for text in batch.column(0).slice(s, m).to_pylist():
+                    # a text that repeats a range counts it as often; order is all that matters
+                    np.add.at(sums, (shingle_set(text, n) >> shift).astype(np.int64), 1)
+        _hashes.clear()  # the worker lives on, its table need not
         parts = [zlib.compress(sums[i * width:(i + 1) * width].tobytes(), 1) for i in range(BLOCKS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())],
                                          names=["block", "sums"])
@@ -122,38 +130,47 @@ def count_table(docs: DataFrame, n: int = WORDS) -> np.ndarray:
 
 
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+    return min(n, n - -(-percent * n // 100) + SHARED)
 
 
 def sets(docs: DataFrame, n: int, percent: int, shared) -> DataFrame:
     """doc_id, th (hash of the text), n_shingles, sid (128-bit name of the
-    set, null if empty), gid (hash of its size and prefix), its prefix and its
-    parity bitmap."""
+    set, null if empty), gid (hash of its size and prefix), its prefix, from
+    which place on that may have lists of more than HOT rows, and its parity
+    bitmap."""
     shift = np.uint64(64 - (COUNTERS - 1).bit_length())
-    schema = "doc_id long, th long, n_shingles long, sid binary, gid long, prefix array<long>, bits array<long>"
+    schema = "doc_id long, th long, n_shingles long, sid binary, gid long, prefix array<long>, bits array<long>, often int"
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            size, names, groups, prefixes, bits = [], [], [], [], []
-            for text in batch.column(2).to_pylist():
-                h = shingle_set(text, n)
-                size.append(len(h))
-                if not len(h):
-                    for column in (names, groups, prefixes, bits):
-                        column.append(None)
-                    continue
-                names.append(xxhash.xxh3_128_digest(h.tobytes()))
-                key = (counts[h >> shift].astype(np.uint64) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
-                first = np.argsort(key, kind="stable")[:prefix_length(len(h), percent)]
-                prefixes.append(h[first].view(np.int64))
-                groups.append(xxhash.xxh64_intdigest(h[first].tobytes(), seed=len(h)) - (1 << 63))
-                odd = np.bincount((h & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
-                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(names, pa.binary()),
-                 pa.array(groups, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
-                names=["doc_id", "th", "n_shingles", "sid", "gid", "prefix", "bits"])
+            for s, m in portions(batch.column(2)):
+                yield one(batch.slice(s, m), counts)
+        _hashes.clear()
+
+    def one(batch: pa.RecordBatch, counts: np.ndarray) -> pa.RecordBatch:
+        size, names, groups, prefixes, bits, often = [], [], [], [], [], []
+        for text in batch.column(2).to_pylist():
+            h = shingle_set(text, n)
+            size.append(len(h))
+            if not len(h):
+                for column in (names, groups, prefixes, bits, often):
+                    column.append(None)
+                continue
+            names.append(xxhash.xxh3_128_digest(h.tobytes()))
+            key = (counts[h >> shift].astype(np.uint64) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
+            first = np.argsort(key, kind="stable")[:prefix_length(len(h), percent)]
+            prefixes.append(h[first].view(np.int64))
+            # the table counts an element's whole range, so rarer ranges have shorter lists
+            often.append(int(np.searchsorted(key[first] >> np.uint64(32), HOT, "right")))
+            groups.append(xxhash.xxh64_intdigest(h[first].tobytes(), seed=len(h)) - (1 << 63))
+            odd = np.bincount((h & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+            bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(names, pa.binary()),
+             pa.array(groups, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64())),
+             pa.array(often, pa.int32())],
+            names=["doc_id", "th", "n_shingles", "sid", "gid", "prefix", "bits", "often"])
 
     return (docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), F.col("text").cast("binary"))
             .mapInArrow(build, schema))
@@ -177,6 +194,55 @@ def _alike(n1: Column, b1: str, n2: Column, b2: str, percent: int) -> Column:
     return reduce(lambda x, y: x + y, words) * (100 + percent) <= (n1 + n2) * (100 - percent)
 
 
+def _lists(posted: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``posted`` (tok, n, pos, gid) become pairs of groups (a, b; n the
+    larger size) whose sizes allow a link, or, in lists with too many of these,
+    come out as they are (a null b; a the gid)."""
+    schema = "tok long, n int, pos int, a long, b long"
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+
+        def paired(tok: np.ndarray, n: np.ndarray, pos: np.ndarray, gid: np.ndarray) -> Iterator[pa.RecordBatch]:
+            start = np.concatenate(([True], tok[1:] != tok[:-1]))
+            place = np.cumsum(start) - 1
+            span = np.int64(1) << 32
+            # rows of a list rise by size: one's partners are those after it up to the largest size allowed
+            ends = np.searchsorted(place * span + n, place * span + np.minimum(n.astype(np.int64) * 100 // percent, span - 1), "right")
+            width = ends - np.arange(len(n)) - 1
+            thick = (np.maximum.reduceat(width, np.flatnonzero(start)) > WINDOW)[place]
+            out = np.flatnonzero(thick)
+            if len(out):
+                yield pa.RecordBatch.from_arrays([*(pa.array(c[out]) for c in (tok, n, pos, gid)), pa.nulls(len(out), pa.int64())],
+                                                 names=["tok", "n", "pos", "a", "b"])
+            width[thick] = 0
+            upto = np.cumsum(width)
+            cuts = np.searchsorted(upto, np.arange(0, int(upto[-1]), 1 << 20))  # about a million pairs at once
+            for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(n)]):
+                w = width[s:e]
+                i = np.repeat(np.arange(s, e), w)
+                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(w) - w, w)
+                x, y = gid[i], gid[j]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tok[i]), pa.array(n[j]), pa.array(pos[j]), pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))],
+                    names=["tok", "n", "pos", "a", "b"])
+
+        for batch in batches:
+            cols = [np.asarray(c) for c in batch.columns]
+            if held is not None:
+                cols = [np.concatenate(c) for c in zip(held, cols)]
+            last = np.flatnonzero(cols[0][1:] != cols[0][:-1])
+            cut = int(last[-1]) + 1 if len(last) else 0  # the last list may go on
+            held = [c[cut:] for c in cols]
+            if cut:
+                yield from paired(*(c[:cut] for c in cols))
+        if held is not None and len(held[0]):
+            yield from paired(*held)
+
+    return (posted.select("tok", "n", "pos", "gid").repartition("tok").sortWithinPartitions("tok", "n", "gid")
+            .mapInArrow(scan, schema))
+
+
 def _stars(placed: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b: sids) of each list's members and pivots whose sizes and
     bitmaps allow a link. Rows stream by list; only the pivots are held."""
@@ -230,8 +296,8 @@ def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, n: int, p
             keep = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], names=["a", "b"])
 
-    one = texts.select(F.col("sid").alias("_a"), F.col("text").alias("_ta"))
-    two = texts.select(F.col("sid").alias("_b"), F.col("text").alias("_tb"))
+    one = texts.select(F.col("sid").alias("_a"), F.col("text").alias("_ta")).hint("merge")
+    two = texts.select(F.col("sid").alias("_b"), F.col("text").alias("_tb")).hint("merge")
     return (pairs.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
             .select("a", "b", "_ta", "_tb").mapInArrow(test, schema))
 
@@ -258,15 +324,41 @@ def link(spark: SparkSession, docs: DataFrame, n: int = WORDS, percent: int = PE
                                             F.first("bits").alias("bits"))
                       .select("sid", "gid", F.col("f.doc_id").alias("rep"), F.col("f.th").alias("th"), "n", "bits"), "classes")
     # groups: classes of equal size and prefix; one document of each lists its prefix
-    groups = (classes.groupBy("gid").agg(F.count("*").alias("m"), F.min(F.struct("rep", "th")).alias("f"))
-              .select(F.col("gid").alias("_g"), "m", F.col("f.rep").alias("_rep"), F.col("f.th").alias("_th")))
-    posted = (rows.join(groups, (F.col("doc_id") == F.col("_rep")) & (F.col("th") == F.col("_th")) & (F.col("gid") == F.col("_g")))
-              .select("gid", F.col("n_shingles").cast("int").alias("n"), "m", F.posexplode("prefix").alias("pos", "tok")))
-    lists = posted.groupBy("tok").agg(F.sum("m").alias("c")).where("c > 1").select(F.col("tok").alias("_tok"), "c")
-    posted = written(spark, posted.drop("m").join(lists, F.col("tok") == F.col("_tok")).drop("_tok"), "postings")
-    members = classes.select(F.col("gid").alias("_g"), "sid", "bits")
-    placed = written(spark, posted.join(members, F.col("gid") == F.col("_g"))
-                     .select("tok", "c", "n", "pos", "sid", "bits"), "placed")
+    groups = written(spark, classes.groupBy("gid").agg(F.count("*").alias("m"), F.min("sid").alias("one"), F.first("n").cast("int").alias("n"),
+                                                       F.min(F.struct("rep", "th")).alias("f")), "groups")
+    # tables here grow with the input on both sides: they are joined by sorting at every size
+    heads = groups.select(F.col("gid").alias("_g"), F.col("f.rep").alias("_rep"), F.col("f.th").alias("_th")).hint("merge")
+    posted = (rows.join(heads, (F.col("doc_id") == F.col("_rep")) & (F.col("th") == F.col("_th")) & (F.col("gid") == F.col("_g")))
+              .select("gid", F.col("n_shingles").cast("int").alias("n"), "often", F.posexplode("prefix").alias("pos", "tok")))
+    hot = written(spark, posted.where(F.col("pos") >= F.col("often")).groupBy("tok").agg(F.count("*").alias("c")).where(F.col("c") > HOT).select(F.col("tok").alias("_tok")), "hot-lists")
+    listed = posted.join(hot, F.col("tok") == F.col("_tok"), "left")
+    found = written(spark, _lists(listed.where(F.col("_tok").isNull()), percent).withColumnRenamed("a", "gid").unionByName(
+        listed.where(F.col("_tok").isNotNull()).select("tok", "n", "pos", "gid", F.lit(None).cast("long").alias("b"))), "lists")
+
+    # pairs of groups that share enough elements; those of single classes are pairs of classes
+    enough = F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))
+    near = (found.where(F.col("b").isNotNull()).groupBy(F.col("gid").alias("a"), "b").agg(F.count("*").alias("k"), F.max("n").alias("n"))
+            .where(F.col("k") >= enough).select("a", "b"))
+    side = lambda x: groups.select(F.col("gid").alias(x), F.col("m").alias(f"m{x}"), F.col("one").alias(f"s{x}"), F.col("n").alias(f"n{x}"))
+    near = written(spark, near.join(side("a"), "a").join(side("b"), "b"), "group-pairs")
+    alone = (F.col("ma") == 1) & (F.col("mb") == 1)
+    bits = lambda x: classes.select(F.col("sid").alias(f"_{x}"), F.col("bits").alias(f"b{x}"))
+    single = (near.where(alone).join(bits("sa"), F.col("sa") == F.col("_sa")).join(bits("sb"), F.col("sb") == F.col("_sb"))
+              .where(_alike(F.col("na"), "bsa", F.col("nb"), "bsb", percent))
+              .select(F.greatest("sa", "sb").alias("a"), F.least("sa", "sb").alias("b")))
+    # all other pairs and each group of several classes are lists of their own
+    own = lambda tok, gid, n: F.struct(tok.alias("tok"), n.alias("n"), F.lit(0).alias("pos"), gid.alias("gid"))
+    both = F.xxhash64("a", "b")
+    dense = (near.where(~alone).select(F.explode(F.array(own(both, F.col("a"), F.col("na")), own(both, F.col("b"), F.col("nb")))).alias("x")).select("x.*")
+             .unionByName(groups.where("m > 1").select(own(F.xxhash64("gid"), F.col("gid"), F.col("n")).alias("x")).select("x.*"))
+             .unionByName(found.where(F.col("b").isNull()).select("tok", "n", "pos", "gid")))
+    dense = written(spark, dense, "dense-lists")  # rows of 24 bytes, without names of classes
+    sizes = dense.join(groups.select(F.col("gid").alias("_g"), "m"), F.col("gid") == F.col("_g")).groupBy(F.col("tok").alias("_tok")).agg(F.sum("m").alias("c"))
+    dense = written(spark, dense.join(sizes, F.col("tok") == F.col("_tok")).select("tok", "c", "n", "pos", "gid"), "sized-lists")
+    members = classes.select(F.col("gid").alias("_g"), "sid", "bits").hint("merge")
+    # bitmaps travel to the stars alone; later steps fetch those of the few classes that are left
+    mapped = dense.join(members, F.col("gid") == F.col("_g")).select("tok", "c", "n", "sid", "bits")
+    placed = dense.join(members, F.col("gid") == F.col("_g")).select("tok", "n", "pos", "sid")
 
     def rooted(df: DataFrame, over: DataFrame) -> DataFrame:
         """``root`` replaced by the root of its component in ``over``."""
@@ -293,13 +385,14 @@ def link(spark: SparkSession, docs: DataFrame, n: int = WORDS, percent: int = PE
 
     near_ = lambda n1, b1, n2, b2: (
         _could(F.col(n1), F.col(n2), percent) & _alike(F.col(n1), b1, F.col(n2), b2, percent))
-    found = test(_stars(placed, percent).select("a", "b", F.col("a").alias("ra"), F.col("b").alias("rb")))
+    found = test(_stars(mapped, percent).unionByName(single).select("a", "b", F.col("a").alias("ra"), F.col("b").alias("rb")))
     over = components(spark, found)
-    placed = rooted(placed.drop("c").withColumn("root", F.col("sid")), over)
+    placed = written(spark, rooted(placed.withColumn("root", F.col("sid")), over), "placed")
     named = written(spark, rooted(classes.select("sid", "rep", F.col("sid").alias("root")), over), "roots")
 
     # the rest: members outside a list's largest component against other components
-    open_ = written(spark, several(placed), "open")
+    left = written(spark, several(placed), "several")
+    open_ = written(spark, left.join(classes.select(F.col("sid").alias("_s"), "bits"), F.col("sid") == F.col("_s")).drop("_s"), "open")
     x = open_.where(F.col("root") != F.col("hub")).select(
         *[F.col(c).alias(f"x{c}") for c in ("tok", "n", "pos", "sid", "bits", "root")])
     cross = (x.join(open_, (F.col("xtok") == F.col("tok")) & (F.col("xroot") != F.col("root"))
@@ -312,8 +405,8 @@ def link(spark: SparkSession, docs: DataFrame, n: int = WORDS, percent: int = PE
         named = rooted(named, components(spark, late))
 
     least = named.groupBy("root").agg(F.min("rep").alias("component"))
-    ids = written(spark, named.join(least.withColumnRenamed("root", "_r"), F.col("root") == F.col("_r"))
-                  .select(F.col("sid").alias("_sid"), "component", "root"), "class-components")
+    ids = written(spark, named.join(least.withColumnRenamed("root", "_r").hint("merge"), F.col("root") == F.col("_r"))
+                  .select(F.col("sid").alias("_sid"), "component", "root"), "class-components").hint("merge")
     own = F.col("doc_id")
     return (rows.join(ids, F.col("sid") == F.col("_sid"), "left")
             .select("doc_id", "th", "n_shingles", F.when(own.isNotNull(), F.coalesce("component", own)).alias("component_id"),
