@@ -56,10 +56,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                      pa.array(start + ends - n), pa.array(n), ids], names=names)
                 start += int(ends[-1])
 
-    # the hash and the row number part equal doc_ids, so that no range is stuck with them
+    # the row number parts equal doc_ids, so that no range is stuck with them; the ranges are found without texts
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = rows.withColumn("_h", F.xxhash64("text")).withColumn("_r", F.monotonically_increasing_id())
-    ranged = keyed.repartitionByRange("doc_id", "_h", "_r").sortWithinPartitions("doc_id", "_h", "_r")
+    keyed = rows.withColumn("_r", F.monotonically_increasing_id())
+    ranged = keyed.repartitionByRange("doc_id", "_r").sortWithinPartitions("doc_id", "_r")
     (ranged.select("doc_id", "text").mapInArrow(encode, FILE_SCHEMA).write
      .option("compression", "zstd")
      .option("orc.stripe.size", str(STRIPE_BYTES))
