@@ -98,6 +98,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, capac
                     cols.append(pa.array([np.frombuffer(p, "<u4").astype(np.int32) for p in rows[5]],
                                          pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        enc.forget()
 
     schema = PIECES + (", ids array<int>" if with_ids else "")
     names = [c.strip().split(" ")[0] for c in schema.split(",")]

@@ -55,6 +55,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                     [docs_.slice(a, b - a), pa.array(np.full(len(n), part, dtype=np.int32)),
                      pa.array(start + ends - n), pa.array(n), ids], names=names)
                 start += int(ends[-1])
+        enc.forget()
 
     # the row number parts equal doc_ids, so that no range is stuck with them; the ranges are found without texts
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

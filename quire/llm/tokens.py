@@ -156,6 +156,10 @@ class WordEncoder:
             got[w] = self._plain(w) if core is None else (got[core] if core in got else known[core]) + end[tail]
         return got
 
+    def forget(self) -> None:
+        """At a task's end: the worker lives on, its table need not."""
+        self.words = {"": b""}
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [[] if t is None else t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
                  for t in texts]
