@@ -133,3 +133,37 @@ def test_table_of_the_app(spark):
     from quire.plans import q_retrieve as Q
     rows = Q.answer_questions_filtered(spark, SF_SMALL).collect()
     assert len(rows) == q.count() and all(len(r.contexts) <= 5 for r in rows)
+
+
+@pytest.mark.parametrize("search", [RT.bm25_topk, RT.semantic_topk])
+@pytest.mark.parametrize("prune", [False, True])
+def test_a_search_shuffles_postings_not_pairs(spark, path, search, prune, monkeypatch):
+    """Copies tie, parts hold few chunks; the first of the copies' ids win."""
+    monkeypatch.setattr(RT, "PART_CHUNKS", 16)
+    rows = [(i, text(3, 12) if i % 3 else text(i, 12), "a") for i in range(150)]
+    chunks = chunk_fixed(docs(spark, rows), 16, 25)
+    idx = KB.write_index(chunks, path, ("kind",))
+    asked = spark.createDataFrame([(1, "ash cedar only3"), (2, "willow yew elm oak oak"), (3, "absent"), (4, "only9 pine")], "qid long, question string")
+    found = search(idx, asked, 4, prune=prune)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "hashpartitioning(qid#" in plan and "keys=[qid" not in plan.split("MapInArrow")[0]
+    scores = (RT.bm25_scores if search is RT.bm25_topk else RT.semantic_scores)(idx, asked)
+    scores = scores.select("qid", "doc_id", "chunk_no", "score", RT.chunk_key_id().alias("chunk_id")).where("score > 0").collect()
+    want = []
+    for q in (1, 2, 4):
+        best = sorted((r for r in scores if r.qid == q), key=lambda r: (-round(r.score, 9), r.chunk_id))[:4]
+        want += [(q, i + 1, r.doc_id, r.chunk_no, round(r.score, 9)) for i, r in enumerate(best)]
+    got = sorted((r.qid, r["rank"], r.doc_id, r.chunk_no, round(r.score, 9)) for r in found.collect())
+    assert got == want
+
+
+def test_words_are_counted_before_the_shuffle(spark, path):
+    chunks = docs(spark, [(1, "Ash ash, birch", "a"), (2, "", "a"), (3, None, "b"), (4, "ash 42 ümlaut ümlaut", "b"), (4, "ash 42 ümlaut ümlaut", "b")])
+    chunks = chunks.withColumn("chunk_no", F.lit(0))
+    posted = KB._postings(chunks.withColumn("dl", F.size(RT.tx.word_tokens("text"))), ("kind",), 3, 5)
+    plan = posted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("RepartitionByExpression")  # a posting is made after its row moved
+    got = sorted((r.doc_id, r.kind, r.dl, r.term, r.tf) for r in posted.collect())
+    assert got == [(1, "a", 3, "ash", 2), (1, "a", 3, "birch", 1), (4, "b", 4, "42", 2), (4, "b", 4, "ash", 2), (4, "b", 4, "ümlaut", 4)]
+    idx = KB.write_index(chunks, path, ("kind",))
+    assert sorted((r.doc_id, r.term, r.tf) for r in idx.postings.collect()) == [(a, d, e) for a, _, _, d, e in got]
