@@ -129,17 +129,7 @@ def normalize_table(blocks: DataFrame, content: str = "content", row_regex: str
     already is replaced. Other lines stay where they are, so tables with text
     between them stay apart. ``n_rows`` counts table rows without separators,
     ``n_cols`` is the widest table's. Blocks without table rows are dropped."""
-    line = F.split(F.col(content), "\n")
-    # runs of lines: (is a table, its lines)
-    start = F.array().cast("array<struct<t:boolean,lines:array<string>>>")
-
-    def add(runs: Column, l: Column) -> Column:
-        t = l.rlike(row_regex)
-        last = F.get(runs, F.size(runs) - 1)
-        grown = F.struct(t.alias("t"), F.concat(last["lines"], F.array(l)).alias("lines"))
-        fresh = F.struct(t.alias("t"), F.array(l).alias("lines"))
-        return F.when((F.size(runs) > 0) & (last["t"] == t),
-                      F.concat(F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(grown))).otherwise(F.concat(runs, F.array(fresh)))
+    is_row = lambda l: l.rlike(row_regex)
 
     def cells(lines: Column) -> Column:
         rows = F.filter(lines, lambda r: ~r.rlike(SEPARATOR_RE))
@@ -153,13 +143,17 @@ def normalize_table(blocks: DataFrame, content: str = "content", row_regex: str
                                      F.slice(made, F.lit(2), F.greatest(F.size(made) - 1, F.lit(0)))), "\n")
 
     width = lambda c: F.coalesce(F.array_max(F.transform(c, lambda x: F.size(x))), F.lit(0))
-    b = blocks.withColumn("_r", F.aggregate(line, start, add))
+    b = blocks.withColumn("_l", F.split(F.col(content), "\n"))
+    b = b.where(F.exists("_l", lambda l: is_row(l) & ~l.rlike(SEPARATOR_RE))).withColumn("_t", F.transform("_l", is_row))
+    # runs of lines: (is a table, its lines), cut out by where they start
+    b = b.withColumn("_s", F.filter(F.sequence(F.lit(0), F.size("_l") - 1), lambda i: (i == 0) | (F.get("_t", i) != F.get("_t", i - 1))))
+    b = b.withColumn("_r", F.transform("_s", lambda s, j: F.struct(F.get("_t", s).alias("t"), F.slice(
+        "_l", s + 1, F.coalesce(F.get("_s", j + 1), F.size("_l")) - s).alias("lines"))))
     b = b.withColumn("_c", F.transform("_r", lambda r: F.when(r["t"], cells(r["lines"]))))
-    b = b.where(F.exists("_c", lambda c: F.coalesce(F.size(c) > 0, F.lit(False))))
     text = F.zip_with("_r", "_c", lambda r, c: F.when(r["t"], table_text(c, width(c))).otherwise(F.array_join(r["lines"], "\n")))
     return (b.withColumn("n_cols", F.array_max(F.transform("_c", lambda c: F.when(c.isNotNull(), width(c)))))
             .withColumn("n_rows", F.aggregate("_c", F.lit(0), lambda a, c: a + F.when(c.isNull(), 0).otherwise(F.size(c))))
-            .withColumn("markdown", F.array_join(F.filter(text, lambda x: x != ""), "\n")).drop("_r", "_c"))
+            .withColumn("markdown", F.array_join(F.filter(text, lambda x: x != ""), "\n")).drop("_l", "_t", "_s", "_r", "_c"))
 
 
 def sheet_to_page(rows: DataFrame) -> DataFrame:

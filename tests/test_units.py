@@ -402,3 +402,17 @@ def test_sharded_search_searches_every_shard(spark):
     for shards in (1, 3, 7):
         got = [r.id for r in RT.knn_sharded(idx, q, 5, shards).orderBy("rank").collect()]
         assert got == [10, 11, 9, 12, 8]
+
+
+def test_normalize_table_cuts_long_blocks_out_of_their_lines(spark):
+    """Runs of lines are slices, not arrays grown line by line."""
+    lines = [f"| {i} | x |" if i % 700 else f"text {i}" for i in range(3000)]
+    blk = spark.createDataFrame([(1, 1, "\n".join(lines)), (2, 1, "no table"), (3, 1, "|-|-|"), (4, 1, None)], "doc_id long, block_no int, content string")
+    got = PG.normalize_table(blk)
+    assert "aggregate(split(" not in got._jdf.queryExecution().analyzed().toString()
+    r = got.collect()
+    assert [x.doc_id for x in r] == [1] and (r[0].n_cols, r[0].n_rows) == (2, 3000 - 5)
+    want = []
+    for i, x in enumerate(lines):
+        want += [x] if i % 700 == 0 else [x, "|-|-|"] if i % 700 == 1 else [x]
+    assert r[0].markdown == "\n".join(want)
