@@ -26,8 +26,7 @@ def answer_questions(chunks: DataFrame | None, questions: DataFrame, k: int = 3,
     needed where no index (``idx``, in memory or stored) is given.
     """
     idx = (idx or RT.build_index(chunks)).where(flt)
-    ranked = RT.hybrid_topk(idx, questions, k, search_type=search_type)
-    ranked = ranked.join(idx.chunks.select("doc_id", "chunk_no", "text"), ["doc_id", "chunk_no"])
+    ranked = RT.with_text(RT.hybrid_topk(idx, questions, k, search_type=search_type), idx)
     per_q = ranked.groupBy("qid").agg(
         F.array_sort(F.collect_list(F.struct("rank", "text", "doc_id"))).alias("_r"))
     j = questions.join(per_q, "qid", "left")

@@ -167,3 +167,18 @@ def test_words_are_counted_before_the_shuffle(spark, path):
     assert got == [(1, "a", 3, "ash", 2), (1, "a", 3, "birch", 1), (4, "b", 4, "42", 2), (4, "b", 4, "ash", 2), (4, "b", 4, "ümlaut", 4)]
     idx = KB.write_index(chunks, path, ("kind",))
     assert sorted((r.doc_id, r.term, r.tf) for r in idx.postings.collect()) == [(a, d, e) for a, _, _, d, e in got]
+
+
+def test_ranked_lists_go_to_the_texts(spark, path, questions):
+    idx = KB.write_index(chunk_fixed(docs(spark, [(i, text(i), "a") for i in range(40)]), 16, 25), path, ("kind",))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # what a large table of chunks meets
+    try:
+        found = RT.with_text(RT.bm25_topk(idx, questions, 3), idx)
+        plan = found._jdf.queryExecution().executedPlan().toString().split("InMemoryTableScan")[0]
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        texts = {(r.doc_id, r.chunk_no): r.text for r in idx.chunks.collect()}
+        got = found.collect()
+        assert len(got) == RT.bm25_topk(idx, questions, 3).count() and all(r.text == texts[r.doc_id, r.chunk_no] for r in got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
