@@ -182,3 +182,22 @@ def test_ranked_lists_go_to_the_texts(spark, path, questions):
         assert len(got) == RT.bm25_topk(idx, questions, 3).count() and all(r.text == texts[r.doc_id, r.chunk_no] for r in got)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_texts_are_not_shuffled_by_a_build(spark):
+    """An id of several documents has a row of metadata for each, null has none."""
+    from quire.plans import q_retrieve as Q
+    folder = scratch_path(spark, f"docs-{uuid4().hex}")
+    rows = [(1, text(1)), (2, text(2)), (2, text(9)), (3, None), (4, ""), (None, text(5)), (367, text(6))]
+    (spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("s")).withColumn("lang", F.lit("en"))
+     .write.parquet(f"{folder}/documents.parquet"))
+    chunks, meta = FX.kb_chunks(spark, folder).select("doc_id", "chunk_no", "text"), FX.kb_meta(spark, folder).select("doc_id", *Q.META)
+    got = FX.kb_chunks_meta(spark, folder)
+    key = lambda d: sorted(map(repr, d.select("doc_id", "chunk_no", "text", *Q.META).collect()))
+    assert key(got) == key(chunks.join(meta, "doc_id")) and got.where("doc_id = 2").count() == 4
+    plan = got._jdf.queryExecution().executedPlan().toString().split("InMemoryTableScan")[0]
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    idx = Q.build_kb(spark, folder)
+    assert idx.n_chunks == got.count()
+    files = {r[0].rsplit("/", 1)[1] for r in idx.chunks.select(F.input_file_name()).distinct().collect()}
+    assert len(files) <= got.rdd.getNumPartitions()  # a file a task, not one for each bucket
