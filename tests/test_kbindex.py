@@ -1,5 +1,6 @@
 """Stored index: search, filters, syncs and compaction against fresh builds."""
 
+import math
 import threading
 from uuid import uuid4
 
@@ -201,3 +202,19 @@ def test_texts_are_not_shuffled_by_a_build(spark):
     assert idx.n_chunks == got.count()
     files = {r[0].rsplit("/", 1)[1] for r in idx.chunks.select(F.input_file_name()).distinct().collect()}
     assert len(files) <= got.rdd.getNumPartitions()  # a file a task, not one for each bucket
+
+
+@pytest.mark.parametrize("common", [0, 3, 1 << 18])
+def test_norms_move_rare_terms_only(spark, path, common, monkeypatch):
+    monkeypatch.setattr(KB, "COMMON_TERMS", common)
+    idx = KB.write_index(chunk_fixed(docs(spark, [(i, text(i), "a") for i in range(40)]), 16, 25), path, ("kind",))
+    bar, dfs = KB._common_bar(idx._dfs()), {r.term: r.df for r in idx._dfs().collect()}
+    assert sum(n >= bar for n in dfs.values()) <= common and (bar == 1 or sum(n >= bar // 2 for n in dfs.values()) > common)
+    want = {}
+    for r in idx.postings.collect():
+        at = (r.doc_id, r.chunk_no)
+        want[at] = want.get(at, 0.0) + (r.tf * math.log((idx.n_chunks + 1.0) / (dfs[r.term] + 1.0))) ** 2
+    got = {(r.doc_id, r.chunk_no): r.tfidf_norm for r in idx.norms().collect()}
+    assert got == {k: pytest.approx(math.sqrt(v)) for k, v in want.items()}
+    counted = {r.term: r.n for r in idx._sums("blocks").groupBy("term").agg(F.sum("df").alias("n")).collect()}
+    assert counted == dfs
