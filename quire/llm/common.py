@@ -18,6 +18,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = b" \t\n\x0b\x0c\r"
 #: Bytes of a row group in tables written between steps.
 ROW_GROUP = 32 << 20
+#: 64-bit words of the bit table of ``maybe_among``: as many whatever the input's size.
+FILTER_WORDS = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +48,22 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def maybe_among(rows: DataFrame, columns: list[str], keys: DataFrame, words: int = FILTER_WORDS) -> DataFrame:
+    """``rows`` with ``_maybe``: false where ``columns`` surely equal no row of
+    ``keys`` (the same number of columns), so that only the others need to move
+    to be joined. The bits of the keys' hashes are broadcast, a table of at most
+    ``words`` rows; more keys make it less sharp, never wrong."""
+    def place(names: list[str], df: DataFrame) -> DataFrame:
+        h = F.xxhash64(*names)
+        bit = F.expr("shiftleft(1L, cast(shiftright(_key, 56) & 63 as int))")
+        return df.withColumn("_key", h).withColumn("_word", F.pmod("_key", F.lit(words))).withColumn("_bit", bit).drop("_key")
+
+    table = place(keys.columns, keys).groupBy(F.col("_word").alias("_at")).agg(F.bit_or("_bit").alias("_bits"))
+    joined = place(columns, rows).join(F.broadcast(table), F.col("_word") == F.col("_at"), "left")
+    return (joined.withColumn("_maybe", F.coalesce(F.col("_bits").bitwiseAND(F.col("_bit")) != 0, F.lit(False)))
+            .drop("_word", "_bit", "_at", "_bits"))
+
+
 def packed(docs: DataFrame, name: str = "row") -> Column:
     """All columns as one struct: what an operator adds cannot clash with
     columns that it only passes through."""

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents, packed, portions, unpacked, written
+from quire.llm.common import documents, maybe_among, packed, portions, unpacked, written
 from quire.llm.components import components
 
 WORDS, PERCENT = 3, 90
@@ -59,7 +59,7 @@ WINDOW, HOT = 32, 20_000
 BITS = 512
 #: Members of a share of a list that all others are compared with, and its size.
 PIVOTS, SHARE = 8, 20_000
-MAX_WORDS = 300_000
+MAX_WORDS = 100_000
 PRIMES = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
                    0x27D4EB2F165667C5, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -306,10 +306,13 @@ def _texts(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Data
     """sid and text (binary) of the classes named in ``pairs``."""
     named = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
     wanted = classes.join(named, "sid", "left_semi").select("sid", F.col("rep").alias("_rep"), F.col("th").alias("_th"))
-    wanted = written(spark, wanted, "wanted")  # small tables are seen to be small before texts would move
-    found = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
-    rows = found.join(wanted, (F.col("doc_id") == F.col("_rep")) & (F.col("th") == F.col("_th"))).select("sid", "text")
-    return written(spark, rows.dropDuplicates(["sid"]), "class-texts")
+    wanted = written(spark, wanted, "wanted")
+    found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
+             .where(F.col("doc_id").isNotNull()))
+    # texts move once, and at no size more than the wanted ones and some that share their bits
+    found = maybe_among(found, ["doc_id", "th"], wanted.select("_rep", "_th")).where("_maybe").drop("_maybe")
+    rows = found.join(wanted.hint("merge"), (F.col("doc_id") == F.col("_rep")) & (F.col("th") == F.col("_th")))
+    return written(spark, rows.dropDuplicates(["doc_id", "th", "sid"]).select("sid", "text"), "class-texts")
 
 
 def link(spark: SparkSession, docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -425,10 +428,17 @@ def keep_one(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80
             .groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).agg(F.max(stays).alias("_once")))
     acts = written(spark, acts, "drops")
     keyed = docs.select(packed(docs), F.col("doc_id").cast("long").alias("_d"), F.xxhash64("text").alias("_h"))
-    joined = keyed.join(acts, (F.col("_d") == F.col("_doc")) & (F.col("_h") == F.col("_th")), "left")
-    rest = joined.where(F.col("_doc").isNull()).select("row")
-    once = joined.where("_once").dropDuplicates(["_doc", "_th"]).select("row")
-    return rest.unionByName(once).select(*unpacked(docs))
+
+    def met(some: DataFrame, how: str) -> DataFrame:
+        """Of the rows that may be in ``some``, those that are or are not."""
+        near = maybe_among(keyed, ["_d", "_h"], some).where(F.col("_maybe") & F.col("_d").isNotNull())
+        return near.join(some.hint("merge"), (F.col("_d") == F.col("_doc")) & (F.col("_h") == F.col("_th")), how)
+
+    some = acts.select("_doc", "_th")
+    clear = maybe_among(keyed, ["_d", "_h"], some).where(~F.col("_maybe") | F.col("_d").isNull()).select("row")
+    rest = met(some, "left_anti").select("row")
+    once = met(acts.where("_once").select("_doc", "_th"), "left_semi").dropDuplicates(["_d", "_h"]).select("row")
+    return clear.unionByName(rest).unionByName(once).select(*unpacked(docs))
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

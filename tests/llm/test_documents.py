@@ -8,10 +8,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quire.llm import jaccard, langid, mixing, packing, pii, quality, token_files
-from quire.llm.common import documents, new_folder
+from quire.llm.common import documents, maybe_among, new_folder
 from quire.llm.tokens import WordEncoder, default_tokenizer
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import odd_rows, prose
@@ -207,6 +208,59 @@ def test_keep_one(spark, odd):
     assert 1 not in kept and 0 in kept and kept.count(7) == 2 and kept.count(None) == 2
 
 
+def rows_moved(df):
+    """Rows that the exchanges of ``df`` wrote when it was collected."""
+    todo, moved = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        plan = todo.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(plan.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                moved.append(plan.metrics().apply("shuffleRecordsWritten").value())
+            children = plan.children()
+            todo += [children.apply(i) for i in range(children.size())]
+    return moved
+
+
+def test_texts_that_are_not_wanted_do_not_move(spark, monkeypatch):
+    rows = [(i, prose(1000 + i, 40)) for i in range(2000)]
+    near = [(5000 + i, rows[i][1] + " tail") for i in range(20)]
+    docs = spark.createDataFrame(rows + near + rows[:3] + [(None, rows[0][1]), (None, None)], "doc_id int, text string")
+    plain, moved = jaccard.written, []
+    docs = plain(spark, docs, "test-docs")
+
+    def watched(session, df, name):
+        if name == "class-texts":
+            df.collect()
+            moved.extend(rows_moved(df))
+        return plain(session, df, name)
+
+    monkeypatch.setattr(jaccard, "written", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the keys are many
+    try:
+        kept = jaccard.keep_one(spark, docs, 3, 90)
+        got = Counter(r["doc_id"] for r in kept.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == Counter(list(range(2000)) + [None, None])
+    assert moved and max(moved) < 100 and max(rows_moved(kept)) < 100
+
+
+def test_maybe_among_misses_nothing(spark):
+    keys = spark.range(0, 3000, 3).select(F.col("id").alias("k"), (F.col("id") * 7).alias("h"))
+    rows = spark.range(3000).select("id", (F.col("id") * 7).alias("_h"), F.lit("x").alias("text"))
+    for words, most in ((1 << 20, 1010), (64, 2000), (1, 3000)):
+        got = maybe_among(rows, ["id", "_h"], keys, words)
+        assert got.columns == ["id", "_h", "text", "_maybe"] and got.count() == 3000
+        found = {r["id"] for r in got.where("_maybe").collect()}
+        assert found >= set(range(0, 3000, 3)) and len(found) <= most
+    assert maybe_among(rows, ["id", "_h"], keys.limit(0)).where("_maybe").isEmpty()
+
+
 def test_mixing(spark, odd, none):
     rows = mixing.mix(spark, odd).collect()
     size = lambda t: len(WORDS.findall(t or ""))
