@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 import numpy as np
@@ -48,6 +49,19 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Within, Spark hands Python at most ``rows`` rows at a time: rows of whole
+    texts are long, and both sides hold a batch of them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows if int(before) <= 0 else min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def maybe_among(rows: DataFrame, columns: list[str], keys: DataFrame, words: int = FILTER_WORDS) -> DataFrame:
     """``rows`` with ``_maybe``: false where ``columns`` surely equal no row of
     ``keys`` (the same number of columns), so that only the others need to move

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents, maybe_among, packed, portions, unpacked, written
+from quire.llm.common import documents, maybe_among, packed, portions, small_batches, unpacked, written
 from quire.llm.components import components
 
 WORDS, PERCENT = 3, 90
@@ -77,6 +77,12 @@ class WordHashes(dict):
 _hashes = WordHashes()
 
 
+def forget() -> None:
+    """At a task's end: the worker lives on, its table and free buffers need not."""
+    _hashes.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * PRIMES[5]
     h = (h ^ (h >> np.uint64(29))) * PRIMES[6]
@@ -110,7 +116,7 @@ def count_table(docs: DataFrame, n: int = WORDS) -> np.ndarray:
                 for text in batch.column(0).slice(s, m).to_pylist():
                     # a text that repeats a range counts it as often; order is all that matters
                     np.add.at(sums, (shingle_set(text, n) >> shift).astype(np.int64), 1)
-        _hashes.clear()  # the worker lives on, its table need not
+        forget()
         parts = [zlib.compress(sums[i * width:(i + 1) * width].tobytes(), 1) for i in range(BLOCKS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())],
                                          names=["block", "sums"])
@@ -146,7 +152,7 @@ def sets(docs: DataFrame, n: int, percent: int, shared) -> DataFrame:
         for batch in batches:
             for s, m in portions(batch.column(2)):
                 yield one(batch.slice(s, m), counts)
-        _hashes.clear()
+        forget()
 
     def one(batch: pa.RecordBatch, counts: np.ndarray) -> pa.RecordBatch:
         size, names, groups, prefixes, bits, often = [], [], [], [], [], []
@@ -286,15 +292,17 @@ def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, n: int, p
         for batch in batches:
             a, b, ta, tb = (batch.column(i) for i in range(4))
             keep, last, left = [], None, None
-            for i, (x, y) in enumerate(zip(ta.to_pylist(), tb.to_pylist())):
-                if y != last:
-                    last, left = y, shingle_set(y, n)
-                right = shingle_set(x, n)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                if 100 * both >= percent * (len(left) + len(right) - both):
-                    keep.append(i)
+            for s, m in portions(ta):  # the texts of similar sizes come in twos, so both are held bit by bit
+                for i, (x, y) in enumerate(zip(ta.slice(s, m).to_pylist(), tb.slice(s, m).to_pylist()), s):
+                    if y != last:
+                        last, left = y, shingle_set(y, n)
+                    right = shingle_set(x, n)
+                    both = len(np.intersect1d(left, right, assume_unique=True))
+                    if 100 * both >= percent * (len(left) + len(right) - both):
+                        keep.append(i)
             keep = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], names=["a", "b"])
+        forget()
 
     one = texts.select(F.col("sid").alias("_a"), F.col("text").alias("_ta")).hint("merge")
     two = texts.select(F.col("sid").alias("_b"), F.col("text").alias("_tb")).hint("merge")
@@ -319,8 +327,9 @@ def link(spark: SparkSession, docs: DataFrame, n: int = WORDS, percent: int = PE
     """doc_id, th, n_shingles, component_id (the smallest doc_id reached over
     links) and root (a name of the component, null for rows that cannot link)
     of every row."""
-    shared = spark.sparkContext.broadcast(count_table(docs, n))
-    rows = written(spark, sets(docs, n, percent, shared), "sets")
+    with small_batches(spark):
+        shared = spark.sparkContext.broadcast(count_table(docs, n))
+        rows = written(spark, sets(docs, n, percent, shared), "sets")
     first = F.min(F.struct("doc_id", "th"))
     classes = written(spark, rows.where(F.col("sid").isNotNull() & F.col("doc_id").isNotNull())
                       .groupBy("sid").agg(first.alias("f"), F.first("n_shingles").alias("n"), F.first("gid").alias("gid"),
@@ -376,8 +385,9 @@ def link(spark: SparkSession, docs: DataFrame, n: int = WORDS, percent: int = PE
             return pairs.select(F.col("ra").alias("a"), F.col("rb").alias("b"))
         good = _verified(spark, pairs.select("a", "b"), _texts(spark, docs, classes, pairs), n, percent)
         back = pairs.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "ra", "rb")
-        return written(spark, good.join(back, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")))
-                       .select(F.col("ra").alias("a"), F.col("rb").alias("b")), "links")
+        with small_batches(spark):
+            return written(spark, good.join(back, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")))
+                           .select(F.col("ra").alias("a"), F.col("rb").alias("b")), "links")
 
     def several(df: DataFrame) -> DataFrame:
         """Rows in lists of more than one component, with the list's largest."""

@@ -250,6 +250,21 @@ def test_texts_that_are_not_wanted_do_not_move(spark, monkeypatch):
     assert moved and max(moved) < 100 and max(rows_moved(kept)) < 100
 
 
+def test_texts_of_pairs_are_tested_in_small_batches(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, plain, seen = spark.conf.get(key), jaccard.written, {}
+
+    def watched(session, df, name):
+        seen[name] = int(session.conf.get(key))
+        return plain(session, df, name)
+
+    monkeypatch.setattr(jaccard, "written", watched)
+    docs = spark.createDataFrame([(i, prose(i // 2, 60) + " x" * (i % 2)) for i in range(8)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.link(spark, docs).collect()}
+    assert got == {i: i - i % 2 for i in range(8)}
+    assert seen["sets"] <= 500 and seen["links"] <= 500 < seen["classes"] and spark.conf.get(key) == before
+
+
 def test_maybe_among_misses_nothing(spark):
     keys = spark.range(0, 3000, 3).select(F.col("id").alias("k"), (F.col("id") * 7).alias("h"))
     rows = spark.range(3000).select("id", (F.col("id") * 7).alias("_h"), F.lit("x").alias("text"))
