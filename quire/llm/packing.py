@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents, written
+from quire.llm.common import documents, small_batches, written
 from quire.llm.tokens import default_tokenizer, encoder, slices
 
 CAPACITY = 4096
@@ -142,7 +142,8 @@ def pack(spark: SparkSession, cut: DataFrame, capacity: int = CAPACITY, per_shar
 def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, end_id: int = 1,
                    capacity: int = CAPACITY, per_shard: int = PER_SHARD) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece."""
-    cut = written(spark, pieces(docs, tokenizer, end_id, capacity), "pieces")
+    with small_batches(spark):
+        cut = written(spark, pieces(docs, tokenizer, end_id, capacity), "pieces")
     return pack(spark, cut, capacity, per_shard)
 
 

@@ -265,6 +265,19 @@ def test_texts_of_pairs_are_tested_in_small_batches(spark, monkeypatch):
     assert seen["sets"] <= 500 and seen["links"] <= 500 < seen["classes"] and spark.conf.get(key) == before
 
 
+def test_texts_are_cut_in_small_batches(spark, odd, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, plain, seen = spark.conf.get(key), packing.written, {}
+
+    def watched(session, df, name):
+        seen[name] = int(session.conf.get(key))
+        return plain(session, df, name)
+
+    monkeypatch.setattr(packing, "written", watched)
+    assert packing.pack_documents(spark, odd).count() >= odd.count()
+    assert seen["pieces"] <= 500 < seen["packed"] and spark.conf.get(key) == before
+
+
 def test_maybe_among_misses_nothing(spark):
     keys = spark.range(0, 3000, 3).select(F.col("id").alias("k"), (F.col("id") * 7).alias("h"))
     rows = spark.range(3000).select("id", (F.col("id") * 7).alias("_h"), F.lit("x").alias("text"))
