@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents, small_batches, written
-from quire.llm.tokens import default_tokenizer, encoder, slices
+from quire.llm.common import documents, portions, small_batches, written
+from quire.llm.tokens import HELD, default_tokenizer, encoder
 
 CAPACITY = 4096
 PER_SHARD = 20_000
@@ -83,10 +83,10 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, capac
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            for a, size in portions(texts, HELD):
                 rows: list[list] = [[], [], [], [], [], []]
-                for doc, raw in zip(ids[a:b], enc.encode(texts[a:b])):
+                for doc, raw in zip(ids[a:a + size], enc.encode(texts.slice(a, size))):
                     raw += end
                     for k, s in enumerate(range(0, len(raw), width)):
                         part = raw[s:s + width]

@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents, new_folder
-from quire.llm.tokens import default_tokenizer, encoder, slices
+from quire.llm.common import documents, new_folder, portions
+from quire.llm.tokens import HELD, default_tokenizer, encoder
 
 END_ID = 2
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
@@ -38,21 +38,21 @@ STRIPE_BYTES, INDEX_ROWS = 16 << 20, 1000
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID) -> None:
     """Tokenise ``docs`` (doc_id, text) into ORC files under ``path``."""
     vocabulary = tokenizer or default_tokenizer()
-    end = np.array([end_id], dtype="<u4").tobytes()
     names = [c.split(" ")[0] for c in FILE_SCHEMA.split(", ")]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, start = encoder(vocabulary), TaskContext.get().partitionId(), 0
         for batch in batches:
-            docs_, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                raw = [x + end for x in enc.encode(texts[a:b])]
-                n = np.array([len(x) // 4 for x in raw], dtype=np.int64)
-                ends = np.cumsum(n)
+            docs_, texts = batch.column(0), batch.column(1)
+            for a, size in portions(texts, HELD):
+                own = enc.ids(texts.slice(a, size))
+                at = np.asarray(own.offsets)
+                ends = at[1:] + np.arange(1, size + 1)
+                n = np.diff(ends, prepend=0)
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)),
-                                               pa.array(np.frombuffer(b"".join(raw), "<i4")))
+                                               pa.array(np.insert(np.asarray(own.values), at[1:], end_id)))
                 yield pa.RecordBatch.from_arrays(
-                    [docs_.slice(a, b - a), pa.array(np.full(len(n), part, dtype=np.int32)),
+                    [docs_.slice(a, size), pa.array(np.full(size, part, dtype=np.int32)),
                      pa.array(start + ends - n), pa.array(n), ids], names=names)
                 start += int(ends[-1])
         enc.forget()

@@ -41,6 +41,26 @@ def test_word_encoder_equals_whole_texts(tokenizer):
             assert np.frombuffer(raw, "<u4").tolist() == ids_of(tokenizer, t)
 
 
+def test_lower_case_that_ends_with_a_mark(tokenizer):
+    texts = ["\u0130, k\u0130. \u0130", "\u0130\x1f, \u0149. \u0149\u0130,", "a\u0301, I\u0307."]
+    for t, raw in zip(texts, WordEncoder(default_tokenizer()).encode(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == ids_of(tokenizer, t)
+
+
+def test_latin_words_with_marks_stay_from_the_tokenizer(tokenizer, monkeypatch):
+    """Whatever marks follow a word of Latin letters, it is not one more word
+    for the tokenizer, nor one more entry of the table."""
+    words = ["".join(w) for w in itertools.product("aeiouñ", "bdÉ", "klmnr", "st")]
+    marks = ["", ".", ",", "...", "***", "$$$", "),", '"?', "_#"]
+    texts = [" ".join(w + m for w in words) for m in marks] + [None, "", " \x0b\n  a"]
+    enc, asked = WordEncoder(default_tokenizer()), []
+    plain = enc._plain
+    monkeypatch.setattr(enc, "_plain", lambda text: asked.append(text) or plain(text))
+    for t, raw in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == ids_of(tokenizer, t)
+    assert sum(map(len, asked)) < 100 and len(enc.words) < 20
+
+
 def test_token_files(spark, odd, none, tokenizer):
     path = new_folder(spark, "test-orc")
     token_files.write_tokens(odd, path)
