@@ -12,10 +12,12 @@ before it).
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import text as tx
 from quire.operators.sequence import DEFAULT_PAGE_BUCKET, prev_values, range_bucket, running_count
+from quire.sources.tables import is_clustered_by
 
 # Line patterns.
 PAGE_NUMBER_RE = r"^\s*(Page\s+)?\d+\s*$"
@@ -68,10 +70,14 @@ def page_context(pages: DataFrame, content: str = "content", **kw) -> DataFrame:
 def stitch_tables(pages: DataFrame, content: str = "content", page_bucket: int = DEFAULT_PAGE_BUCKET,
                   **kw) -> DataFrame:
     """T4: merge runs of continued pages into one block (gaps and islands:
-    a running count of non-continued pages numbers the blocks)."""
-    c = _continuation(pages, page_bucket=page_bucket, **kw).drop("prev_content")
-    c = c.withColumn("_start", F.when(F.col("continued"), 0).otherwise(1))
-    c = running_count(c, "doc_id", ["page_no"], None, "_start", "block_no").drop("_b")
+    a running count of non-continued pages numbers the blocks). Pages that are
+    partitioned by ``doc_id`` stay where they are."""
+    if is_clustered_by(pages, "doc_id"):
+        c = _blocks_in_place(pages, **kw)
+    else:
+        c = _continuation(pages, page_bucket=page_bucket, **kw).drop("prev_content")
+        c = c.withColumn("_start", F.when(F.col("continued"), 0).otherwise(1))
+        c = running_count(c, "doc_id", ["page_no"], None, "_start", "block_no").drop("_b")
     c = c.withColumn("block_no", F.col("block_no").cast("int"))
     return (c.groupBy("doc_id", "block_no")
             .agg(F.min("page_no").alias("first_page"), F.max("page_no").alias("last_page"),
@@ -80,6 +86,16 @@ def stitch_tables(pages: DataFrame, content: str = "content", page_bucket: int =
                                           lambda x: x[content]), "\n").alias("content")))
 
 
+def _blocks_in_place(pages: DataFrame, **kw) -> DataFrame:
+    """Pages with their ``block_no``, where each document's pages are together
+    already: they are neither moved nor joined with anything."""
+    f = table_flags(pages, **kw) if "first_is_table" not in pages.columns else pages
+    w = W.partitionBy("doc_id").orderBy("page_no")
+    f = f.withColumn("_start", F.when(F.coalesce(F.lag("last_is_table").over(w), F.lit(False)) & F.col("first_is_table"), 0).otherwise(1))
+    no = F.sum("_start").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
+    return f.withColumn("block_no", F.when(F.col("doc_id").isNotNull() & F.col("page_no").isNotNull(), no)).drop("_start")
+
+
 def assemble_document(pages: DataFrame, content: str = "content") -> DataFrame:
     """T5: ``Page n\\n{text}\\n\\n`` in numeric page order, one row a doc."""
     g = pages.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_no", content))).alias("_p"))

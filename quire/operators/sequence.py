@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_S = 3600
 DEFAULT_PAGE_BUCKET = 256
+#: Keys are counted in this many slots by hash; those of a slot with more rows
+#: (or four times a slot's mean) may hold too many rows for a task.
+SLOTS, HOT_ROWS = 1 << 16, 1 << 17
 
 
 def time_bucket(ts: str, bucket_s: int = DEFAULT_BUCKET_S, ntz: bool = True) -> Column:
@@ -31,6 +34,21 @@ def time_bucket(ts: str, bucket_s: int = DEFAULT_BUCKET_S, ntz: bool = True) ->
     return F.floor(F.unix_micros(c) / F.lit(bucket_s * 1_000_000)).cast("bigint")
 
 
+def by_hot_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ``df`` whose keys are small enough to have their rows in one
+    task each, and the others with those of a null key (``None`` where there is
+    no such row). Rows are counted by slot, so the counts do not grow with the
+    keys; a key that shares a hot one's slot goes with it."""
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
+    per = df.groupBy(slot.alias("slot"), F.col(key).isNull().alias("none")).agg(F.count(F.lit(1)).alias("n")).collect()  # a row a slot
+    bar = max(HOT_ROWS, 4 * sum(r["n"] for r in per) // SLOTS)
+    hot = [r["slot"] for r in per if r["n"] > bar]
+    if not hot and not any(r["none"] for r in per):
+        return df, None
+    apart = F.col(key).isNull() | slot.isin(hot)
+    return df.where(~apart), df.where(apart)
+
+
 def _is_ntz(df: DataFrame, ts: str) -> bool:
     return dict(df.dtypes).get(ts) == "timestamp_ntz"
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as tx
@@ -64,7 +67,8 @@ def page_context(spark, sf):
 
 @register("stitch_tables", with_ctes("SELECT * FROM op_blocks", "op_blocks"))
 def stitch_tables(spark, sf):
-    return PG.stitch_tables(FX.order_pages(spark, sf))
+    # no order is in two parts
+    return reduce(DataFrame.unionByName, [PG.stitch_tables(p) for p in FX.order_page_parts(spark, sf)])
 
 
 @register("assemble_document", with_ctes(f"""
@@ -130,8 +134,7 @@ FROM (
                     GROUP BY doc_id, block_no, g) u) s) r) q
 GROUP BY doc_id, block_no HAVING sum(CASE WHEN t THEN n_rows ELSE 0 END) > 0""", "op_blocks"))
 def normalize_table(spark, sf):
-    b = PG.stitch_tables(FX.order_pages(spark, sf))
-    return PG.normalize_table(b).select("doc_id", "block_no", "n_cols", "n_rows", "markdown")
+    return PG.normalize_table(stitch_tables(spark, sf)).select("doc_id", "block_no", "n_cols", "n_rows", "markdown")
 
 
 @register("sheet_to_page", with_ctes(f"""
