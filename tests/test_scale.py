@@ -2,9 +2,14 @@
 
 import datetime
 
+from pyspark.sql import functions as F
+
+from quire.functions import text as tx
 from quire.operators import pages as PG
 from quire.operators import sequence as SQ
+from quire.operators import vectors as VX
 from quire.plans import fixtures as FX
+from quire.plans import q_retrieve as QR
 from quire.plans import q_text as QT
 
 
@@ -60,3 +65,25 @@ def test_stitch_tables_of_pages_that_are_together(spark):
     df = spark.createDataFrame(pages, "doc_id long, page_no int, content string")
     want = sorted(PG.stitch_tables(df, page_bucket=16).collect(), key=str)
     assert sorted(PG.stitch_tables(df.repartition("doc_id")).collect(), key=str) == want
+
+
+def test_words_are_the_pieces_between_separators(spark):
+    texts = ["", " ", "a", "A b", "--A--b--", "x\n", "x \u2028", "\u2028x,", "\u0130stanbul \u03a3\u03a3", "e\u0301a 1\u00b2\u0663", "a\ud7ffb\U0001d400c \U0001f600", "\t9_8\n\n", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, t string")
+    was = tx._split_nonempty(F.lower("t"), tx.WORD_SPLIT)
+    got = df.select("t", tx.word_tokens("t").alias("w"), was.alias("was")).collect()
+    assert [r.w for r in got] == [r.was for r in got] and sum(len(r.w or []) for r in got) > 12
+
+
+def test_dense_build_cuts_texts_into_words_once(spark, monkeypatch):
+    from tests.conftest import SF_SMALL
+    cut, calls = tx.word_tokens, []
+    monkeypatch.setattr(tx, "word_tokens", lambda c: calls.append(c) or cut(c))
+    path = QR.build_dense(spark, SF_SMALL)
+    assert len(calls) == 1
+    chunks = FX.kb_chunks(spark, SF_SMALL).select("chunk_id", "text")
+    model = VX.fit_embedder(chunks)
+    assert VX.Embedder.load(spark, f"{path}/model") == model
+    got = {r.chunk_id: r.embedding for r in spark.read.parquet(f"{path}/embedded").collect()}
+    want = {r.chunk_id: r.embedding for r in model.embed(chunks, "chunk_id").collect() if any(r.embedding)}
+    assert got == want
